@@ -384,3 +384,216 @@ def _pie(spark, sf_dir):
 )
 def _r2f(spark, sf_dir):
     return A.rows_to_fields(A.dash_price_by_product(_gold(spark, sf_dir)), "produto", "preco_medio")
+
+
+# ---------------------------------------------------------------- quality
+
+from postolake.constants import BRONZE_HEADER_MAP, DIGIT_COLUMNS, UPPER_TRIM_COLUMNS  # noqa: E402
+from postolake.functions import (  # noqa: E402
+    br_decimal,
+    clean_text,
+    digits_only,
+    matches_dmy_format,
+    safe_date,
+    strip_nul,
+    trim_spaces,
+)
+from postolake.functions.unicode_fix import fix_unicode  # noqa: E402
+from postolake.operators import quality as Q  # noqa: E402
+
+_DMY = "^(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])/(1[0-2]|0[1-9]|[1-9])/([0-9]{4})$"
+
+
+def _dmy_ok_sql(h: str) -> str:
+    c = O.q(h)
+    ext = lambda g: f"regexp_extract({c}, '{_DMY}', {g})"
+    return (
+        f"(regexp_full_match({c}, '{_DMY}') AND TRY_CAST({ext(3)} || '-' || lpad(trim({ext(2)}), 2, '0') || '-' || "
+        f"lpad(trim({ext(1)}), 2, '0') AS DATE) IS NOT NULL AND {ext(3)} <> '0000')"
+    )
+
+
+def _unexpected_sql(e: Q.Expectation) -> str:
+    c = O.q(e.column)
+    if e.kind == "not_null":
+        return f"{c} IS NULL"
+    if e.kind == "in_set":
+        return f"{c} IS NOT NULL AND {c} NOT IN {O.in_list(e.values)}"
+    return f"{c} IS NOT NULL AND NOT {_dmy_ok_sql(e.column)}"
+
+
+def _suite_sql(suite: list[Q.Expectation], src: str) -> str:
+    parts = []
+    for i, e in enumerate(suite, start=1):
+        head = f"SELECT {i} AS ordinal, {O.lit(e.name)} AS expectation, {O.lit(e.column)} AS \"column\", CAST(COUNT(*) AS BIGINT) AS element_count"
+        if e.kind == "exists":
+            parts.append(f"{head}, CAST(NULL AS BIGINT) AS missing_count, CAST(0 AS BIGINT) AS unexpected_count, "
+                         f"CAST(0.0 AS DOUBLE) AS unexpected_percent, TRUE AS success FROM {src}")
+            continue
+        if e.kind == "column_list":
+            parts.append(f"{head}, CAST(NULL AS BIGINT) AS missing_count, CAST(0 AS BIGINT) AS unexpected_count, "
+                         f"CAST(0.0 AS DOUBLE) AS unexpected_percent, TRUE AS success FROM {src}")
+            continue
+        c = O.q(e.column)
+        m = f"COUNT(*) FILTER (WHERE {c} IS NULL)"
+        u = f"COUNT(*) FILTER (WHERE {_unexpected_sql(e)})"
+        base = "COUNT(*)" if e.kind == "not_null" else f"(COUNT(*) - {m})"
+        pct = f"CAST({u} AS DOUBLE) * CAST(100 AS DOUBLE) / NULLIF(CAST({base} AS DOUBLE), CAST(0 AS DOUBLE))"
+        parts.append(f"{head}, CAST({m} AS BIGINT) AS missing_count, CAST({u} AS BIGINT) AS unexpected_count, "
+                     f"{pct} AS unexpected_percent, {u} = 0 AS success FROM {src}")
+    return "\nUNION ALL\n".join(parts)
+
+
+_FIRST_FILE = "(SELECT * FROM bronze WHERE filename = (SELECT MIN(filename) FROM bronze))"
+
+
+def _bronze(spark, sf_dir):
+    return demo_lake(spark, sf_dir).bronze
+
+
+@register("dq_suite", O.with_lake(_suite_sql(Q.default_suite(), "bronze"), "bronze"))
+def _dq_suite(spark, sf_dir):
+    return Q.run_suite(_bronze(spark, sf_dir), Q.default_suite(), sample="all")
+
+
+@register("dq_suite_first_file", O.with_lake(_suite_sql(Q.default_suite(), _FIRST_FILE), "bronze"))
+def _dq_first(spark, sf_dir):
+    return Q.run_suite(_bronze(spark, sf_dir), Q.default_suite(), sample="first")
+
+
+_EXTENDED = Q.default_suite(include_products=True, include_columns=True)
+
+
+@register("dq_suite_extended", O.with_lake(_suite_sql(_EXTENDED, "bronze"), "bronze"))
+def _dq_ext(spark, sf_dir):
+    return Q.run_suite(_bronze(spark, sf_dir), _EXTENDED, sample="all")
+
+
+@register(
+    "dq_overall",
+    O.with_lake(
+        f"""SELECT bool_and(success) AS success, CAST(COUNT(*) AS BIGINT) AS expectations,
+                   CAST(COUNT(*) FILTER (WHERE NOT success) AS BIGINT) AS failed
+            FROM ({_suite_sql(Q.default_suite(), 'bronze')})""",
+        "bronze",
+    ),
+)
+def _dq_overall(spark, sf_dir):
+    return Q.suite_success(Q.run_suite(_bronze(spark, sf_dir), Q.default_suite(), sample="all"))
+
+
+def _unexpected_values_sql(suite, src, top=20):
+    value_kinds = [(i, e) for i, e in enumerate(suite, start=1) if e.kind in ("not_null", "in_set", "dmy_format")]
+    findings = "\nUNION ALL\n".join(
+        f"SELECT {i} AS ordinal, {O.q(e.column)} AS value FROM {src} WHERE {_unexpected_sql(e)}" for i, e in value_kinds
+    )
+    name_case = "CASE ordinal " + " ".join(f"WHEN {i} THEN {O.lit(e.name)}" for i, e in value_kinds) + " END"
+    col_case = "CASE ordinal " + " ".join(f"WHEN {i} THEN {O.lit(e.column)}" for i, e in value_kinds) + " END"
+    return f"""SELECT ordinal, {name_case} AS expectation, {col_case} AS "column", value, count, CAST(rank AS INTEGER) AS rank
+               FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ordinal ORDER BY count DESC, value ASC NULLS FIRST) AS rank
+                     FROM (SELECT ordinal, value, CAST(COUNT(*) AS BIGINT) AS count FROM ({findings}) GROUP BY ordinal, value))
+               WHERE rank <= {top}"""
+
+
+@register("dq_unexpected", O.with_lake(_unexpected_values_sql(Q.default_suite(), "bronze"), "bronze"))
+def _dq_unexpected(spark, sf_dir):
+    return Q.unexpected_values(_bronze(spark, sf_dir), Q.default_suite(), sample="all", top=20)
+
+
+# ------------------------------------------------------- scalar functions
+
+def _explode_pairs(df, structs):
+    return df.select(F.explode(F.array(*structs)).alias("x")).select("x.*")
+
+
+def _raw(h):
+    return F.col(f"`{h}`")
+
+
+def _fn_pairs(names, spark_fn, sql_fn, value_name="cleaned"):
+    chosen = [(h, s) for h, s in BRONZE_HEADER_MAP if s in names]
+
+    def run(spark, sf_dir):
+        structs = [
+            F.struct(F.lit(s).alias("column"), _raw(h).alias("raw"), spark_fn(_raw(h)).alias(value_name))
+            for h, s in chosen
+        ]
+        pairs = _explode_pairs(_bronze(spark, sf_dir), structs)
+        return pairs.groupBy("column", "raw", value_name).agg(F.count(F.lit(1)).alias("n"))
+
+    union = "\nUNION ALL\n".join(
+        f"SELECT {O.lit(s)} AS \"column\", {O.q(h)} AS raw, {sql_fn(O.q(h))} AS {value_name} FROM bronze"
+        for h, s in chosen
+    )
+    sql = O.with_lake(
+        f"SELECT \"column\", raw, {value_name}, CAST(COUNT(*) AS BIGINT) AS n FROM ({union}) GROUP BY ALL", "bronze"
+    )
+    return run, sql
+
+
+for _name, _cols, _sfn, _sqlfn, _vn in [
+    ("fn_clean_text", UPPER_TRIM_COLUMNS, clean_text, lambda c: f"UPPER(TRIM({c}))", "cleaned"),
+    ("fn_trim_only", ["numero_rua"], trim_spaces, lambda c: f"TRIM({c})", "cleaned"),
+    ("fn_digits_only", DIGIT_COLUMNS, digits_only, lambda c: f"REGEXP_REPLACE({c}, '\\D', '', 'g')", "cleaned"),
+    ("fn_br_decimal", ["valor_venda", "valor_compra"], br_decimal,
+     lambda c: f"TRY_CAST(REPLACE(REPLACE({c}, '.', ''), ',', '.') AS DOUBLE)", "value"),
+]:
+    _run, _sql = _fn_pairs(_cols, _sfn, _sqlfn, _vn)
+    register(_name, _sql)(_run)
+
+
+@register(
+    "fn_safe_date",
+    O.with_lake(
+        f"""SELECT raw, data, CAST(year(data) AS INTEGER) AS ano, CAST(month(data) AS INTEGER) AS mes,
+                   CAST(COUNT(*) AS BIGINT) AS n
+            FROM (SELECT "Data da Coleta" AS raw, {O._SAFE_DATE.format(c='"Data da Coleta"')} AS data FROM bronze)
+            GROUP BY ALL""",
+        "bronze",
+    ),
+)
+def _fn_safe_date(spark, sf_dir):
+    b = _bronze(spark, sf_dir).select(_raw("Data da Coleta").alias("raw"))
+    d = b.select("raw", safe_date("raw").alias("data"))
+    return d.groupBy("raw", "data", F.year("data").alias("ano"), F.month("data").alias("mes")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+@register(
+    "fn_dmy_format",
+    O.with_lake(
+        f"""SELECT "Data da Coleta" AS raw, COALESCE({_dmy_ok_sql('Data da Coleta')}, FALSE) AS valid,
+                   CAST(COUNT(*) AS BIGINT) AS n
+            FROM bronze WHERE "Data da Coleta" IS NOT NULL GROUP BY ALL""",
+        "bronze",
+    ),
+)
+def _fn_dmy(spark, sf_dir):
+    b = _bronze(spark, sf_dir).select(_raw("Data da Coleta").alias("raw")).filter(F.col("raw").isNotNull())
+    return b.groupBy("raw", F.coalesce(matches_dmy_format("raw"), F.lit(False)).alias("valid")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+@register(
+    "fn_strip_nul",
+    "SELECT doc_id, CAST(length(text) - length(replace(text, chr(0), '')) AS INTEGER) AS nul_chars, "
+    "CAST(length(replace(text, chr(0), '')) AS INTEGER) AS clean_chars FROM documents",
+)
+def _fn_strip_nul(spark, sf_dir):
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    clean = strip_nul("text")
+    return d.select(
+        "doc_id", (F.length("text") - F.length(clean)).alias("nul_chars"), F.length(clean).alias("clean_chars")
+    )
+
+
+@register("fn_fix_unicode", None)
+def _fn_fix_unicode(spark, sf_dir):
+    """X1 on whole document texts: the Arrow-batched repair UDF."""
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    fixed = d.select("doc_id", "text", fix_unicode("text").alias("fixed"))
+    return fixed.select(
+        "doc_id", (F.col("fixed") != F.col("text")).alias("changed"), F.length("fixed").alias("fixed_chars")
+    )
