@@ -40,15 +40,20 @@ def _between(c: Column, date_from: DateLike, date_to: DateLike) -> Column:
     return cond
 
 
-def _year_prune(fact: DataFrame, date_from: DateLike, date_to: DateLike) -> DataFrame:
-    """Static partition pruning when the fact carries its year column."""
+def _facts(gold: Gold, date_from: DateLike = None, date_to: DateLike = None) -> DataFrame:
+    """The fact table, year-pruned when it is stored partitioned by ``ano``.
+
+    The partition column is dropped after pruning so it never clashes with
+    ``dim_data.ano``; the date filter itself is applied on ``dim_data``.
+    """
+    fact = gold.fact
     if "ano" not in fact.columns:
         return fact
     if date_from is not None:
         fact = fact.filter(F.col("ano") >= _year(date_from))
     if date_to is not None:
         fact = fact.filter(F.col("ano") <= _year(date_to))
-    return fact
+    return fact.drop("ano")
 
 
 def _year(value: DateLike) -> int:
@@ -60,7 +65,7 @@ def _year(value: DateLike) -> int:
 def dash_monthly_price(gold: Gold, date_from: DateLike = None, date_to: DateLike = None) -> DataFrame:
     """Monthly average sale price per product (time, metric, value)."""
     days = gold.dim_data.filter(_between(month_start("ano", "mes"), date_from, date_to))
-    fact = _year_prune(gold.fact, date_from, date_to)
+    fact = _facts(gold, date_from, date_to)
     joined = fact.join(gold.dim("dim_data", days.select("data_id", "ano", "mes")), "data_id").join(
         gold.dim("dim_produto", gold.dim_produto.select("produto_id", "produto")), "produto_id"
     )
@@ -72,7 +77,7 @@ def dash_monthly_price(gold: Gold, date_from: DateLike = None, date_to: DateLike
 
 def dash_price_by_product(gold: Gold) -> DataFrame:
     """Average sale price by product, positive prices only."""
-    joined = gold.fact.filter(F.col("valor_venda") > 0).join(
+    joined = _facts(gold).filter(F.col("valor_venda") > 0).join(
         gold.dim("dim_produto", gold.dim_produto.select("produto_id", "produto")), "produto_id"
     )
     agg = joined.groupBy("produto").agg(exact_mean("valor_venda").alias("preco_medio"))
@@ -81,7 +86,7 @@ def dash_price_by_product(gold: Gold) -> DataFrame:
 
 def dash_rows_per_year(gold: Gold) -> DataFrame:
     """D3: collected rows per year, year as text."""
-    joined = gold.fact.select("data_id").join(gold.dim("dim_data", gold.dim_data.select("data_id", "ano")), "data_id")
+    joined = _facts(gold).select("data_id").join(gold.dim("dim_data", gold.dim_data.select("data_id", "ano")), "data_id")
     agg = joined.groupBy("ano").agg(F.count(F.lit(1)).alias("coletas"))
     return agg.orderBy(F.col("ano").asc_nulls_last()).select(
         F.col("ano").cast("string").alias("ano"), "coletas"
@@ -90,7 +95,7 @@ def dash_rows_per_year(gold: Gold) -> DataFrame:
 
 def dash_margin_by_region(gold: Gold) -> DataFrame:
     """Average margin (sale - purchase) by region and product."""
-    fact = gold.fact.filter(F.col("valor_compra").isNotNull() & F.col("valor_venda").isNotNull())
+    fact = _facts(gold).filter(F.col("valor_compra").isNotNull() & F.col("valor_venda").isNotNull())
     joined = fact.join(gold.dim("dim_localidade", gold.dim_localidade.select("localidade_id", "regiao_sigla")), "localidade_id").join(
         gold.dim("dim_produto", gold.dim_produto.select("produto_id", "produto")), "produto_id"
     )
@@ -102,7 +107,7 @@ def dash_margin_by_region(gold: Gold) -> DataFrame:
 
 def _brand_counts(gold: Gold) -> DataFrame:
     """Rows per raw brand value (NULL, '' and 'BRANCA' stay separate groups)."""
-    joined = gold.fact.select("posto_id").join(gold.dim("dim_posto", gold.dim_posto.select("posto_id", "bandeira")), "posto_id")
+    joined = _facts(gold).select("posto_id").join(gold.dim("dim_posto", gold.dim_posto.select("posto_id", "bandeira")), "posto_id")
     return joined.groupBy("bandeira").agg(F.count(F.lit(1)).alias("total_coletas"))
 
 
@@ -127,7 +132,7 @@ def dash_quarterly_price(
     """Quarterly average sale price of the given products, time range."""
     days = gold.dim_data.filter(_between(quarter_start("ano", "trimestre"), date_from, date_to))
     prods = gold.dim_produto.filter(F.col("produto").isin(list(products)))
-    fact = _year_prune(gold.fact, date_from, date_to)
+    fact = _facts(gold, date_from, date_to)
     joined = fact.join(gold.dim("dim_data", days.select("data_id", "ano", "trimestre")), "data_id").join(
         gold.dim("dim_produto", prods.select("produto_id", "produto")), "produto_id"
     )
@@ -139,7 +144,7 @@ def dash_quarterly_price(
 
 def dash_product_summary(gold: Gold) -> DataFrame:
     """Purchase, sale, margin and row count per product."""
-    fact = gold.fact.filter(
+    fact = _facts(gold).filter(
         F.col("valor_compra").isNotNull() & F.col("valor_venda").isNotNull()
         & (F.col("valor_compra") > 0) & (F.col("valor_venda") > 0)
     )
@@ -155,7 +160,7 @@ def dash_product_summary(gold: Gold) -> DataFrame:
 
 def kpi_total_rows(gold: Gold) -> DataFrame:
     """Fact row count."""
-    return gold.fact.agg(F.count(F.lit(1)).alias("total"))
+    return _facts(gold).agg(F.count(F.lit(1)).alias("total"))
 
 
 def kpi_products(gold: Gold) -> DataFrame:
@@ -177,7 +182,7 @@ def kpi_stations(gold: Gold) -> DataFrame:
 
 def bi_monthly_prices(gold: Gold) -> DataFrame:
     """B1: monthly sale and purchase averages per product."""
-    joined = gold.fact.join(gold.dim("dim_data", gold.dim_data.select("data_id", "ano", "mes")), "data_id").join(
+    joined = _facts(gold).join(gold.dim("dim_data", gold.dim_data.select("data_id", "ano", "mes")), "data_id").join(
         gold.dim("dim_produto", gold.dim_produto.select("produto_id", "produto")), "produto_id"
     )
     agg = joined.groupBy("ano", "mes", "produto").agg(
@@ -189,7 +194,7 @@ def bi_monthly_prices(gold: Gold) -> DataFrame:
 
 def bi_price_by_state(gold: Gold) -> DataFrame:
     """B2: average sale price and row count by state and product."""
-    joined = gold.fact.join(
+    joined = _facts(gold).join(
         gold.dim("dim_localidade", gold.dim_localidade.select("localidade_id", "estado_sigla")), "localidade_id"
     ).join(gold.dim("dim_produto", gold.dim_produto.select("produto_id", "produto")), "produto_id")
     agg = joined.groupBy("estado_sigla", "produto").agg(
@@ -202,7 +207,7 @@ def bi_price_by_state(gold: Gold) -> DataFrame:
 def bi_top_cities(gold: Gold, product: str = "GASOLINA", min_rows: int = 100, k: int = 10) -> DataFrame:
     """The k dearest cities for a product, among cities with >= min_rows."""
     prods = gold.dim_produto.filter(F.col("produto") == product).select("produto_id")
-    joined = gold.fact.join(gold.dim("dim_produto", prods), "produto_id").join(
+    joined = _facts(gold).join(gold.dim("dim_produto", prods), "produto_id").join(
         gold.dim("dim_localidade", gold.dim_localidade.select("localidade_id", "municipio", "estado_sigla")), "localidade_id"
     )
     agg = joined.groupBy("municipio", "estado_sigla").agg(
@@ -222,7 +227,7 @@ def bi_top_cities(gold: Gold, product: str = "GASOLINA", min_rows: int = 100, k:
 
 def bi_margin_by_region(gold: Gold) -> DataFrame:
     """Margin, sale and purchase averages by region and product."""
-    fact = gold.fact.filter(F.col("valor_compra").isNotNull() & F.col("valor_venda").isNotNull())
+    fact = _facts(gold).filter(F.col("valor_compra").isNotNull() & F.col("valor_venda").isNotNull())
     joined = fact.join(gold.dim("dim_localidade", gold.dim_localidade.select("localidade_id", "regiao_sigla")), "localidade_id").join(
         gold.dim("dim_produto", gold.dim_produto.select("produto_id", "produto")), "produto_id"
     )
@@ -253,7 +258,7 @@ def bi_brand_distribution(gold: Gold, k: int = 15) -> DataFrame:
 def bi_quarterly_price(gold: Gold, products: tuple[str, ...] = ("GASOLINA", "ETANOL")) -> DataFrame:
     """Quarterly average sale price of the given products."""
     prods = gold.dim_produto.filter(F.col("produto").isin(list(products)))
-    joined = gold.fact.join(gold.dim("dim_data", gold.dim_data.select("data_id", "ano", "trimestre")), "data_id").join(
+    joined = _facts(gold).join(gold.dim("dim_data", gold.dim_data.select("data_id", "ano", "trimestre")), "data_id").join(
         gold.dim("dim_produto", prods.select("produto_id", "produto")), "produto_id"
     )
     agg = joined.groupBy("ano", "trimestre", "produto").agg(exact_mean("valor_venda").alias("preco_medio"))
@@ -266,7 +271,7 @@ def bi_price_sample(gold: Gold, n: int = 5000, seed: int = 7) -> DataFrame:
     ORDER BY random LIMIT n runs as a per-task top-n then a final top-n
     (TakeOrderedAndProject); the fact is never sorted as a whole.
     """
-    fact = gold.fact.filter(
+    fact = _facts(gold).filter(
         F.col("valor_compra").isNotNull() & F.col("valor_venda").isNotNull()
         & (F.col("valor_compra") > 0) & (F.col("valor_venda") > 0)
     )
