@@ -10,6 +10,11 @@ from postolake.functions.text import _col, is_blank
 # ASCII whitespace the source system skips around a date before parsing.
 _ASCII_EDGE_WS = r"\A\s+|\s+\z"
 
+# Shapes a date text must have before a parse is attempted: parsing a text of
+# the wrong shape costs an exception per row.
+_DMY_SHAPE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]+$"
+_YMD_SHAPE = r"^[0-9]+-[0-9]{1,2}-[0-9]{1,2}$"
+
 # Strict day/month/4-digit-year text: one- or two-digit day and month, a day
 # may also be written as space + digit.
 _DMY_STRICT = r"^(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])/(1[0-2]|0[1-9]|[1-9])/([0-9]{4})$"
@@ -23,9 +28,8 @@ def safe_date(c: Column | str) -> Column:
     """
     raw = _col(c)
     text = F.regexp_replace(raw, _ASCII_EDGE_WS, "")
-    parsed = F.coalesce(
-        F.try_to_date(text, "d/M/y"),
-        F.try_to_date(text, "y-M-d"),
+    parsed = F.when(text.rlike(_DMY_SHAPE), F.try_to_date(text, "d/M/y")).when(
+        text.rlike(_YMD_SHAPE), F.try_to_date(text, "y-M-d")
     )
     return F.when(is_blank(raw), F.lit(None).cast("date")).otherwise(parsed)
 

@@ -13,6 +13,8 @@ shuffle; no group is ever gathered into a single task.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,9 +72,18 @@ def with_row_key(cleaned: DataFrame) -> DataFrame:
     return cleaned.withColumn("_row_key", key).withColumn("row_hash", F.md5(F.col("_row_key")))
 
 
-def drop_blank_rows(keyed: DataFrame) -> DataFrame:
-    """rows whose 16 cleaned columns are all NULL or '' are dropped."""
-    return keyed.filter(F.col("_row_key") != F.lit(blank_key_text(len(SILVER_SOURCE_COLUMNS))))
+# md5 of the key of a row whose 16 cleaned columns are all NULL or ''.
+BLANK_ROW_HASH = hashlib.md5(blank_key_text(len(SILVER_SOURCE_COLUMNS)).encode("utf-8")).hexdigest()
+
+
+def drop_blank_rows(df: DataFrame) -> DataFrame:
+    """rows whose 16 cleaned columns are all NULL or '' are dropped.
+
+    Applied after deduplication: all blank rows share one key, so this removes
+    a single aggregated row, and the cleaning expressions are not evaluated a
+    second time by a filter pushed below the projection.
+    """
+    return df.filter(F.col("row_hash") != F.lit(BLANK_ROW_HASH))
 
 
 def deduplicate(keyed: DataFrame) -> DataFrame:
@@ -90,15 +101,14 @@ def deduplicate(keyed: DataFrame) -> DataFrame:
 def build_silver(raw_bronze: DataFrame) -> DataFrame:
     """Bronze (raw headers + filename) -> the 20-column silver frame."""
     keyed = with_row_key(clean_bronze(rename_bronze(raw_bronze)))
-    return deduplicate(drop_blank_rows(keyed)).select(*SILVER_COLUMNS)
+    return drop_blank_rows(deduplicate(keyed)).select(*SILVER_COLUMNS)
 
 
 def dedup_counts(raw_bronze: DataFrame) -> DataFrame:
     """Row counts through the silver steps: input, blank, duplicate, output."""
     keyed = with_row_key(clean_bronze(rename_bronze(raw_bronze)))
-    is_blank_row = F.col("_row_key") == F.lit(blank_key_text(len(SILVER_SOURCE_COLUMNS)))
-    per_key = keyed.groupBy("row_hash").agg(
-        F.count(F.lit(1)).alias("n"), F.max(is_blank_row).alias("blank")
+    per_key = keyed.groupBy("row_hash").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "blank", F.col("row_hash") == F.lit(BLANK_ROW_HASH)
     )
     return per_key.agg(
         F.sum("n").cast("bigint").alias("input_rows"),
