@@ -597,3 +597,124 @@ def _fn_fix_unicode(spark, sf_dir):
     return fixed.select(
         "doc_id", (F.col("fixed") != F.col("text")).alias("changed"), F.length("fixed").alias("fixed_chars")
     )
+
+
+# ----------------------------------------------------- sources and sinks
+
+from postolake.operators.silver import build_silver  # noqa: E402
+from postolake.plans.files import demo_files, streamed_silver_path  # noqa: E402
+from postolake.sources import manifest as M  # noqa: E402
+from postolake.sources.bronze_csv import detect_encodings, read_bronze  # noqa: E402
+
+_HEADERS_SQL = ", ".join(O.q(h) for h, _ in BRONZE_HEADER_MAP)
+_SILVER_VALUES = [c for c in SILVER_COLUMNS if c not in ("row_hash", "filename")]
+
+
+@register("bronze_csv_roundtrip", O.with_lake(f"SELECT {_HEADERS_SQL} FROM bronze", "bronze"))
+def _bronze_csv(spark, sf_dir):
+    root = demo_files(spark, sf_dir)["bronze_mixed"]
+    return read_bronze(spark, root).select(*[F.col(f"`{h}`") for h, _ in BRONZE_HEADER_MAP])
+
+
+@register("silver_from_csv", O.with_lake(f"SELECT {', '.join(_SILVER_VALUES)} FROM silver", "silver"))
+def _silver_csv(spark, sf_dir):
+    root = demo_files(spark, sf_dir)["bronze_mixed"]
+    return build_silver(read_bronze(spark, root)).select(*_SILVER_VALUES)
+
+
+@register("encoding_groups", None)
+def _encodings(spark, sf_dir):
+    root = demo_files(spark, sf_dir)["bronze_mixed"]
+    return detect_encodings(spark, root).groupBy("encoding").agg(F.count(F.lit(1)).alias("files"))
+
+
+@register(
+    "silver_partition_counts",
+    O.with_lake("SELECT ano, CAST(COUNT(*) AS BIGINT) AS n FROM silver GROUP BY ano", "silver"),
+)
+def _silver_parts(spark, sf_dir):
+    path = demo_files(spark, sf_dir)["silver"]
+    return spark.read.parquet(path).groupBy("ano").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("incremental_silver", O.with_lake(f"SELECT {', '.join(_SILVER_VALUES)} FROM silver", "silver"))
+def _incremental(spark, sf_dir):
+    path = streamed_silver_path(spark, sf_dir)
+    return spark.read.parquet(path).select(*_SILVER_VALUES)
+
+
+_LANDING = "/landing"
+
+
+@register(
+    "target_path",
+    f"""SELECT page_id, url,
+               CASE WHEN idx > 0 AND idx < len(parts)
+                    THEN '{_LANDING}/dsan/' || parts[idx + 1] || '/' || parts[len(parts)]
+                    ELSE '{_LANDING}/' || parts[len(parts)] END AS target
+        FROM (SELECT page_id, url, string_split(url, '/') AS parts,
+                     COALESCE(list_position(string_split(url, '/'), 'dsan'), 0) AS idx FROM pages)""",
+)
+def _target_path(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return pages.select("page_id", "url", M.landing_path("url", _LANDING).alias("target"))
+
+
+def _fetch_log(spark, sf_dir):
+    """A fetch log derived from pages: requested URL, HTTP status, content type."""
+    p = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    k = F.col("page_id")
+    url = F.concat(
+        F.col("url"), F.when(k % 4 == 0, F.lit(".csv")).when(k % 4 == 1, F.lit(".zip")).otherwise(F.lit(""))
+    )
+    status = F.when(k % 11 == 0, F.lit(404)).otherwise(F.lit(200))
+    ctype = (
+        F.when(k % 6 == 0, "text/html; charset=utf-8").when(k % 6 == 1, "text/csv")
+        .when(k % 6 == 2, "application/zip").when(k % 6 == 3, "application/octet-stream")
+        .when(k % 6 == 4, "application/xhtml+xml").otherwise(F.lit(None).cast("string"))
+    )
+    return p.select("page_id", url.alias("url"), status.alias("status"), ctype.alias("content_type"))
+
+
+@register(
+    "payload_accept",
+    """SELECT page_id, url, status, content_type,
+              (status = 200 AND lower(coalesce(content_type, '')) NOT LIKE '%text/html%'
+               AND ((url LIKE '%.csv' AND lower(coalesce(content_type, '')) LIKE '%csv%')
+                    OR (url LIKE '%.zip' AND (lower(coalesce(content_type, '')) LIKE '%zip%'
+                                              OR lower(coalesce(content_type, '')) LIKE '%octet-stream%'))
+                    OR lower(coalesce(content_type, '')) NOT LIKE '%html%')) AS accepted
+       FROM (SELECT page_id,
+                    url || CASE page_id % 4 WHEN 0 THEN '.csv' WHEN 1 THEN '.zip' ELSE '' END AS url,
+                    CAST(CASE WHEN page_id % 11 = 0 THEN 404 ELSE 200 END AS INTEGER) AS status,
+                    CASE page_id % 6 WHEN 0 THEN 'text/html; charset=utf-8' WHEN 1 THEN 'text/csv'
+                         WHEN 2 THEN 'application/zip' WHEN 3 THEN 'application/octet-stream'
+                         WHEN 4 THEN 'application/xhtml+xml' ELSE NULL END AS content_type
+             FROM pages)""",
+)
+def _payload(spark, sf_dir):
+    log = _fetch_log(spark, sf_dir)
+    return log.withColumn("accepted", M.accept_payload("url", "status", "content_type"))
+
+
+def _manifest(spark, sf_dir):
+    """Canonical URL manifest from pages: query and fragment removed."""
+    p = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return p.select(F.regexp_replace("url", "[?#].*$", "").alias("url"), F.col("page_id").alias("pos"))
+
+
+_MANIFEST_SQL = "SELECT regexp_replace(url, '[?#].*$', '') AS url, page_id AS pos FROM pages"
+
+
+@register(
+    "manifest_duplicates",
+    f"""SELECT url, CAST(COUNT(*) AS BIGINT) AS occurrences, MIN(pos) AS first_pos
+        FROM ({_MANIFEST_SQL}) GROUP BY url HAVING COUNT(*) > 1""",
+)
+def _manifest_dups(spark, sf_dir):
+    return M.check_manifest(_manifest(spark, sf_dir))
+
+
+@register("manifest_dedup", f"SELECT url, MIN(pos) AS pos FROM ({_MANIFEST_SQL}) GROUP BY url")
+def _manifest_dedup(spark, sf_dir):
+    return M.dedup_manifest(_manifest(spark, sf_dir))
