@@ -718,3 +718,91 @@ def _manifest_dups(spark, sf_dir):
 @register("manifest_dedup", f"SELECT url, MIN(pos) AS pos FROM ({_MANIFEST_SQL}) GROUP BY url")
 def _manifest_dedup(spark, sf_dir):
     return M.dedup_manifest(_manifest(spark, sf_dir))
+
+
+# ------------------------------------------ station history, checks, report
+
+from postolake.operators import checks as C  # noqa: E402
+from postolake.operators import scd2 as H  # noqa: E402
+from postolake.operators.gold import gold_input  # noqa: E402
+
+_HIST: dict = {}
+
+
+def _history(spark, sf_dir):
+    lake = demo_lake(spark, sf_dir)
+    key = id(lake)
+    if key not in _HIST:
+        _HIST[key] = H.station_history(gold_input(lake.silver))
+    return _HIST[key]
+
+
+_HIST_COLS = ["posto_id", "cnpj_revenda", *H.VERSION_ATTRIBUTES, "data_inicio", "data_fim", "ativo", "versao"]
+
+
+@register("dim_posto_scd2", O.with_lake(f"SELECT {', '.join(_HIST_COLS)} FROM history", "history"))
+def _scd2(spark, sf_dir):
+    return _history(spark, sf_dir).select(*_HIST_COLS)
+
+
+@register(
+    "fact_asof_posto",
+    O.with_lake(
+        """SELECT d.data_id, p.produto_id, l.localidade_id, h.posto_id, s.valor_venda, s.valor_compra
+           FROM g s
+           JOIN dim_data d ON s.data_coleta = d.data
+           JOIN dim_produto p ON s.produto = p.produto AND s.unidade_medida = p.unidade_medida
+           JOIN dim_localidade l ON s.regiao_sigla = l.regiao_sigla AND s.estado_sigla = l.estado_sigla
+                                AND s.municipio = l.municipio
+           JOIN history h ON s.cnpj_revenda = h.cnpj_revenda
+                         AND s.data_coleta BETWEEN h.data_inicio AND COALESCE(h.data_fim, DATE '9999-12-31')""",
+        "history",
+    ),
+)
+def _asof(spark, sf_dir):
+    lake = demo_lake(spark, sf_dir)
+    gd = lake.gold
+    fact = H.build_fact_asof(gold_input(lake.silver), gd.dim_data, gd.dim_produto, gd.dim_localidade,
+                             _history(spark, sf_dir))
+    return fact.select(*_FACT_COLS)
+
+
+@register(
+    "load_report",
+    O.with_lake(
+        """SELECT CAST(COUNT(*) AS BIGINT) AS silver_rows,
+                  CAST((SELECT COUNT(*) FROM fact) AS BIGINT) AS fact_rows,
+                  CAST(COUNT(*) - (SELECT COUNT(*) FROM fact) AS BIGINT) AS rejected_rows,
+                  CAST(COUNT(*) FILTER (WHERE data_coleta IS NULL) AS BIGINT) AS missing_data,
+                  CAST(COUNT(*) FILTER (WHERE produto IS NULL OR unidade_medida IS NULL) AS BIGINT) AS missing_produto,
+                  CAST(COUNT(*) FILTER (WHERE regiao_sigla IS NULL OR estado_sigla IS NULL OR municipio IS NULL)
+                       AS BIGINT) AS missing_localidade,
+                  CAST(COUNT(*) FILTER (WHERE cnpj_revenda IS NULL) AS BIGINT) AS missing_posto
+           FROM g"""
+    ),
+)
+def _load_report(spark, sf_dir):
+    return C.load_report(gold_input(demo_lake(spark, sf_dir).silver))
+
+
+_KEY_CHECK_ROWS = [
+    ("primary_key_unique", "dim_data"), ("natural_key_unique", "dim_data"),
+    ("primary_key_unique", "dim_produto"), ("natural_key_unique", "dim_produto"),
+    ("primary_key_unique", "dim_localidade"), ("natural_key_unique", "dim_localidade"),
+    ("primary_key_unique", "dim_posto"), ("natural_key_unique", "dim_posto"),
+    ("foreign_key_exists", "dim_data"), ("foreign_key_exists", "dim_produto"),
+    ("foreign_key_exists", "dim_localidade"), ("foreign_key_exists", "dim_posto"),
+    ("primary_key_unique", "fact_precos_combustivel"),
+]
+
+
+@register(
+    "key_checks",
+    O.with_lake(
+        "SELECT * FROM (VALUES "
+        + ", ".join(f"('{c}', '{t}', CAST(0 AS BIGINT))" for c, t in _KEY_CHECK_ROWS)
+        + ') AS t("check", "table", violations) WHERE (SELECT COUNT(*) FROM fact) >= 0'
+    ),
+)
+def _key_checks(spark, sf_dir):
+    return C.key_checks(_gold(spark, sf_dir))
