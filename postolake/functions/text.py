@@ -18,12 +18,21 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_WIDE_SPACES = [ch for ch in SPACE_SEPARATORS if ch != " "]
+
+
 def trim_spaces(c: Column | str) -> Column:
     """TRIM that strips Unicode space separators but keeps tabs.
 
-    A character-set trim (no regular expression), so it stays cheap per row.
+    Plain spaces are trimmed on the byte-level fast path; the character-set
+    trim (which walks every character) runs only for the rare value whose
+    first or last character is still a wider space separator such as NBSP.
     """
-    return F.trim(_col(c), F.lit(SPACE_SEPARATORS))
+    ascii_trimmed = F.trim(_col(c))
+    wide_edge = F.substring(ascii_trimmed, 1, 1).isin(_WIDE_SPACES) | F.substring(
+        ascii_trimmed, -1, 1
+    ).isin(_WIDE_SPACES)
+    return F.when(wide_edge, F.trim(ascii_trimmed, F.lit(SPACE_SEPARATORS))).otherwise(ascii_trimmed)
 
 
 def clean_text(c: Column | str) -> Column:

@@ -44,19 +44,17 @@ def demo_lake(spark: SparkSession, sf_dir: str) -> Lake:
     return _LAKES[key]
 
 
-def write_silver(silver: DataFrame, path: str, files_per_year_hint: int | None = None) -> None:
+def write_silver(silver: DataFrame, path: str) -> None:
     """K1: silver as Parquet partitioned by ``ano`` (NULL year -> default partition).
 
-    Range partitioning on (ano, data_coleta, row_hash) gives each task a slice
-    of one or two years, so a year holding a third of all rows is still
-    written by many tasks, and each task writes few files. Rows are sorted by
-    date inside each file, which tightens Parquet min/max statistics.
+    Written straight from the deduplication's output partitions: no extra
+    shuffle of the whole table. Each task writes at most one file per year
+    it holds (rows sorted by year then date, which also tightens Parquet
+    min/max statistics for date filters), and no task holds more than its
+    share of any year, however large that year is. Files are capped at 5 M rows.
     """
-    spark = silver.sparkSession
-    n = files_per_year_hint or int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
-        silver.repartitionByRange(n, F.col("ano").asc_nulls_first(), "data_coleta", "row_hash")
-        .sortWithinPartitions("ano", "data_coleta")
+        silver.sortWithinPartitions(F.col("ano").asc_nulls_first(), "data_coleta")
         .write.mode("overwrite")
         .option("maxRecordsPerFile", 5_000_000)
         .partitionBy("ano")

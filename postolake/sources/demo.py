@@ -187,6 +187,12 @@ def demo_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_shipdate",
     )
+    # A small line-item file can arrive as a single split; spread it over the
+    # cores so everything downstream runs in parallel. Large inputs already
+    # have enough splits and are left alone (no extra shuffle).
+    cores = spark.sparkContext.defaultParallelism
+    if li.rdd.getNumPartitions() < cores:
+        li = li.repartition(cores)
     # Dimension-sized tables: part and supplier grow with the scale factor but
     # stay far below the line items; AQE decides broadcast from runtime size.
     part = read("part").select("p_partkey", "p_type", "p_retailprice")
