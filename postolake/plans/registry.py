@@ -806,3 +806,76 @@ _KEY_CHECK_ROWS = [
 )
 def _key_checks(spark, sf_dir):
     return C.key_checks(_gold(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- SQL API
+
+from postolake.plans.sql_api import register_gold_views, register_sql_functions  # noqa: E402
+
+
+@register(
+    "sql_bi_02_price_by_state",
+    O.with_lake(
+        f"""SELECT l.estado_sigla, p.produto, {O.xmean('f.valor_venda')} AS preco_medio_venda,
+                   CAST(COUNT(*) AS BIGINT) AS total_coletas
+            FROM fact f {_JL} {_JP} GROUP BY l.estado_sigla, p.produto"""
+    ),
+)
+def _sql_b2(spark, sf_dir):
+    """B2 written in Spark SQL against the gold views."""
+    register_gold_views(spark, _gold(spark, sf_dir), prefix="pl_")
+    return spark.sql(
+        """SELECT l.estado_sigla, p.produto,
+                  CAST(round(sum(CAST(f.valor_venda AS DECIMAL(24,6)))::DECIMAL(24,6)
+                             / count(f.valor_venda)::DECIMAL(14,0), 3) AS DOUBLE) AS preco_medio_venda,
+                  count(*) AS total_coletas
+           FROM pl_fact_precos_combustivel f
+           JOIN pl_dim_localidade l ON f.localidade_id = l.localidade_id
+           JOIN pl_dim_produto p ON f.produto_id = p.produto_id
+           GROUP BY l.estado_sigla, p.produto
+           ORDER BY l.estado_sigla, p.produto"""
+    )
+
+
+@register(
+    "sql_clean_functions",
+    O.with_lake(
+        f"""SELECT "Municipio" AS raw_city, UPPER(TRIM("Municipio")) AS city,
+                   REGEXP_REPLACE("CNPJ da Revenda", '\\D', '', 'g') AS cnpj,
+                   TRY_CAST(REPLACE(REPLACE("Valor de Venda", '.', ''), ',', '.') AS DOUBLE) AS venda,
+                   {O._SAFE_DATE.format(c='"Data da Coleta"')} AS data,
+                   CAST(COUNT(*) AS BIGINT) AS n
+            FROM bronze GROUP BY ALL""",
+        "bronze",
+    ),
+)
+def _sql_clean(spark, sf_dir):
+    """The cleaning rules as SQL functions over a bronze view."""
+    register_sql_functions(spark)
+    _bronze(spark, sf_dir).createOrReplaceTempView("pl_bronze")
+    return spark.sql(
+        """SELECT `Municipio` AS raw_city, clean_text(`Municipio`) AS city,
+                  digits_only(`CNPJ da Revenda`) AS cnpj, br_decimal(`Valor de Venda`) AS venda,
+                  safe_date(`Data da Coleta`) AS data, count(*) AS n
+           FROM pl_bronze GROUP BY ALL"""
+    )
+
+
+@register(
+    "fact_chunks",
+    O.with_lake(
+        """SELECT CAST((rn - 1) // 500000 AS BIGINT) AS chunk, CAST(MIN(rn) AS BIGINT) AS first_id,
+                  CAST(MAX(rn) AS BIGINT) AS last_id, CAST(COUNT(*) AS BIGINT) AS n
+           FROM (SELECT ROW_NUMBER() OVER () AS rn FROM fact) GROUP BY 1"""
+    ),
+)
+def _fact_chunks(spark, sf_dir):
+    """K7/F8: the load's 500,000-id chunks, as a parameterised SQL report."""
+    fact = _gold(spark, sf_dir).fact
+    return spark.sql(
+        """SELECT CAST((fato_id - 1) DIV :chunk AS BIGINT) AS chunk, min(fato_id) AS first_id,
+                  max(fato_id) AS last_id, count(*) AS n
+           FROM {fact} GROUP BY 1""",
+        args={"chunk": 500000},
+        fact=fact,
+    )
