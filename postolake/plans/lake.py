@@ -29,11 +29,11 @@ class Lake:
     gold: Gold
 
 
-_LAKES: dict[tuple[str, str], Lake] = {}
+_LAKES: dict[tuple[str, int, str], Lake] = {}
 
 
 def demo_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
     if key not in _LAKES:
         ensure_checkpoint_dir(spark)
         # The demo frame stands in for raw files: store it like them, so later
