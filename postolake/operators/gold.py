@@ -42,7 +42,7 @@ class Gold:
     dim_localidade: DataFrame
     dim_posto: DataFrame
     posto_lookup: DataFrame
-    fact: DataFrame
+    fact: DataFrame | None
     _rows: dict = field(default_factory=dict, repr=False)
 
     def rows(self, name: str) -> int:
@@ -138,28 +138,22 @@ def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFr
     return F.broadcast(df) if df.count() <= limit else df
 
 
-def build_fact(
-    g: DataFrame,
-    dim_data: DataFrame,
-    dim_produto: DataFrame,
-    dim_localidade: DataFrame,
-    posto_lookup: DataFrame,
-    keep_year: bool = False,
-) -> DataFrame:
+def build_fact(g: DataFrame, gold: Gold, keep_year: bool = False) -> DataFrame:
     """fact_precos_combustivel.
 
     ``g`` must be a deterministic scan (written silver or a checkpoint) so the
-    dense ``fato_id`` pass is repeatable. ``keep_year`` keeps ``ano`` for a
+    dense ``fato_id`` pass is repeatable. Dimensions come from ``gold`` and are
+    broadcast behind its row-count check. ``keep_year`` keeps ``ano`` for a
     year-partitioned write.
     """
     matched = g.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in FACT_KEYS]))
     ided = dense_ids(
         matched.select(*FACT_KEYS, "valor_venda", "valor_compra", "ano"), "fato_id"
     )
-    dd = checked_broadcast(dim_data.select(F.col("data").alias("data_coleta"), "data_id"))
-    dp = checked_broadcast(dim_produto)
-    dl = checked_broadcast(dim_localidade)
-    po = checked_broadcast(posto_lookup)
+    dd = gold.dim("dim_data", gold.dim_data.select(F.col("data").alias("data_coleta"), "data_id"))
+    dp = gold.dim("dim_produto")
+    dl = gold.dim("dim_localidade")
+    po = gold.dim("dim_posto", gold.posto_lookup)
     joined = (
         ided.join(dd, "data_coleta")
         .join(dp, ["produto", "unidade_medida"])
@@ -182,6 +176,6 @@ def build_gold(silver: DataFrame, keep_year: bool = False) -> Gold:
     dim_produto = build_dim_produto(g)
     dim_localidade = build_dim_localidade(g)
     dim_posto = build_dim_posto(g)
-    lookup = build_posto_lookup(dim_posto)
-    fact = build_fact(g, dim_data, dim_produto, dim_localidade, lookup, keep_year=keep_year)
-    return Gold(dim_data, dim_produto, dim_localidade, dim_posto, lookup, fact)
+    gold = Gold(dim_data, dim_produto, dim_localidade, dim_posto, build_posto_lookup(dim_posto), fact=None)
+    gold.fact = build_fact(g, gold, keep_year=keep_year)
+    return gold
