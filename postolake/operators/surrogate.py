@@ -45,11 +45,12 @@ def rank_ids(
     """Add ``id_col`` = 1-based rank of each row under ``order`` (a total order)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     columns = df.columns
+    # Without an explicit count AQE may merge adjacent ranges of a small
+    # input; merged ranges stay in order, so ranks are unaffected.
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
     ordered = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id())
         .checkpoint(eager=True)

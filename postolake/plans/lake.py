@@ -14,13 +14,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from postolake.operators.gold import Gold, build_gold
 from postolake.operators.silver import build_silver
 from postolake.session import ensure_checkpoint_dir
+from postolake.sinks.parquet import read_gold, read_silver, write_gold, write_silver
 from postolake.sources.demo import demo_bronze
 
+__all__ = ["Lake", "demo_lake", "read_gold", "read_silver", "run_batch", "write_gold", "write_silver"]
+
 
 @dataclass
 class Lake:
@@ -44,63 +46,6 @@ def demo_lake(spark: SparkSession, sf_dir: str) -> Lake:
     return _LAKES[key]
 
 
-def write_silver(silver: DataFrame, path: str) -> None:
-    """K1: silver as Parquet partitioned by ``ano`` (NULL year -> default partition).
-
-    Written straight from the deduplication's output partitions: no extra
-    shuffle of the whole table. Each task writes at most one file per year
-    it holds (rows sorted by year then date, which also tightens Parquet
-    min/max statistics for date filters), and no task holds more than its
-    share of any year, however large that year is. Files are capped at 5 M rows.
-    """
-    (
-        silver.sortWithinPartitions(F.col("ano").asc_nulls_first(), "data_coleta")
-        .write.mode("overwrite")
-        .option("maxRecordsPerFile", 5_000_000)
-        .partitionBy("ano")
-        .parquet(path)
-    )
-
-
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    """All silver partitions; partition discovery restores ``ano``."""
-    return spark.read.parquet(path)
-
-
-def write_gold(gold: Gold, root: str) -> None:
-    """K4-K7, K9: gold tables as Parquet; the fact is partitioned by year.
-
-    Dimensions are small and written as single-digit file counts; the fact
-    is written straight from its broadcast-join plan (no shuffle), bounded
-    to 500,000 rows per file.
-    """
-    gold.dim_data.coalesce(1).write.mode("overwrite").parquet(f"{root}/dim_data")
-    gold.dim_produto.coalesce(1).write.mode("overwrite").parquet(f"{root}/dim_produto")
-    gold.dim_localidade.write.mode("overwrite").parquet(f"{root}/dim_localidade")
-    gold.dim_posto.write.mode("overwrite").parquet(f"{root}/dim_posto")
-    (
-        gold.fact.write.mode("overwrite")
-        .option("maxRecordsPerFile", 500_000)
-        .partitionBy("ano")
-        .parquet(f"{root}/fact_precos_combustivel")
-    )
-
-
-def read_gold(spark: SparkSession, root: str) -> Gold:
-    """Gold tables from Parquet; the posto lookup is recomputed (tiny)."""
-    from postolake.operators.gold import build_posto_lookup
-
-    dim_posto = spark.read.parquet(f"{root}/dim_posto")
-    return Gold(
-        dim_data=spark.read.parquet(f"{root}/dim_data"),
-        dim_produto=spark.read.parquet(f"{root}/dim_produto"),
-        dim_localidade=spark.read.parquet(f"{root}/dim_localidade"),
-        dim_posto=dim_posto,
-        posto_lookup=build_posto_lookup(dim_posto),
-        fact=spark.read.parquet(f"{root}/fact_precos_combustivel"),
-    )
-
-
 def run_batch(spark: SparkSession, raw_bronze: DataFrame, root: str) -> Gold:
     """Bronze frame -> written silver -> written gold; returns gold read back."""
     write_silver(build_silver(raw_bronze), f"{root}/silver/combustiveis")

@@ -1,8 +1,10 @@
 """Archive expansion: zip files -> text lines, distributed by archive.
 
 ``binaryFile`` gives one row per archive; ``mapInPandas`` opens each archive
-in its task and streams every member line by line (bounded batches, so a
-large member never sits whole in memory twice). A broken archive yields no
+in its task and streams every member line by line: one pass checks that
+the member is valid UTF-8, a second yields decoded lines in bounded batches,
+so a member is never held whole in memory (the archive bytes themselves are
+one ``binaryFile`` cell, at most 2 GB). A broken archive yields no
 rows, as the source system's extraction returns an empty list. Members are
 decoded as UTF-8 when the whole member is valid UTF-8, else as latin-1.
 
@@ -12,6 +14,7 @@ A zip is not splittable, so one archive is one task; everything downstream
 
 from __future__ import annotations
 
+import codecs
 import io
 import zipfile
 from collections.abc import Iterator
@@ -29,15 +32,25 @@ LINES_SCHEMA = "archive string, member string, line_no long, line string"
 _BATCH = 50_000
 
 
-def _member_lines(data: bytes, name: str, archive: str):
-    with zipfile.ZipFile(io.BytesIO(data)) as zf:
-        raw = zf.read(name)
-    try:
-        text = raw.decode("utf-8-sig")
-    except UnicodeDecodeError:
-        text = raw.decode("latin-1")
-    for i, line in enumerate(text.splitlines()):
-        yield archive, name, i, line
+def _is_utf8(zf: zipfile.ZipFile, name: str) -> bool:
+    """First pass: is the whole member valid UTF-8? (streamed, bounded memory)"""
+    decoder = codecs.getincrementaldecoder("utf-8")()
+    with zf.open(name) as fh:
+        try:
+            for chunk in iter(lambda: fh.read(1 << 20), b""):
+                decoder.decode(chunk)
+            decoder.decode(b"", final=True)
+        except UnicodeDecodeError:
+            return False
+    return True
+
+
+def _member_lines(zf: zipfile.ZipFile, name: str, archive: str):
+    """Second pass: the member's lines, decoded with its charset, one at a time."""
+    encoding = "utf-8-sig" if _is_utf8(zf, name) else "latin-1"
+    with zf.open(name) as fh, io.TextIOWrapper(fh, encoding=encoding, newline=None) as text:
+        for i, line in enumerate(text):
+            yield archive, name, i, line.rstrip("\n")
 
 
 def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -49,9 +62,10 @@ def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             except (zipfile.BadZipFile, OSError, ValueError):
                 continue  # broken archive: nothing extracted
             buf = []
+            zf = zipfile.ZipFile(io.BytesIO(content))
             for m in members:
                 try:
-                    for rec in _member_lines(content, m, path):
+                    for rec in _member_lines(zf, m, path):
                         buf.append(rec)
                         if len(buf) >= _BATCH:
                             yield pd.DataFrame(buf, columns=["archive", "member", "line_no", "line"])
