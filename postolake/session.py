@@ -79,3 +79,24 @@ def shared_work_dir(spark: SparkSession, name: str) -> str:
     """A folder for written intermediate tables, inside the checkpoint root."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/postolake-tables/{name}"
+
+
+def scale_conf(input_bytes: int, executor_cores: int, executors: int, task_bytes: int = 512 << 20) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` of raw files.
+
+    Scan splits and post-shuffle partitions both target ``task_bytes`` (about
+    512 MB: large enough to amortise task overhead, small enough to sort and
+    spill within an executor core's share of memory). Shuffle partitions start
+    at input / task size, at least three waves of the cluster's cores; AQE then
+    coalesces small ones and splits skewed ones.
+    """
+    cores = max(1, executor_cores * executors)
+    partitions = max(3 * cores, -(-input_bytes // task_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(task_bytes // 2),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(task_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
