@@ -122,12 +122,11 @@ def build_dim_posto(g: DataFrame) -> DataFrame:
 
 
 def build_posto_lookup(dim_posto: DataFrame) -> DataFrame:
-    """One station id per CNPJ — the lowest (DISTINCT ON ... ORDER BY id)."""
-    return (
-        dim_posto.filter(F.col("cnpj_revenda").isNotNull())
-        .groupBy("cnpj_revenda")
-        .agg(F.min("posto_id").alias("posto_id"))
-    )
+    """One station id per CNPJ — the lowest (DISTINCT ON ... ORDER BY id).
+
+    Like DISTINCT ON, NULL CNPJs form one group; its row never joins.
+    """
+    return dim_posto.groupBy("cnpj_revenda").agg(F.min("posto_id").alias("posto_id"))
 
 
 def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
