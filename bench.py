@@ -97,8 +97,15 @@ def main() -> None:
 
     total = round(sum(times.values()), 4)
     sf = os.path.basename(sf_dir).replace("sf", "")
+    rows = {
+        "bronze": bronze.count(),
+        "silver": read_silver(spark, f"{root}/silver/combustiveis").count(),
+        "fact": gold.fact.count(),
+    }
+    silver_rate = round(rows["bronze"] / times["silver"]) if times["silver"] else None
     print(json.dumps({"metric": "lake_end_to_end_total", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": cpus}))
+                      "queries": times, "sf": sf, "cpus": cpus, "rows": rows,
+                      "silver_input_rows_per_sec": silver_rate}))
     spark.stop()
 
 
