@@ -25,6 +25,16 @@ from postolake.operators.gold import Gold
 DateLike = str | dt.date | None
 
 
+def dashboard_range(years: int = 20, today: dt.date | None = None) -> tuple[dt.date, dt.date]:
+    """The dashboards' default time window: now - ``years`` .. now."""
+    end = today or dt.date.today()
+    try:
+        start = end.replace(year=end.year - years)
+    except ValueError:  # 29 February
+        start = end.replace(year=end.year - years, day=28)
+    return start, end
+
+
 def _date(value: DateLike) -> Column | None:
     if value is None:
         return None

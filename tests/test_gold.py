@@ -92,3 +92,8 @@ def test_average_null_group_and_margin(spark):
     assert b1 == {"GASOLINA": 5.5, "GNV": None}  # group whose average is NULL
     d7 = A.dash_product_summary(gold).first()
     assert (d7["margem_media"], d7["total_registros"]) == (1.25, 2)
+
+
+def test_dashboard_default_range():
+    assert A.dashboard_range(20, dt.date(2024, 2, 29)) == (dt.date(2004, 2, 28), dt.date(2024, 2, 29))
+    assert A.dashboard_range(1, dt.date(2026, 12, 2)) == (dt.date(2025, 12, 2), dt.date(2026, 12, 2))
