@@ -95,5 +95,6 @@ def test_average_null_group_and_margin(spark):
 
 
 def test_dashboard_default_range():
-    assert A.dashboard_range(20, dt.date(2024, 2, 29)) == (dt.date(2004, 2, 28), dt.date(2024, 2, 29))
+    assert A.dashboard_range(1, dt.date(2024, 2, 29)) == (dt.date(2023, 2, 28), dt.date(2024, 2, 29))
+    assert A.dashboard_range(20, dt.date(2024, 2, 29)) == (dt.date(2004, 2, 29), dt.date(2024, 2, 29))
     assert A.dashboard_range(1, dt.date(2026, 12, 2)) == (dt.date(2025, 12, 2), dt.date(2026, 12, 2))
