@@ -12,7 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postolake.operators.gold import FACT_KEYS, Gold, checked_broadcast
+from postolake.operators.broadcast import checked_broadcast
+from postolake.operators.gold import FACT_KEYS, Gold
 
 _DIM_KEYS = {
     "dim_data": ("data_id", ["data"]),

@@ -22,12 +22,15 @@ from pyspark.sql import functions as F
 
 from postolake.constants import POSTO_ATTRIBUTES, SILVER_TEXT_COLUMNS
 from postolake.functions import blank_to_null, strip_nul
+from postolake.operators.broadcast import BROADCAST_ROW_LIMIT, checked_broadcast
 from postolake.operators.surrogate import dense_ids, rank_ids
 
-# Broadcast a dimension only when it has at most this many rows. Real
-# dimensions (days, products, ~6k cities, ~50k station versions) are far
-# below; beyond it the join falls back to a shuffle join.
-BROADCAST_ROW_LIMIT = 2_000_000
+__all__ = [
+    "BROADCAST_ROW_LIMIT", "FACT_KEYS", "Gold", "build_dim_data", "build_dim_localidade",
+    "build_dim_posto", "build_dim_produto", "build_fact", "build_gold", "build_posto_lookup",
+    "checked_broadcast", "gold_input",
+]
+
 
 FACT_KEYS = [
     "data_coleta", "produto", "unidade_medida", "regiao_sigla", "estado_sigla",
@@ -129,14 +132,6 @@ def build_posto_lookup(dim_posto: DataFrame) -> DataFrame:
     return dim_posto.groupBy("cnpj_revenda").agg(F.min("posto_id").alias("posto_id"))
 
 
-def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only if its row count is within ``limit``.
-
-    Dimensions are checkpointed, so the count reads a small stored table.
-    """
-    return F.broadcast(df) if df.count() <= limit else df
-
-
 def build_fact(g: DataFrame, gold: Gold, keep_year: bool = False) -> DataFrame:
     """fact_precos_combustivel.
 

@@ -20,7 +20,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postolake.operators.gold import FACT_KEYS, checked_broadcast
+from postolake.operators.broadcast import checked_broadcast
+from postolake.operators.gold import FACT_KEYS
 from postolake.operators.surrogate import dense_ids, rank_ids
 
 VERSION_ATTRIBUTES = ["revenda", "bandeira", "nome_rua", "numero_rua", "complemento", "bairro", "cep"]
