@@ -85,3 +85,11 @@ def test_zip_two_members_and_broken_zip(spark, tmp_dir):
     assert len(rows) == 3
     assert sorted(r["Municipio"] for r in rows) == ["Belém", "São Paulo", "São Paulo"]
     assert all(r["filename"].endswith(("m1.csv", "m2.csv")) for r in rows)
+
+
+def test_quoted_line_break_with_multiline(spark, tmp_dir):
+    text = HEADER + "\n" + row().replace("Posto", '"Posto\nCentral"') + "\n" + row(city="Natal") + "\n"
+    write(f"{tmp_dir}/m.csv", text)
+    rows = read_bronze(spark, tmp_dir, multiline=True).collect()
+    assert len(rows) == 2
+    assert {r["Revenda"] for r in rows} == {"Posto\nCentral", "Posto"}
