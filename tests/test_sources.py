@@ -93,3 +93,9 @@ def test_quoted_line_break_with_multiline(spark, tmp_dir):
     rows = read_bronze(spark, tmp_dir, multiline=True).collect()
     assert len(rows) == 2
     assert {r["Revenda"] for r in rows} == {"Posto\nCentral", "Posto"}
+
+
+def test_known_charset_skips_detection(spark, tmp_dir):
+    write(f"{tmp_dir}/l.csv", HEADER + "\n" + row() + "\n", encoding="latin-1")
+    rows = read_bronze(spark, tmp_dir, encoding="ISO-8859-1").collect()
+    assert [r["Municipio"] for r in rows] == ["São Paulo"]
