@@ -36,6 +36,7 @@ def run_lake(
     out_root: str,
     sample: str = "first",
     include_archives: bool = False,
+    encoding: str | None = None,
 ) -> LakeRun:
     seconds: dict[str, float] = {}
 
@@ -46,7 +47,7 @@ def run_lake(
         return out
 
     def bronze_frame():
-        raw = read_bronze(spark, bronze_root)
+        raw = read_bronze(spark, bronze_root, encoding=encoding)
         if include_archives:
             from postolake.sources.archives import archive_members_to_bronze, expand_archives
 
