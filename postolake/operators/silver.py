@@ -48,6 +48,14 @@ def rename_bronze(raw: DataFrame) -> DataFrame:
     )
 
 
+def repair_text_columns(renamed: DataFrame) -> DataFrame:
+    """X1 in silver: mojibake repair of the free-text columns (Arrow UDF)."""
+    from postolake.functions.unicode_fix import fix_unicode
+
+    text = set(UPPER_TRIM_COLUMNS) | set(TRIM_ONLY_COLUMNS)
+    return renamed.select(*[fix_unicode(c).alias(c) if c in text else F.col(c) for c in renamed.columns])
+
+
 def clean_bronze(renamed: DataFrame) -> DataFrame:
     """One projection of Column expressions (the cleaning CTE)."""
     exprs = [F.col("filename")]
@@ -98,9 +106,17 @@ def deduplicate(keyed: DataFrame) -> DataFrame:
     return keyed.groupBy("row_hash").agg(survivor).select("row_hash", "s.*")
 
 
-def build_silver(raw_bronze: DataFrame) -> DataFrame:
-    """Bronze (raw headers + filename) -> the 20-column silver frame."""
-    keyed = with_row_key(clean_bronze(rename_bronze(raw_bronze)))
+def build_silver(raw_bronze: DataFrame, repair_text: bool = False) -> DataFrame:
+    """Bronze (raw headers + filename) -> the 20-column silver frame.
+
+    ``repair_text`` runs the mojibake repair on free-text columns first; it is
+    off by default, as in the source system, where the function is registered
+    but not called.
+    """
+    renamed = rename_bronze(raw_bronze)
+    if repair_text:
+        renamed = repair_text_columns(renamed)
+    keyed = with_row_key(clean_bronze(renamed))
     return drop_blank_rows(deduplicate(keyed)).select(*SILVER_COLUMNS)
 
 

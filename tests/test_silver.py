@@ -61,3 +61,10 @@ def test_silver_schema(spark):
     assert s.columns[:2] == ["filename", "row_hash"]
     assert types["data_coleta"] == "date" and types["valor_venda"] == "double"
     assert types["ano"] == "int" and types["mes"] == "int"
+
+
+def test_optional_text_repair(spark):
+    rows = [dict(BASE, municipio="SÃ£o Paulo")]
+    plain = build_silver(bronze_rows(spark, rows)).first()["municipio"]
+    fixed = build_silver(bronze_rows(spark, rows), repair_text=True).first()["municipio"]
+    assert plain == "SÃ£O PAULO" and fixed == "SÃO PAULO"
