@@ -14,6 +14,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -166,10 +167,11 @@ def build_fact(g: DataFrame, gold: Gold, keep_year: bool = False) -> DataFrame:
 def build_gold(silver: DataFrame, keep_year: bool = False) -> Gold:
     """Whole gold build from a deterministic silver scan."""
     g = gold_input(silver)
-    dim_data = build_dim_data(g)
-    dim_produto = build_dim_produto(g)
-    dim_localidade = build_dim_localidade(g)
-    dim_posto = build_dim_posto(g)
+    # The four dimensions are independent: their (small) jobs are submitted
+    # from separate threads so the scheduler runs them side by side.
+    builders = [build_dim_data, build_dim_produto, build_dim_localidade, build_dim_posto]
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        dim_data, dim_produto, dim_localidade, dim_posto = pool.map(lambda build: build(g), builders)
     gold = Gold(dim_data, dim_produto, dim_localidade, dim_posto, build_posto_lookup(dim_posto), fact=None)
     gold.fact = build_fact(g, gold, keep_year=keep_year)
     return gold
