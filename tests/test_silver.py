@@ -68,3 +68,14 @@ def test_optional_text_repair(spark):
     plain = build_silver(bronze_rows(spark, rows)).first()["municipio"]
     fixed = build_silver(bronze_rows(spark, rows), repair_text=True).first()["municipio"]
     assert plain == "SÃ£O PAULO" and fixed == "SÃO PAULO"
+
+
+def test_hot_key_collapses_to_one_survivor(spark):
+    hot = [dict(BASE, municipio=" são paulo " if i % 2 else "SÃO PAULO", filename=f"f{i % 50:02d}.csv")
+           for i in range(3000)]
+    others = [dict(BASE, valor_venda=f"{i},00", filename="z.csv") for i in range(10, 6010)]
+    df = bronze_rows(spark, hot + others).repartition(16)
+    out = build_silver(df)
+    assert out.count() == 1 + 6000
+    hot_rows = out.filter("valor_venda = 5.29").collect()
+    assert len(hot_rows) == 1 and hot_rows[0]["filename"] == "f00.csv"
