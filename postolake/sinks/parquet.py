@@ -11,6 +11,9 @@ from postolake.operators.gold import Gold, build_posto_lookup
 def write_silver(silver: DataFrame, path: str) -> None:
     """K1: silver as Parquet partitioned by ``ano`` (NULL year -> default partition).
 
+    Years present in the new data replace their partitions; other years stay
+    (dynamic overwrite, like the source system's overwrite-or-ignore copy).
+
     Written straight from the deduplication's output partitions: no extra
     shuffle of the whole table. Each task writes at most one file per year
     it holds (rows sorted by year then date, which also tightens Parquet
@@ -20,6 +23,7 @@ def write_silver(silver: DataFrame, path: str) -> None:
     (
         silver.sortWithinPartitions(F.col("ano").asc_nulls_first(), "data_coleta")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", 5_000_000)
         .partitionBy("ano")
         .parquet(path)
@@ -44,6 +48,7 @@ def write_gold(gold: Gold, root: str) -> None:
     gold.dim_posto.write.mode("overwrite").parquet(f"{root}/dim_posto")
     (
         gold.fact.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")  # full reload: no stale years survive
         .option("maxRecordsPerFile", 500_000)
         .partitionBy("ano")
         .parquet(f"{root}/fact_precos_combustivel")

@@ -98,3 +98,19 @@ def test_dashboard_default_range():
     assert A.dashboard_range(1, dt.date(2024, 2, 29)) == (dt.date(2023, 2, 28), dt.date(2024, 2, 29))
     assert A.dashboard_range(20, dt.date(2024, 2, 29)) == (dt.date(2004, 2, 29), dt.date(2024, 2, 29))
     assert A.dashboard_range(1, dt.date(2026, 12, 2)) == (dt.date(2025, 12, 2), dt.date(2026, 12, 2))
+
+
+def test_gold_reload_replaces_all_years_silver_keeps_others(spark, tmp_dir):
+    import os
+
+    from postolake.sinks.parquet import read_gold, write_gold, write_silver
+
+    first = build_silver(bronze_rows(spark, [station("01/01/2019", "A"), station("01/01/2020", "A")]))
+    write_silver(first, f"{tmp_dir}/silver")
+    write_gold(build_gold(first.checkpoint(eager=True), keep_year=True), f"{tmp_dir}/gold")
+    second = build_silver(bronze_rows(spark, [station("02/01/2020", "B")])).checkpoint(eager=True)
+    write_silver(second, f"{tmp_dir}/silver")
+    write_gold(build_gold(second, keep_year=True), f"{tmp_dir}/gold")
+    assert os.path.isdir(f"{tmp_dir}/silver/ano=2019")  # silver: other years kept
+    assert not os.path.isdir(f"{tmp_dir}/gold/fact_precos_combustivel/ano=2019")  # gold: full reload
+    assert read_gold(spark, f"{tmp_dir}/gold").fact.count() == 1
