@@ -622,10 +622,33 @@ def _silver_csv(spark, sf_dir):
     return build_silver(read_bronze(spark, root)).select(*_SILVER_VALUES)
 
 
-@register("encoding_groups", None)
+_NON_ASCII_ANY = " OR ".join(f"regexp_matches({O.q(h)}, '[^\\x00-\\x7F]')" for h, _ in BRONZE_HEADER_MAP)
+
+
+@register(
+    "encoding_groups",
+    O.with_lake(
+        f"""SELECT encoding, CAST(COUNT(*) AS BIGINT) AS sources
+            FROM (SELECT filename,
+                         CASE WHEN filename LIKE 'ca-199%' AND bool_or(COALESCE({_NON_ASCII_ANY}, FALSE))
+                              THEN 'ISO-8859-1' ELSE 'UTF-8' END AS encoding
+                  FROM bronze GROUP BY filename)
+            GROUP BY encoding""",
+        "bronze",
+    ),
+)
 def _encodings(spark, sf_dir):
+    """Detected charset per source file (latin-1 if any of its part files is)."""
     root = demo_files(spark, sf_dir)["bronze_mixed"]
-    return detect_encodings(spark, root).groupBy("encoding").agg(F.count(F.lit(1)).alias("files"))
+    per_part = detect_encodings(spark, root).withColumn(
+        "source", F.regexp_extract("filename", "source_file=([^/]+)/", 1)
+    )
+    per_source = per_part.groupBy("source").agg(
+        F.max(F.col("encoding") == "ISO-8859-1").alias("latin1")
+    )
+    return per_source.groupBy(
+        F.when(F.col("latin1"), F.lit("ISO-8859-1")).otherwise(F.lit("UTF-8")).alias("encoding")
+    ).agg(F.count(F.lit(1)).alias("sources"))
 
 
 @register(
