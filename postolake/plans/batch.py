@@ -13,6 +13,7 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postolake.operators.checks import load_report
 from postolake.operators.gold import Gold, build_gold, gold_input
@@ -20,6 +21,7 @@ from postolake.operators.quality import default_suite, run_suite
 from postolake.operators.silver import build_silver
 from postolake.sinks.parquet import read_gold, read_silver, write_gold, write_silver
 from postolake.sources.bronze_csv import read_bronze
+from postolake.sources.manifest import file_listing
 
 
 @dataclass
@@ -55,7 +57,19 @@ def run_lake(
         return raw
 
     raw = stage("bronze", bronze_frame)
-    quality = stage("quality", lambda: spark.createDataFrame(run_suite(raw, default_suite(), sample).collect()))
+
+    def quality_stage():
+        frame = raw
+        if sample == "first":
+            # Only the first file by name is checked: find it in the listing
+            # (no file contents read) and scan just that file.
+            first = file_listing(spark, bronze_root, "*.csv").agg(F.min("path").alias("p")).first()["p"]
+            if first is None:
+                raise FileNotFoundError(f"no CSV file under {bronze_root}")
+            frame = read_bronze(spark, first, encoding=encoding)
+        return spark.createDataFrame(run_suite(frame, default_suite(), "all").collect())
+
+    quality = stage("quality", quality_stage)
     silver_path = f"{out_root}/silver/combustiveis"
     stage("silver", lambda: write_silver(build_silver(raw), silver_path))
 

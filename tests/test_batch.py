@@ -28,3 +28,13 @@ def test_run_lake_end_to_end(spark, tmp_dir):
     assert cities == {3}
     assert os.path.isdir(f"{out}/silver/combustiveis/ano=2020")
     assert os.path.isdir(f"{out}/gold/fact_precos_combustivel/ano=2020")
+
+
+def test_quality_checks_first_file_only(spark, tmp_dir):
+    bronze, out = f"{tmp_dir}/bronze", f"{tmp_dir}/lake"
+    write(f"{bronze}/a.csv", HEADER + "\n" + row() + "\n")
+    write(f"{bronze}/b.csv", HEADER + "\n" + row(city="Natal") + "\n" + row(city="Recife") + "\n")
+    result = run_lake(spark, bronze, out, sample="first")
+    counts = {r["element_count"] for r in result.quality.collect()}
+    assert counts == {1}
+    assert result.load_report.first()["silver_rows"] == 3
