@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postolake.constants import BRONZE_HEADERS, VALID_STATES
+from postolake.operators.broadcast import checked_broadcast
 
 NBSP = "\u00a0"
 
@@ -203,8 +204,8 @@ def demo_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = (
         li.join(part, li.l_partkey == part.p_partkey)
         .join(supplier, li.l_suppkey == supplier.s_suppkey)
-        .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(checked_broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(checked_broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
     )
 
     # One pass: every line item once, and line 1 a second time as a copy.
