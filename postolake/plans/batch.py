@@ -2,7 +2,9 @@
 
 ``run_lake`` is what the source system's main program does, as Spark jobs:
 read the bronze tree (per-file charset), run the quality suite (its result is
-returned, it does not block, as in the source system), write silver
+returned, it does not block, as in the source system; with ``sample="first"``
+only the first file is checked, read under its own header so column checks
+see the real file), write silver
 partitioned by year, build and write gold, and return the load report.
 Each stage's wall time is recorded.
 """
@@ -20,7 +22,7 @@ from postolake.operators.gold import Gold, build_gold, gold_input
 from postolake.operators.quality import default_suite, run_suite
 from postolake.operators.silver import build_silver
 from postolake.sinks.parquet import read_gold, read_silver, write_gold, write_silver
-from postolake.sources.bronze_csv import read_bronze
+from postolake.sources.bronze_csv import detect_encodings, read_bronze, read_with_own_header
 from postolake.sources.manifest import file_listing
 
 
@@ -39,6 +41,7 @@ def run_lake(
     sample: str = "first",
     include_archives: bool = False,
     encoding: str | None = None,
+    suite=None,
 ) -> LakeRun:
     seconds: dict[str, float] = {}
 
@@ -66,8 +69,9 @@ def run_lake(
             first = file_listing(spark, bronze_root, "*.csv").agg(F.min("path").alias("p")).first()["p"]
             if first is None:
                 raise FileNotFoundError(f"no CSV file under {bronze_root}")
-            frame = read_bronze(spark, first, encoding=encoding)
-        return spark.createDataFrame(run_suite(frame, default_suite(), "all").collect())
+            charset = encoding or detect_encodings(spark, first).first()["encoding"]
+            frame = read_with_own_header(spark, first, charset)
+        return spark.createDataFrame(run_suite(frame, suite or default_suite(), "all").collect())
 
     quality = stage("quality", quality_stage)
     silver_path = f"{out_root}/silver/combustiveis"

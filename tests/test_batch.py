@@ -38,3 +38,19 @@ def test_quality_checks_first_file_only(spark, tmp_dir):
     counts = {r["element_count"] for r in result.quality.collect()}
     assert counts == {1}
     assert result.load_report.first()["silver_rows"] == 3
+
+
+def test_first_file_checked_under_its_own_header(spark, tmp_dir):
+    from postolake.constants import BRONZE_HEADERS
+    from postolake.operators.quality import default_suite
+
+    bronze, out = f"{tmp_dir}/bronze", f"{tmp_dir}/lake"
+    headers = [h for h in BRONZE_HEADERS if h != "CNPJ da Revenda"] + ["Extra"]
+    write(f"{bronze}/a.csv", ";".join(headers) + "\n" + row() + "\n")
+    write(f"{bronze}/b.csv", HEADER + "\n" + row(city="Natal") + "\n")
+    suite = default_suite(include_columns=True)
+    result = run_lake(spark, bronze, out, sample="first", suite=suite)
+    res = {r["ordinal"]: r for r in result.quality.collect()}
+    assert res[6]["success"] is False  # CNPJ column missing from the first file
+    assert res[8]["success"] is False  # ordered column list differs
+    assert res[1]["success"] is True
