@@ -99,3 +99,19 @@ def test_known_charset_skips_detection(spark, tmp_dir):
     write(f"{tmp_dir}/l.csv", HEADER + "\n" + row() + "\n", encoding="latin-1")
     rows = read_bronze(spark, tmp_dir, encoding="ISO-8859-1").collect()
     assert [r["Municipio"] for r in rows] == ["São Paulo"]
+
+
+def test_columns_taken_by_header_name(spark, tmp_dir):
+    swapped = list(BRONZE_HEADERS)
+    i, j = swapped.index("Municipio"), swapped.index("Bairro")
+    swapped[i], swapped[j] = swapped[j], swapped[i]
+    fields = row().split(";")
+    fields[i], fields[j] = fields[j], fields[i]
+    write(f"{tmp_dir}/std.csv", HEADER + "\n" + row() + "\n")
+    write(f"{tmp_dir}/sub/swapped.csv", ";".join(swapped) + "\n" + ";".join(fields) + "\n", encoding="latin-1")
+    write(f"{tmp_dir}/short_header.csv", ";".join(BRONZE_HEADERS[:3]) + "\nS;PR;Curitiba\n")
+    rows = read_bronze(spark, tmp_dir).collect()
+    assert sorted(r["Municipio"] for r in rows) == ["Curitiba", "São Paulo", "São Paulo"]
+    assert sorted(r["Bairro"] or "-" for r in rows) == ["-", "Centro", "Centro"]
+    by_file = {r["filename"].split("/")[-1]: r for r in rows}
+    assert by_file["short_header.csv"]["Produto"] is None
