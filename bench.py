@@ -96,7 +96,11 @@ def main() -> None:
         times[name] = round(best, 4)
 
     total = round(sum(times.values()), 4)
-    sf = os.path.basename(sf_dir).replace("sf", "")
+    sf_text = os.path.basename(sf_dir).replace("sf", "")
+    try:
+        sf = float(sf_text)
+    except ValueError:
+        sf = sf_text
     rows = {
         "bronze": bronze.count(),
         "silver": read_silver(spark, f"{root}/silver/combustiveis").count(),
