@@ -115,3 +115,12 @@ def test_columns_taken_by_header_name(spark, tmp_dir):
     assert sorted(r["Bairro"] or "-" for r in rows) == ["-", "Centro", "Centro"]
     by_file = {r["filename"].split("/")[-1]: r for r in rows}
     assert by_file["short_header.csv"]["Produto"] is None
+
+
+def test_header_with_trailing_separator_and_blank_names(spark, tmp_dir):
+    header = ";".join(BRONZE_HEADERS[:2]) + ";;Municipio;Municipio;"
+    write(f"{tmp_dir}/odd.csv", header + "\nS;PR;x;Curitiba;dup;\n")
+    rows = read_bronze(spark, tmp_dir).collect()
+    assert len(rows) == 1
+    r = rows[0]
+    assert (r["Regiao - Sigla"], r["Estado - Sigla"], r["Municipio"], r["Produto"]) == ("S", "PR", "Curitiba", None)
