@@ -124,3 +124,19 @@ def test_header_with_trailing_separator_and_blank_names(spark, tmp_dir):
     assert len(rows) == 1
     r = rows[0]
     assert (r["Regiao - Sigla"], r["Estado - Sigla"], r["Municipio"], r["Produto"]) == ("S", "PR", "Curitiba", None)
+
+
+def test_line_parser_matches_file_reader(spark, tmp_dir):
+    from postolake.sources.bronze_lines import parse_lines, positioned_lines
+
+    write(f"{tmp_dir}/a.csv", HEADER + "\n" + row() + "\n" + row(city="Belém") + "\n", bom=True)
+    swapped = list(BRONZE_HEADERS)
+    swapped[2], swapped[8] = swapped[8], swapped[2]
+    fields = row(city="Recife").split(";")
+    fields[2], fields[8] = fields[8], fields[2]
+    write(f"{tmp_dir}/x/b.csv", ";".join(swapped) + "\n" + ";".join(fields) + "\n\n", encoding="latin-1")
+    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(tmp_dir)
+    got = parse_lines(positioned_lines(text))
+    ref = read_bronze(spark, tmp_dir)
+    cols = list(BRONZE_HEADERS) + ["filename"]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, ref.select(*cols).collect()))
