@@ -40,9 +40,17 @@ _DMY_SHAPE = _sql_str(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]+$")
 _YMD_SHAPE = _sql_str(r"^[0-9]+-[0-9]{1,2}-[0-9]{1,2}$")
 _EDGE_WS = _sql_str(r"\A\s+|\s+\z")
 
+_WIDE = ", ".join(_sql_str(ch) for ch in SPACE_SEPARATORS if ch != " ")
+# Same fast path as the Column function: byte-level ASCII trim, full set trim
+# only when an edge character is a wider space separator.
+_TRIM = (
+    f"CASE WHEN substring(trim(s), 1, 1) IN ({_WIDE}) OR substring(trim(s), -1, 1) IN ({_WIDE}) "
+    f"THEN trim(BOTH {_SPACES} FROM trim(s)) ELSE trim(s) END"
+)
+
 SQL_FUNCTIONS = {
-    "clean_text": f"(s STRING) RETURNS STRING RETURN upper(trim(BOTH {_SPACES} FROM s))",
-    "trim_spaces": f"(s STRING) RETURNS STRING RETURN trim(BOTH {_SPACES} FROM s)",
+    "clean_text": f"(s STRING) RETURNS STRING RETURN upper({_TRIM})",
+    "trim_spaces": f"(s STRING) RETURNS STRING RETURN {_TRIM}",
     "digits_only": r"(s STRING) RETURNS STRING RETURN regexp_replace(s, '\\D', '')",
     "br_decimal": (
         "(s STRING) RETURNS DOUBLE RETURN CASE WHEN replace(replace(s, '.', ''), ',', '.') "

@@ -86,3 +86,22 @@ def test_fix_unicode(spark):
     assert one(spark, broken, fix_unicode) == "São Paulo"
     assert one(spark, broken, fix_unicode_native) == "São Paulo"
     assert one(spark, "São Paulo", fix_unicode_native) == "São Paulo"
+
+
+def test_sql_functions_agree_with_column_functions(spark):
+    from postolake.plans.sql_api import register_sql_functions
+
+    register_sql_functions(spark)
+    values = ["  são paulo ", " sp ", "\tsp\t", "   ", None, "5/3/2020", " 2020-3-5 ", "1.234,56", "1,5d",
+              "12.345.678/0001-90", "　x ", "31/02/2020"]
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    df.createOrReplaceTempView("fn_cases")
+    sql = spark.sql(
+        "SELECT x, clean_text(x) c, trim_spaces(x) t, digits_only(x) d, br_decimal(x) b, safe_date(x) s FROM fn_cases"
+    )
+    col = df.select(
+        "x", clean_text("x").alias("c"), trim_spaces("x").alias("t"), digits_only("x").alias("d"),
+        br_decimal("x").alias("b"), safe_date("x").alias("s"),
+    )
+    key = lambda r: str(r["x"])
+    assert sorted(sql.collect(), key=key) == sorted(col.collect(), key=key)
