@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -100,3 +101,25 @@ def scale_conf(input_bytes: int, executor_cores: int, executors: int, task_bytes
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(task_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
     }
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of ``spark``.
+
+    Functions passed to ``mapInArrow`` and pandas UDFs are pickled by module
+    name. The package is zipped once per Spark context and handed to Spark
+    with ``addPyFile``, so a cluster needs no installation of its own.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_postolake_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="postolake-ship-"), "postolake-src.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(target)
+    sc._postolake_shipped = True
