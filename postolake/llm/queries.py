@@ -6,8 +6,10 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ship_package
+from .line_dedup import dedup_lines
 from .ngram_join import ngram_jaccard_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +33,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_query
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dedup_lines(_table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), "removed")
