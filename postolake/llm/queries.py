@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
+from .langid import identify
 from .line_dedup import dedup_lines
 from .ngram_join import ngram_jaccard_join
 
@@ -39,3 +40,8 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = dedup_lines(_table(spark, sf_dir, "documents"))
     return docs.select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), "removed")
+
+
+@_query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_table(spark, sf_dir, "documents"))
