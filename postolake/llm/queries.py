@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
+from . import decontaminate
 from .langid import identify
 from .line_dedup import dedup_lines
 from .ngram_join import ngram_jaccard_join
@@ -45,3 +46,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+ORACLES["op4_benchmark_decontamination"] = decontaminate.ORACLE
