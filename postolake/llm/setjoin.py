@@ -3,9 +3,9 @@
 Both similarity joins work in three steps: a cheap filter links candidates,
 components of the candidate graph become work units, and each unit compares
 whole sets exactly. Only spanning edges, counts and flags leave a task, so the
-output stays linear however large a group of near copies is. A component above
-``BLOCK_ROWS`` rows or ``BLOCK_VALUES`` set elements is split into blocks; a
-task then holds two blocks, never the component.
+output stays linear however large a group of near copies is. A component of
+more than ``BLOCK_ROWS`` rows or ``BLOCK_VALUES`` set elements is split into
+blocks; a task then holds two blocks, never the component.
 """
 
 from __future__ import annotations
@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 from .scratch import written
 
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 256
+MAX_BLOCK_ROWS = 4096
+SPREAD = 10  # blocks of a component that MAX_BLOCK_ROWS does not force to have more
 BLOCK_VALUES = 2_000_000
 SMALL_GROUP = 16
 CHUNK_VALUES = 500_000
@@ -277,7 +279,11 @@ def verify_components(members: DataFrame, order: list[str], threshold: float) ->
     weights = members.groupBy("comp").agg(
         F.count("*").alias("c"), F.sum(F.octet_length("tokens") / 8).alias("w")
     )
-    blocks = F.greatest(F.ceil(F.col("c") / BLOCK_ROWS), F.ceil(F.col("w") / BLOCK_VALUES), F.lit(1))
+    blocks = F.greatest(
+        F.least(F.ceil(F.col("c") / BLOCK_ROWS), F.lit(SPREAD)),
+        F.ceil(F.col("c") / MAX_BLOCK_ROWS),
+        F.ceil(F.col("w") / BLOCK_VALUES),
+    )
     sized = members.join(weights, "comp")
     dealt = with_blocks(sized, "comp", "id", blocks)
     dealt = dealt.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", *order, "id")
