@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import decontaminate
+from . import decontaminate, warc
 from .langid import identify
 from .line_dedup import dedup_lines
 from .ngram_join import ngram_jaccard_join
@@ -55,3 +55,11 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 ORACLES["op4_benchmark_decontamination"] = decontaminate.ORACLE
+
+
+@_query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_round_trip(_table(spark, sf_dir, "pages"))
+
+
+ORACLES["op5_warc"] = warc.ORACLE
