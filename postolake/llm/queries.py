@@ -12,6 +12,7 @@ from ..session import ship_package
 from . import decontaminate, warc
 from .langid import identify
 from .line_dedup import dedup_lines
+from .mixing import mix_single_source
 from .ngram_join import ngram_jaccard_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +64,9 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op5_warc"] = warc.ORACLE
+
+
+@_query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_single_source(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
