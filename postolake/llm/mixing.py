@@ -5,8 +5,8 @@ them. Token capacity flows from patterns to source quotas: the r-th copy of a
 pattern's tokens costs r, so the flow meets as much of the quotas as it can and
 repeats as little as it can. Every document of a pattern then gets the whole
 copies of the flow, and the rest goes to documents in the order of a seeded
-hash until it is used up; one more document, the one whose size comes closest,
-makes up for what is still missing if that brings the total nearer.
+hash until it is used up; of the next ``FILLERS`` documents that fit into what
+is then missing, the largest are added first.
 
 Only one row per pattern reaches the driver; more than ``MAX_PATTERNS``
 patterns raise an error. The cut in the seeded order is found by two levels of
@@ -32,6 +32,7 @@ from .scratch import written
 
 MAX_PATTERNS = 5000
 MAX_COPIES = 3
+FILLERS = 64
 _BUCKETS = 256
 
 
@@ -152,30 +153,34 @@ def select_documents(sized: DataFrame, plan: DataFrame, seed: int = 0) -> DataFr
     before = placed.where(~last).withColumn("extra", F.coalesce(early, F.lit(False)))
     edge = placed.where(last).withColumn("extra", F.sum("size").over(order) <= F.col("left_b2"))
     filled = written(before.unionByName(edge), "mix-filled")
-    # the words still missing go to the one remaining document whose size comes closest
+    # the words still missing: of the next documents that fit, the largest first
     gaps = edge.groupBy("pattern", "left_b2").agg(F.sum(F.when(F.col("extra"), F.col("size")).otherwise(0)).alias("got"))
     gaps = gaps.select("pattern", (F.col("left_b2") - F.col("got")).alias("gap")).where("gap > 0")
-    closest = (
+    next_ = Window.partitionBy("pattern").orderBy("mark", "doc_id", "size")
+    fitting = (
         filled.where("not extra and size > 0")
         .join(F.broadcast(gaps), "pattern")
-        .where("size < 2 * gap")
-        .groupBy("pattern")
-        .agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "mark", "doc_id", "size")).alias("pick"))
+        .where("size <= gap")
+        .withColumn("rank", F.row_number().over(next_))
+        .where(F.col("rank") <= FILLERS)
+        .groupBy("pattern", "gap")
+        .agg(F.sort_array(F.collect_list(F.struct("size", "mark", "doc_id")), asc=False).alias("c"))
     )
-    picked = filled.join(F.broadcast(closest), "pattern", "left").withColumn(
-        "match",
-        F.coalesce(
-            ~F.col("extra")
-            & (F.col("mark") == F.col("pick.mark"))
-            & F.col("doc_id").eqNullSafe(F.col("pick.doc_id"))
-            & (F.col("size") == F.col("pick.size")),
-            F.lit(False),
-        ),
+    key = F.struct("pattern", "mark", "doc_id", "size")
+    greedy = """aggregate(c, named_struct('gap', gap, 'picks', slice(c, 1, 0)),
+        (a, x) -> if(x.size <= a.gap, named_struct('gap', a.gap - x.size, 'picks', concat(a.picks, array(x))), a),
+        a -> a.picks)"""
+    picks = (
+        fitting.select("pattern", F.explode(F.expr(greedy)).alias("p"))
+        .select("pattern", "p.*")
+        .groupBy(key.alias("key"))
+        .agg(F.count("*").alias("wanted"))
     )
-    # equal rows may match together; only one of them is taken
-    one_of = Window.partitionBy("pattern").orderBy("mark")
-    match = picked.where("match").withColumn("extra", F.row_number().over(one_of) == 1)
-    chosen = picked.where("not match").unionByName(match)
+    joined = filled.withColumn("key", key).join(F.broadcast(picks), "key", "left")  # at most FILLERS rows a pattern
+    match = F.col("wanted").isNotNull() & ~F.col("extra")
+    among = F.row_number().over(Window.partitionBy("key").orderBy("mark"))
+    matched = joined.where(match).withColumn("extra", among <= F.col("wanted"))
+    chosen = joined.where(~match).unionByName(matched)
     base = F.col("copies") * F.col("size")
     return chosen.select(*sized.columns, (base + F.when(F.col("extra"), F.col("size")).otherwise(0)).alias("taken"))
 
