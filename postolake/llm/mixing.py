@@ -6,7 +6,8 @@ pattern's tokens costs r, so the flow meets as much of the quotas as it can and
 repeats as little as it can. Every document of a pattern then gets the whole
 copies of the flow, and the rest goes to documents in the order of a seeded
 hash until it is used up; of the next ``FILLERS`` documents that fit into what
-is then missing, the largest are added first.
+is then missing, the largest are added first, and one more where that brings the
+total nearer.
 
 Only one row per pattern reaches the driver; more than ``MAX_PATTERNS``
 patterns raise an error. The cut in the seeded order is found by two levels of
@@ -153,14 +154,14 @@ def select_documents(sized: DataFrame, plan: DataFrame, seed: int = 0) -> DataFr
     before = placed.where(~last).withColumn("extra", F.coalesce(early, F.lit(False)))
     edge = placed.where(last).withColumn("extra", F.sum("size").over(order) <= F.col("left_b2"))
     filled = written(before.unionByName(edge), "mix-filled")
-    # the words still missing: of the next documents that fit, the largest first
+    # the words still missing: of the next documents the largest that fit, then the closest
     gaps = edge.groupBy("pattern", "left_b2").agg(F.sum(F.when(F.col("extra"), F.col("size")).otherwise(0)).alias("got"))
     gaps = gaps.select("pattern", (F.col("left_b2") - F.col("got")).alias("gap")).where("gap > 0")
     next_ = Window.partitionBy("pattern").orderBy("mark", "doc_id", "size")
     fitting = (
         filled.where("not extra and size > 0")
         .join(F.broadcast(gaps), "pattern")
-        .where("size <= gap")
+        .where("size < 2 * gap")
         .withColumn("rank", F.row_number().over(next_))
         .where(F.col("rank") <= FILLERS)
         .groupBy("pattern", "gap")
@@ -169,7 +170,9 @@ def select_documents(sized: DataFrame, plan: DataFrame, seed: int = 0) -> DataFr
     key = F.struct("pattern", "mark", "doc_id", "size")
     greedy = """aggregate(c, named_struct('gap', gap, 'picks', slice(c, 1, 0)),
         (a, x) -> if(x.size <= a.gap, named_struct('gap', a.gap - x.size, 'picks', concat(a.picks, array(x))), a),
-        a -> a.picks)"""
+        a -> concat(a.picks, slice(transform(array_sort(transform(
+            filter(c, x -> x.size < 2 * a.gap and not array_contains(a.picks, x)),
+            x -> named_struct('off', abs(x.size - a.gap), 'x', x))), y -> y.x), 1, 1)))"""
     picks = (
         fitting.select("pattern", F.explode(F.expr(greedy)).alias("p"))
         .select("pattern", "p.*")
