@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import chains
 from . import textvec as tv
 from .scratch import written
 
@@ -115,46 +116,20 @@ def _word_scores(words: _Words, model: Model) -> np.ndarray:
 
 
 def _marginals(emission: np.ndarray, offsets: np.ndarray, start: np.ndarray, change: np.ndarray, pairs: bool = False):
-    """Posterior of each token's label by scaled forward-backward over CSR sequences.
+    """Posterior of each token's label over CSR sequences; ``emission`` holds scores.
 
-    Sequences advance together, longest first. ``emission`` holds scores; with
-    ``pairs`` the expected transition counts and first-label counts follow.
+    With ``pairs`` the expected transition counts and first-label counts follow.
     """
-    scale = np.exp(emission - emission.max(axis=1, keepdims=True))
-    move, begin = np.exp(change), np.exp(start)
-    lengths = np.diff(offsets)
-    order = np.argsort(-lengths, kind="stable")
-    at, left = offsets[:-1][order], lengths[order]
-    live = np.searchsorted(-left, -np.arange(1, (left[0] if len(left) else 0) + 1), side="right")
-    alpha = np.empty_like(scale)
-    beta = np.empty_like(scale)
-    a = np.empty((0, scale.shape[1]))
-    for t, n in enumerate(live):
-        pos = at[:n] + t
-        a = scale[pos] * begin if t == 0 else (a[:n] @ move) * scale[pos]
-        a /= a.sum(axis=1, keepdims=True)
-        alpha[pos] = a
-    b = np.ones((len(at), scale.shape[1]))
-    counts = np.zeros_like(move)
-    back = move.T.copy()
-    for t in range(len(live) - 1, -1, -1):
-        n = live[t]
-        pos = at[:n] + t
-        beta[pos] = b[:n]
-        if t == 0:
-            break
-        seen = b[:n] * scale[pos]
-        if pairs:
-            before = alpha[pos - 1]
-            joint = before[:, :, None] * move[None] * seen[:, None, :]
-            counts += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-        b[:n] = seen @ back
-        b[:n] /= b[:n].sum(axis=1, keepdims=True)
-    gamma = alpha * beta
-    gamma /= gamma.sum(axis=1, keepdims=True)
+    lay = chains.layout(offsets)
+    scale = np.exp(emission - emission.max(axis=1, keepdims=True))[lay.order]
+    move = np.exp(change)
+    alpha, _ = chains.forward(scale, lay, np.exp(start), move)
+    beta = chains.backward(scale, lay, move)
+    gamma = chains.posteriors(alpha, beta)
     if not pairs:
-        return gamma
-    return gamma, counts, gamma[at].sum(axis=0) if len(at) else begin * 0
+        return gamma[lay.place]
+    firsts = gamma[: lay.begin[1]].sum(axis=0) if len(lay.begin) > 1 else start * 0
+    return gamma[lay.place], chains.transition_counts(alpha, beta, scale, lay, move), firsts
 
 
 def _lexicon_counts(batches, langs: list[str]):

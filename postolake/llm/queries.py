@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from . import decontaminate, warc
+from .hmm import score_texts
 from .langid import identify
 from .line_dedup import dedup_lines
 from .mixing import mix_single_source
@@ -70,3 +71,8 @@ ORACLES["op5_warc"] = warc.ORACLE
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_single_source(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+@_query
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
