@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from . import decontaminate, warc
+from .ann import nearest
 from .hmm import score_texts
 from .langid import identify
 from .line_dedup import dedup_lines
@@ -76,3 +77,8 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
