@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import decontaminate, warc
+from . import decontaminate, quality, warc
 from .ann import nearest
 from .hmm import score_texts
 from .langid import identify
+from .licenses import scan_licenses
 from .line_dedup import dedup_lines
 from .mixing import mix_single_source
 from .ngram_join import ngram_jaccard_join
@@ -82,3 +83,15 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+@_query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), F.col("source"), F.col("lang")
+    )
