@@ -44,6 +44,7 @@ STEPS = 12
 SEGMENT = 24
 SEGMENTS = 4
 _SAMPLE_PARTS = 6
+_SAMPLE_SALTS = 32
 _F = 1 << FEATURE_BITS
 
 
@@ -218,6 +219,10 @@ def train(labelled: DataFrame) -> Model:
     ranked = (
         labelled.select("lang", pick.alias("pick"), F.regexp_count("text", F.lit(r"\S+")).alias("words"))
         .where((F.col("words") > 0) & (F.col("words") <= SAMPLE_WORDS))
+        # first inside hash parts, so that no task ranks a whole language
+        .withColumn("part", F.pmod(F.col("pick"), F.lit(_SAMPLE_SALTS)))
+        .withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy("pick")))
+        .where(F.col("rank") <= SAMPLE_PER_LANG)
         .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("pick")))
         .where(F.col("rank") <= SAMPLE_PER_LANG)
         .select("pick")
