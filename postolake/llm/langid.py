@@ -274,12 +274,12 @@ def _token_letters(data: np.ndarray, tokens: tv.Tokens) -> np.ndarray:
     return other[tokens.ends] > other[tokens.starts]
 
 
-def _predict(batches, model):
+def _predict(batches, model, text: str, keep_text: bool):
     m: Model = model.value
     L = len(m.langs)
     names = pa.array([*m.langs, UNDETERMINED])
-    for batch in tv.text_chunks(batches, "text"):
-        offsets, data = tv.utf8(batch.column("text"))
+    for batch in tv.text_chunks(batches, text, limit=1 << 20):
+        offsets, data = tv.utf8(batch.column(text))
         data = tv.FOLD[data]
         lettered = _has_letter(offsets, data)
         best = np.full(batch.num_rows, L)
@@ -295,17 +295,21 @@ def _predict(batches, model):
             ok = lettered & (total > 0)
             best[ok] = share[ok].argmax(axis=1)
             score[ok] = np.clip(share[ok].max(axis=1) / total[ok], 0.0, 1.0)
+        kept = [c for c in batch.schema.names if keep_text or c != text]
         yield pa.RecordBatch.from_arrays(
-            [*(c for k, c in enumerate(batch.columns) if batch.schema.names[k] != "text"), names.take(pa.array(best)), pa.array(score)],
-            names=[*(c for c in batch.schema.names if c != "text"), "lang_pred", "score"],
+            [*(batch.column(c) for c in kept), names.take(pa.array(best)), pa.array(score)], names=[*kept, *PREDICTED]
         )
 
 
-def predict(texts: DataFrame, model: Model) -> DataFrame:
-    """Replace the column ``text`` of a frame by lang_pred and score; other columns pass through."""
+PREDICTED = ("lang_pred", "score")
+
+
+def predict(texts: DataFrame, model: Model, text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """Add lang_pred and score to a frame (replacing columns of these names); other columns pass through."""
+    plain = texts.drop(*PREDICTED)
     shared = texts.sparkSession.sparkContext.broadcast(model)
-    kept = ", ".join(f"`{n}` {t}" for n, t in texts.dtypes if n != "text")
-    return texts.mapInArrow(lambda it: _predict(it, shared), f"{kept}, lang_pred string, score double")
+    kept = ", ".join(f"`{n}` {t}" for n, t in plain.dtypes if keep_text or n != text_col)
+    return plain.mapInArrow(lambda it: _predict(it, shared, text_col, keep_text), f"{kept}, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, folds: int = 3, held: int = 1, id_col: str = "doc_id") -> DataFrame:
@@ -324,3 +328,19 @@ def identify(docs: DataFrame, folds: int = 3, held: int = 1, id_col: str = "doc_
     )
     model = train(base.where("not held_out and lang is not null and text is not null").select("doc_id", "text", "lang"))
     return predict(base.select("doc_id", "held_out", "text"), model)
+
+
+def with_language(docs: DataFrame, least: float = 0.3, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``docs``, all columns, less the rows without a recognisable language.
+
+    A row goes when its prediction is ``und`` or when no language reaches the
+    share ``least`` of its words; mixed texts stay. The model learns from all
+    labelled rows. Without any label nothing can be judged and all rows stay.
+    """
+    labelled = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    model = train(labelled.where("lang is not null and text is not null"))
+    if not model.langs:
+        return docs
+    judged = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
+    kept = predict(judged, model).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
+    return kept.select("row.*")

@@ -50,6 +50,9 @@ TEMPLATES = {
         "documentation and/or other materials provided with the distribution."
     ),
     "BSD-notice": "Distributed under the BSD License",
+    "CC-BY-4.0-notice": "Licensed under CC BY 4.0",
+    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
+    "CC-BY-SA-4.0-notice": "Licensed under CC BY-SA 4.0",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
     "CC0-1.0": (
