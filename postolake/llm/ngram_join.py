@@ -77,11 +77,12 @@ def _signatures(batches):
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
+                batch.column("text_hash"),
                 pa.array(id1, mask=~filled),
                 pa.array(id2, mask=~filled),
                 pa.compute.if_else(none, pa.scalar(None, pa.binary()), cells),
             ],
-            names=["doc_id", "id", "id2", "sig"],
+            names=["doc_id", "text_hash", "id", "id2", "sig"],
         )
 
 
@@ -205,25 +206,17 @@ def _candidate_sets(batches, bitmap):
         )
 
 
-def ngram_jaccard_join(
-    docs: DataFrame,
-    threshold: float = 0.8,
-    tolerance: float = 1e-5,
-    id_col: str = "doc_id",
-    text_col: str = "text",
+def classes_of_texts(
+    docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-5, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, class_id, n_links, n_copies.
-
-    ``class_id``: smallest id among the documents reached through links and
-    equal word sequences. ``n_links``: different word sequences linked to this
-    one. ``n_copies``: other rows with the same word sequence. A text without
-    words has class_id = its own id and no links or copies. Repeated rows are
-    copies of each other; null ids are kept and never name a class that holds
-    another id. Other columns of ``docs`` are not read.
-    """
+    """Per row of ``docs``: doc_id, text_hash (``xxhash64``), class (null without words), class_id, n_links, n_copies."""
     spark = docs.sparkSession
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = written(narrow.mapInArrow(_signatures, "doc_id long, id long, id2 long, sig binary"), "ngram-sig")
+    narrow = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")
+    )
+    signed = written(
+        narrow.mapInArrow(_signatures, "doc_id long, text_hash long, id long, id2 long, sig binary"), "ngram-sig"
+    )
     classes = written(
         signed.where("id is not null")
         .groupBy("id")
@@ -250,22 +243,30 @@ def ngram_jaccard_join(
     candidates = dealt.mapInArrow(lambda it: _prune(it, threshold, tolerance), "src long, dst long")
     comps = components(candidates)
     bitmap = spark.sparkContext.broadcast(id_bitmap(comps, "id", FILTER_BITS))
-    sets = narrow.mapInArrow(lambda it: _candidate_sets(it, bitmap), "id long, tokens binary")
+    sets = narrow.select("text").mapInArrow(lambda it: _candidate_sets(it, bitmap), "id long, tokens binary")
     one_each = comps.join(sets.groupBy("id").agg(F.first("tokens").alias("tokens")), "id")
     links = verify_components(one_each, [], threshold)
     known = written(
         classes.select("id", "first_doc", "copies")
         .join(links, "id", "left")
-        .select("id", "first_doc", "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("class", "id").alias("class")),
+        .select(
+            "id",
+            "first_doc",
+            "copies",
+            F.coalesce("n_links", F.lit(0)).alias("n_links"),
+            F.coalesce("class", "id").alias("class"),
+        ),
         "ngram-known",
     )
     names = known.groupBy("class").agg(F.min("first_doc").alias("class_id"))
-    per_class = known.join(names, "class").select("id", "copies", "n_links", "class_id")
+    per_class = known.join(names, "class").select("id", "copies", "n_links", "class", "class_id")
     return (
-        signed.select("doc_id", "id")
+        signed.select("doc_id", "text_hash", "id")
         .join(per_class, "id", "left")
         .select(
             "doc_id",
+            "text_hash",
+            "class",
             F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
             F.coalesce(F.col("copies") - 1, F.lit(0)).cast("long").alias("n_copies"),
@@ -273,22 +274,37 @@ def ngram_jaccard_join(
     )
 
 
+def ngram_jaccard_join(docs: DataFrame, **options) -> DataFrame:
+    """One row per row of ``docs``: doc_id, class_id, n_links, n_copies.
+
+    ``class_id``: smallest id among the documents reached through links and
+    equal word sequences. ``n_links``: different word sequences linked to this
+    one. ``n_copies``: other rows with the same word sequence. A text without
+    words has class_id = its own id and no links or copies. Repeated rows are
+    copies of each other; null ids are kept and never name a class that holds
+    another id. Other columns of ``docs`` are not read. Options are those of
+    ``classes_of_texts``.
+    """
+    return classes_of_texts(docs, **options).select("doc_id", "class_id", "n_links", "n_copies")
+
+
 def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without near duplicates: of every class the rows with the smallest id stay.
+    """``docs`` without near duplicates: of every class one row with the smallest id stays.
 
-    Rows of a class whose ids are all null stay, as do texts without words.
-    Repeated rows of the surviving document are reduced to one.
+    A class whose ids are all null keeps one of its rows; texts without words
+    all stay. Where several rows carry the smallest id of a class, one stays.
     """
-    id_col = options.get("id_col", "doc_id")
-    joined = ngram_jaccard_join(docs, **options)
-    away = joined.where("doc_id is null and class_id is not null or doc_id <> class_id").select("doc_id").distinct()
-    repeated = joined.where("n_copies > 0 and doc_id = class_id").groupBy("doc_id").count().where("count > 1")
-    columns = docs.columns
-    kept = docs.join(
-        away.select(F.col("doc_id").alias("_away")), F.col(id_col).eqNullSafe(F.col("_away")), "left_anti"
-    )
-    marks = repeated.select(F.col("doc_id").alias("_twice"))
-    once = kept.join(marks, F.col(id_col) == F.col("_twice"), "left")
-    single = once.where("_twice is null").select(*columns)
-    doubles = once.where("_twice is not null").select(*columns).dropDuplicates([id_col])
+    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
+    judged = written(classes_of_texts(docs, **options).where("class is not null"), "ngram-judged")
+    stays = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    crowd = judged.where(stays).groupBy("class").count().where("count > 1").select("class")
+    several = judged.where(stays).join(crowd, "class").select("doc_id", "text_hash", "class").distinct()
+    away = judged.where(~stays).select("doc_id", "text_hash").distinct()
+
+    def keyed(frame):
+        return frame.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash", "class": "_class"}).hint("shuffle_hash")
+
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash"))
+    single = docs.join(keyed(away.unionByName(several.drop("class"))), same, "left_anti")
+    doubles = docs.join(keyed(several), same).dropDuplicates(["_class"]).select(*(docs[c] for c in docs.columns))
     return single.unionByName(doubles)
