@@ -7,7 +7,7 @@ order of lines is (doc_id, hash of the text, line number), null ids first. A
 line is removed when any line before it matches; whether that line is itself
 removed plays no part. Lines without tokens are never removed.
 
-Steps: equal token sets collapse to their first line. Tokens are ordered by
+Steps: equal token sets collapse to their first line (a task posts a set once). Tokens are ordered by
 rarity (counts of all tokens of all lines, added up per hash bucket so that the
 table has a fixed size); a set of n tokens is posted under its first
 n - ceil(t*n) + 1 tokens. Postings that share a token become candidates after
@@ -35,6 +35,10 @@ RARITY_BITS = 20
 FILTER_BITS = 24
 POSTINGS = 4096
 NEWLINE = 10
+_BLOCKS = 64
+_MOST = np.uint64(2**32 - 1)
+_SIZE_BITS = 30
+_SEEN = 1 << 21  # sets a task remembers to post them once
 _SALT = np.uint64(0xD1B54A32D192ED03)
 
 
@@ -53,26 +57,47 @@ def _line_tokens(column):
 
 
 def _rarity(batches, bits: int):
-    counts = np.zeros(1 << bits, dtype=np.int64)
+    counts = np.zeros(1 << bits, dtype=np.uint64)
     for batch in tv.text_chunks(batches, "text"):
         offsets, data = tv.utf8(batch.column("text"))
         tokens = tv.tokenize(offsets, tv.FOLD[data], tv.ALNUM)
-        counts += np.bincount((tokens.hashes & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
-    used = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], names=["b", "n"])
+        at, n = np.unique(tokens.hashes & np.uint64((1 << bits) - 1), return_counts=True)
+        counts[at.astype(np.int64)] += n.astype(np.uint64)
+    yield _count_blocks(np.arange(_BLOCKS), np.minimum(counts, _MOST).astype(np.uint32).reshape(_BLOCKS, -1))
+
+
+def _count_blocks(names: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    cells = pa.array([row.tobytes() for row in counts], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32)), cells], names=["b", "n"])
+
+
+def _add_blocks(batches):
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for b, cell in zip(batch.column("b").to_pylist(), batch.column("n")):
+            part = np.frombuffer(cell.as_buffer(), dtype=np.uint32).astype(np.uint64)
+            sums[b] = np.minimum(sums[b] + part, _MOST) if b in sums else part
+    if sums:
+        yield _count_blocks(np.array(list(sums)), np.stack(list(sums.values())).astype(np.uint32))
 
 
 def token_rarity(texts: DataFrame, bits: int = RARITY_BITS) -> np.ndarray:
-    """Number of tokens per hash bucket over all texts; ``2**bits`` entries whatever the input."""
-    table = texts.mapInArrow(lambda it: _rarity(it, bits), "b int, n long").groupBy("b").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << bits, dtype=np.uint32)
-    out[table.column("b").to_numpy()] = np.minimum(table.column("n").to_numpy(), 2**32 - 1)
-    return out
+    """Number of tokens per hash bucket over all texts, saturating at 2**32 - 1.
+
+    A task emits its counts as ``_BLOCKS`` blocks, which are added up by block;
+    the result has ``2**bits`` entries whatever the input.
+    """
+    blocks = texts.mapInArrow(lambda it: _rarity(it, bits), "b int, n binary").repartition("b")
+    table = blocks.mapInArrow(_add_blocks, "b int, n binary").toArrow()
+    out = np.zeros((_BLOCKS, (1 << bits) // _BLOCKS), dtype=np.uint32)
+    for b, cell in zip(table.column("b").to_pylist(), table.column("n").to_pylist()):
+        out[b] = np.frombuffer(cell, dtype=np.uint32)
+    return out.reshape(-1)
 
 
-def _sets(tokens: tv.Tokens, rarity: np.ndarray):
-    rank = rarity[(tokens.hashes & np.uint64(len(rarity) - 1)).astype(np.int64)]
-    at, values = tv.sorted_sets(tokens.offsets, tokens.hashes, rank)
+def _sets(tokens: tv.Tokens):
+    """(offsets, distinct tokens, id) of each line's token set."""
+    at, values = tv.sorted_sets(tokens.offsets, tokens.hashes)
     ids = tv.mix(tv.segment_sums(tv.mix(values ^ _SALT), at) + np.diff(at).astype(np.uint64)).view(np.int64)
     return at, values, ids
 
@@ -97,22 +122,31 @@ def _lines(batches, rarity, num: int, den: int):
     smallest = 1
     while num * (smallest + 1) > den * smallest:
         smallest += 1  # a set this small only matches equal sets
-    for batch in tv.text_chunks(batches, "text", limit=2 << 20):
+    seen: set[int] = set()
+    for batch in tv.text_chunks(batches, "text"):
         first, tokens = _line_tokens(batch.column("text"))
-        at, values, ids = _sets(tokens, table)
+        at, values, ids = _sets(tokens)
         sizes = np.diff(at)
         owner = tv.owners(first)
         line_no = np.arange(first[-1]) - first[owner]
-        parity = _parity(at, values)
-        take = np.where(sizes > 0, sizes - (num * sizes + den - 1) // den + 1, 0)
-        take[sizes < smallest] = 0
+        rows = np.flatnonzero(sizes > 0)
+        fresh = np.zeros(len(sizes), dtype=bool)
+        for k in rows.tolist():
+            name = int(ids[k])
+            if name not in seen:
+                seen.add(name)
+                fresh[k] = True
+        if len(seen) > _SEEN:
+            seen.clear()
+        take = np.where(fresh & (sizes >= smallest), sizes - (num * sizes + den - 1) // den + 1, 0)
+        rank = table[(values & np.uint64(len(table) - 1)).astype(np.int64)]
         prefix_at = np.concatenate([[0], np.cumsum(take)])
         index = np.repeat(at[:-1] - prefix_at[:-1], take) + np.arange(prefix_at[-1])
-        prefix = values[index]
+        prefix = tv.ranked(at, values, rank, 20)[index]
         count = table[(prefix & np.uint64(len(table) - 1)).astype(np.int64)]
         code = ((prefix >> np.uint64(24)) & np.uint64(0xFFFFFFFF)).astype(np.int64) * 2 + (count > POSTINGS)
         code[count <= 1] = -1  # no other line has this token
-        rows = np.flatnonzero(sizes > 0)
+        parity = _parity(at, values)
         prefix_lists = pa.ListArray.from_arrays(pa.array(prefix_at.astype(np.int32)), pa.array(code))
         key = [batch.column(c).take(pa.array(owner[rows])) for c in ("doc_id", "text_hash")]
         yield pa.RecordBatch.from_arrays(
@@ -121,8 +155,7 @@ def _lines(batches, rarity, num: int, den: int):
                 pa.array(line_no[rows].astype(np.int32)),
                 pa.array(ids[rows]),
                 pa.array(sizes[rows].astype(np.int32)),
-                pa.array(parity[0][rows]),
-                pa.array(parity[1][rows]),
+                *(pa.array(p[rows], mask=take[rows] == 0) for p in parity),
                 prefix_lists.take(pa.array(rows)),
             ],
             names=["doc_id", "text_hash", "line_no", "id", "n", "p0", "p1", "prefix"],
@@ -133,14 +166,21 @@ _LINE_SCHEMA = "doc_id long, text_hash long, line_no int, id long, n int, p0 lon
 
 
 def _candidates(batches, num: int, den: int):
-    keys = ["token", "i", "j"]
-    for table in group_runs(batches, keys, rows=1 << 16):
-        n = table.num_rows
-        token, i, j, side = (table.column(c).to_numpy() for c in ("token", "i", "j", "side"))
-        ids, size, pos = (table.column(c).to_numpy() for c in ("id", "n", "pos"))
-        size, pos = size.astype(np.int64), pos.astype(np.int64)
-        p0, p1 = (table.column(c).to_numpy().view(np.uint64) for c in ("p0", "p1"))
-        cross = i != j
+    """Spanning edges of the pairs that share a token and pass every filter.
+
+    Rows come ordered by key (token, then set size) and id. ``place`` holds the
+    token's position in the set, and two flags for postings of a block pair.
+    """
+    for table in group_runs(batches, ["token"], rows=1 << 16):
+        key, ids, place, p0, p1 = (table.column(c).to_numpy() for c in ("key", "id", "place", "p0", "p1"))
+        again = np.zeros(len(ids), dtype=bool)  # one set posted by several tasks
+        again[1:] = (ids[1:] == ids[:-1]) & (key[1:] == key[:-1]) & (place[1:] == place[:-1])
+        key, ids, place = key[~again], ids[~again], place[~again]
+        p0, p1 = p0[~again].view(np.uint64), p1[~again].view(np.uint64)
+        token, size, pos = key >> _SIZE_BITS, key & ((1 << _SIZE_BITS) - 1), place >> 2
+        rest = size - pos  # tokens from the shared one on
+        mixed, second = (place & 2) > 0, place & 1
+        n = len(ids)
         found_a, found_b = [], []
         a = np.arange(n - 1)
         d = 0
@@ -148,45 +188,43 @@ def _candidates(batches, num: int, den: int):
             d += 1
             a = a[a < n - d]
             b = a + d
-            same = (token[a] == token[b]) & (i[a] == i[b]) & (j[a] == j[b]) & (den * size[a] >= num * size[b])
+            same = (token[a] == token[b]) & (den * size[a] >= num * size[b])
             a, b = a[same], b[same]  # sizes ascend inside a group, so a failed start stays failed
-            if not len(a):
-                break
             total = size[a] + size[b]
             need = (num * total + num + den - 1) // (num + den)
-            ok = np.minimum(size[a] - pos[a], size[b] - pos[b]) >= need  # tokens from the shared one on
-            ok &= ~cross[a] | (side[a] != side[b])
-            ok &= ids[a] != ids[b]
+            ok = (np.minimum(rest[a], rest[b]) >= need) & (~mixed[a] | (second[a] != second[b]))
             x, y = a[ok], b[ok]
             if len(x):
                 differ = np.bitwise_count(p0[x] ^ p0[y]).astype(np.int64) + np.bitwise_count(p1[x] ^ p1[y])
                 close = differ <= total[ok] - 2 * need[ok]
                 found_a.append(x[close])
                 found_b.append(y[close])
-        if not found_a:
-            continue
-        x, y = np.concatenate(found_a), np.concatenate(found_b)
+        x = np.concatenate(found_a) if found_a else np.zeros(0, dtype=np.int64)
         if not len(x):
             continue
+        y = np.concatenate(found_b)
         names, local = np.unique(ids, return_inverse=True)
         root = merge_labels(len(names), local[x], local[y])
         moved = np.flatnonzero(root != np.arange(len(root)))
         yield pa.RecordBatch.from_arrays([pa.array(names[moved]), pa.array(names[root[moved]])], names=["src", "dst"])
 
 
-def _candidate_sets(batches, rarity, bitmap):
-    for batch in tv.text_chunks(batches, "text", limit=2 << 20):
-        _, tokens = _line_tokens(batch.column("text"))
-        at, values, ids = _sets(tokens, rarity.value)
-        wanted = (np.diff(at) > 0) & in_bitmap(bitmap.value, ids.view(np.uint64))
-        _, once = np.unique(ids, return_index=True)
-        first = np.zeros(len(ids), dtype=bool)
-        first[once] = True
-        rows = np.flatnonzero(wanted & first)
-        counts = np.diff(at)[rows]
-        out = np.concatenate([[0], np.cumsum(counts)])
-        take = np.repeat(at[:-1][rows] - out[:-1], counts) + np.arange(out[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), tv.binary_rows(out, values[take])], names=["id", "tokens"])
+def _candidate_sets(batches, texts, sets):
+    """Sets of the lines in the bitmap ``sets``, from texts in the bitmap ``texts``; each once a chunk."""
+    for whole in batches:
+        wanted_text = in_bitmap(texts.value, whole.column("text_hash").to_numpy().view(np.uint64))
+        for batch in tv.text_chunks([whole.filter(pa.array(wanted_text))], "text"):
+            _, tokens = _line_tokens(batch.column("text"))
+            at, values, ids = _sets(tokens)
+            wanted = (np.diff(at) > 0) & in_bitmap(sets.value, ids.view(np.uint64))
+            _, once = np.unique(ids, return_index=True)
+            first = np.zeros(len(ids), dtype=bool)
+            first[once] = True
+            rows = np.flatnonzero(wanted & first)
+            counts = np.diff(at)[rows]
+            out = np.concatenate([[0], np.cumsum(counts)])
+            take = np.repeat(at[:-1][rows] - out[:-1], counts) + np.arange(out[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), tv.binary_rows(out, values[take])], names=["id", "tokens"])
 
 
 def removed_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -206,35 +244,41 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id
     rarity = spark.sparkContext.broadcast(token_rarity(texts.select("text")))
     lines = written(texts.mapInArrow(lambda it: _lines(it, rarity, num, den), _LINE_SCHEMA), "line-sets")
     firsts = written(
-        lines.groupBy("id").agg(
-            F.min(F.struct("doc_id", "text_hash", "line_no")).alias("first"),
-            F.first("n").alias("n"),
-            F.first("p0").alias("p0"),
-            F.first("p1").alias("p1"),
-            F.first("prefix").alias("prefix"),
-        ),
-        "line-firsts",
+        lines.groupBy("id").agg(F.min(F.struct("doc_id", "text_hash", "line_no")).alias("first")), "line-firsts"
     )
-    postings = firsts.where("size(prefix) > 0").select("id", "n", "p0", "p1", F.posexplode("prefix").alias("pos", "token")).where("token >= 0")
-    # only tokens from crowded rarity buckets (odd codes) can exceed POSTINGS
-    crowded = (
-        postings.where("token % 2 = 1").groupBy("token").count().where(F.col("count") > POSTINGS)
+    postings = (
+        lines.where("size(prefix) > 0")
+        .select("id", "n", "p0", "p1", F.posexplode("prefix").alias("pos", "token"))
+        .where("token >= 0")
     )
+    # only tokens of crowded rarity buckets (odd codes) can have more than POSTINGS postings
+    odd = postings.where("token % 2 = 1")
+    crowded = odd.groupBy("token").count().where(F.col("count") > POSTINGS)
     blocks = F.coalesce(F.ceil(F.col("count") / POSTINGS), F.lit(1))
-    dealt = with_blocks(postings.join(crowded, "token", "left"), "token", "id", blocks).select(
-        "token", "i", "j", "side", "id", "n", "pos", "p0", "p1"
-    )
+    split = with_blocks(odd.join(crowded, "token", "left"), "token", "id", blocks)
+    # a block pair of a crowded token is a token of its own
+    split = split.withColumn("token", F.expr("(xxhash64(token, i, j) & 4294967295) * 2 + 1"))
+    flags = F.expr("if(i <> j, if(side = j, 3, 2), 0)")
+    key = F.shiftleft("token", _SIZE_BITS).bitwiseOR(F.col("n")).alias("key")
+    place = (F.shiftleft("pos", 2) + F.col("flags")).cast("long").alias("place")
+    parts = [split.withColumn("flags", flags), postings.where("token % 2 = 0").withColumn("flags", F.lit(0))]
+    dealt = parts[0].select(key, "id", place, "p0", "p1").unionByName(parts[1].select(key, "id", place, "p0", "p1"))
+    token = F.shiftright("key", _SIZE_BITS)
     pairs = (
-        dealt.repartition("token", "i", "j")
-        .sortWithinPartitions("token", "i", "j", "n")
+        dealt.repartition(token)
+        .sortWithinPartitions("key", "id")
+        .withColumn("token", token)
         .mapInArrow(lambda it: _candidates(it, num, den), "src long, dst long")
     )
     comps = components(pairs)
-    bitmap = spark.sparkContext.broadcast(id_bitmap(comps, "id", FILTER_BITS))
-    sets = texts.select("text").mapInArrow(lambda it: _candidate_sets(it, rarity, bitmap), "id long, tokens binary")
-    one_each = comps.join(sets.groupBy("id").agg(F.first("tokens").alias("tokens")), "id").join(
-        firsts.select("id", "first.*"), "id"
+    needed = written(comps.join(firsts.select("id", "first.*"), "id"), "line-needed")
+    sc = spark.sparkContext
+    in_texts = sc.broadcast(id_bitmap(needed, "text_hash", FILTER_BITS))
+    in_sets = sc.broadcast(id_bitmap(needed, "id", FILTER_BITS))
+    sets = texts.select("text_hash", "text").mapInArrow(
+        lambda it: _candidate_sets(it, in_texts, in_sets), "id long, tokens binary"
     )
+    one_each = needed.join(sets.groupBy("id").agg(F.first("tokens").alias("tokens")), "id")
     later = verify_components(one_each, ["doc_id", "text_hash", "line_no"], threshold).where("earlier").select("id")
     verdicts = firsts.select("id", "first").join(later.withColumn("later", F.lit(True)), "id", "left")
     return (
@@ -259,8 +303,9 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("lines").alias("_lines")
     )
     text = F.col(text_col)
+    # the small side is hashed, so texts are shuffled but not sorted
     joined = docs.join(
-        gone,
+        gone.hint("shuffle_hash"),
         F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash")) & text.isNotNull(),
         "left",
     )

@@ -25,34 +25,51 @@ MAX_BLOCK_ROWS = 4096
 SPREAD = 10  # blocks of a component that MAX_BLOCK_ROWS does not force to have more
 BLOCK_VALUES = 2_000_000
 SMALL_GROUP = 16
+EDGES_PER_TASK = 1 << 18
 CHUNK_VALUES = 500_000
 
 
+def _local_stars(batches):
+    """Edges (u, v) of a partition replaced by stars: every id to the smallest of its local component."""
+    held = [b for b in batches if b.num_rows]
+    if held:
+        table = pa.Table.from_batches(held)
+        u, v = table.column("u").to_numpy(), table.column("v").to_numpy()
+        names, local = np.unique(np.concatenate([u, v]), return_inverse=True)
+        root = merge_labels(len(names), local[: len(u)], local[len(u) :])
+        moved = np.flatnonzero(root != np.arange(len(root)))
+        yield pa.RecordBatch.from_arrays([pa.array(names[moved]), pa.array(names[root[moved]])], names=["u", "v"])
+
+
 def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(id, comp) for every id of an edge list; ``comp`` is an id of the component, one per component.
 
-    Each round maps a node to its smallest neighbour and contracts the graph;
-    at least half of the nodes that still have an edge disappear, so the
-    number of rounds is logarithmic. Minima combine on the map side and joins
-    are plain equi-joins that adaptive execution splits on a hot hub.
+    Each round first contracts the edges inside partitions of about
+    ``EDGES_PER_TASK`` edges, then maps every node to its smallest neighbour
+    and contracts the graph; at least half of the nodes that still have an edge
+    disappear, so the number of rounds is logarithmic. Minima combine on the
+    map side and joins are plain equi-joins that adaptive execution splits on
+    a hot hub.
     """
     both = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
     edges = written(both.distinct(), "cc-edges")
     rounds: list[DataFrame] = []
-    while not edges.isEmpty():
-        around = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        mapping = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        rounds.append(written(mapping, "cc-map"))
+    while (n := edges.count()) > 0:
+        parts = -(-n // EDGES_PER_TASK)
+        stars = written(edges.repartition(parts, "u", "v").mapInArrow(_local_stars, "u long, v long"), "cc-stars")
+        around = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        rounds.append(written(around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "cc-map"))
         left = rounds[-1].select(F.col("u"), F.col("m").alias("mu"))
         right = rounds[-1].select(F.col("u").alias("v"), F.col("m").alias("mv"))
-        contracted = edges.join(left, "u").join(right, "v").where("mu <> mv")
+        contracted = stars.join(left, "u").join(right, "v").where("mu <> mv")
         edges = written(contracted.select(F.col("mu").alias("u"), F.col("mv").alias("v")).distinct(), "cc-edges")
     if not rounds:
         return edges.select(F.col("u").alias("id"), F.col("v").alias("comp"))
-    labels = rounds[0].select(F.col("u").alias("id"), F.col("m").alias("comp"))
-    for mapping in rounds[1:]:
-        step = mapping.select(F.col("u").alias("comp"), "m")
-        labels = labels.join(step, "comp", "left").select("id", F.coalesce("m", "comp").alias("comp"))
+    # later rounds hold fewer nodes, so labels are resolved from the last round back
+    labels = rounds[-1].select(F.col("u").alias("id"), F.col("m").alias("comp"))
+    for mapping in reversed(rounds[:-1]):
+        step = labels.select(F.col("id").alias("m"), "comp")
+        labels = mapping.join(step, "m", "left").select(F.col("u").alias("id"), F.coalesce("comp", "m").alias("comp"))
     return labels
 
 

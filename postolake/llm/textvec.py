@@ -62,7 +62,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return positions - positions[0], raw
 
 
-def text_chunks(batches, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def text_chunks(batches, column: str, limit: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches holding about ``limit`` bytes of text (at least one row each)."""
     for batch in batches:
         if batch.num_rows == 0:
@@ -172,16 +172,43 @@ def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def sorted_sets(offsets: np.ndarray, hashes: np.ndarray, rank: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes of each segment, ordered by (rank, hash) or by hash. Returns (offsets, hashes)."""
-    owner = owners(offsets)
-    keys = (hashes, owner) if rank is None else (hashes, rank, owner)
-    order = np.lexsort(keys)
+def _packed_order(owner: np.ndarray, count: int, keys: list[tuple[np.ndarray, int]], hashes: np.ndarray) -> np.ndarray:
+    """Order by (owner, keys..., hash) from one sort of packed 64-bit keys.
+
+    ``keys`` come with their widths in bits; the hash fills the rest. If two
+    different hashes share a packed key, the whole order is sorted in full.
+    """
+    free = 64 - max(count - 1, 1).bit_length()
+    if free - sum(w for _, w in keys) < 16:
+        return np.lexsort((hashes, *(k for k, _ in reversed(keys)), owner))
+    packed = owner.astype(np.uint64) << np.uint64(free)
+    for key, width in keys:
+        free -= width
+        packed |= key.astype(np.uint64) << np.uint64(free)
+    packed |= hashes >> np.uint64(64 - free)
+    order = np.argsort(packed)
+    p, h = packed[order], hashes[order]
+    if ((p[1:] == p[:-1]) & (h[1:] != h[:-1])).any():
+        return np.lexsort((hashes, *(k for k, _ in reversed(keys)), owner))
+    return order
+
+
+def sorted_sets(offsets: np.ndarray, hashes: np.ndarray, owner: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of each segment, ascending. Returns (offsets, hashes)."""
+    owner = owners(offsets) if owner is None else owner
+    count = len(offsets) - 1
+    order = _packed_order(owner, count, [], hashes)
     h, o = hashes[order], owner[order]
     keep = np.ones(len(h), dtype=bool)
     keep[1:] = (h[1:] != h[:-1]) | (o[1:] != o[:-1])
     h, o = h[keep], o[keep]
-    return np.concatenate([[0], np.cumsum(np.bincount(o, minlength=len(offsets) - 1))]), h
+    return np.concatenate([[0], np.cumsum(np.bincount(o, minlength=count))]), h
+
+
+def ranked(offsets: np.ndarray, hashes: np.ndarray, rank: np.ndarray, width: int) -> np.ndarray:
+    """The hashes of each segment ordered by (rank, hash); ranks above ``2**width - 1`` count as that."""
+    top = np.minimum(rank, (1 << width) - 1)
+    return hashes[_packed_order(owners(offsets), len(offsets) - 1, [(top, width)], hashes)]
 
 
 def binary_rows(offsets: np.ndarray, values: np.ndarray) -> pa.Array:
