@@ -20,16 +20,24 @@ def main(argv=None) -> None:
     run.add_argument("--bronze", required=True)
     run.add_argument("--out", required=True)
     run.add_argument("--sample", choices=["first", "all"], default="first")
-    run.add_argument("--archives", action="store_true", help="also expand *.zip archives")
+    run.add_argument("--no-archives", action="store_true", help="leave *.zip archives unread")
+    run.add_argument("--on-reject", choices=["raise", "skip"], default="raise", help="files without any expected column")
     run.add_argument("--encoding", default=None, help="known charset; skips per-file detection")
     run.add_argument("--master", default="local[*]")
     args = parser.parse_args(argv)
 
     spark = build_session(args.master)
     result = run_lake(
-        spark, args.bronze, args.out, sample=args.sample, include_archives=args.archives, encoding=args.encoding
+        spark,
+        args.bronze,
+        args.out,
+        sample=args.sample,
+        include_archives=not args.no_archives,
+        encoding=args.encoding,
+        on_reject=args.on_reject,
     )
     result.quality.show(truncate=False)
+    result.rejects.show(truncate=False)
     result.load_report.show(truncate=False)
     print(json.dumps(result.seconds))
     spark.stop()

@@ -15,7 +15,9 @@ def row_key_text(columns: list[Column | str]) -> Column:
 
     NULL and '' give the same text, so they are equal for deduplication. The
     text of a double is Spark's shortest round-trip form, which is injective,
-    so grouping on it equals grouping on the values.
+    so grouping on it equals grouping on the values. As in the source system,
+    a value that itself contains '|' can make two different rows equal
+    ('A|B','C' and 'A','B|C'); survey fields do not hold that character.
     """
     parts = [F.coalesce(_col(c).cast("string"), F.lit("")) for c in columns]
     return F.concat_ws(KEY_SEPARATOR, *parts)

@@ -24,26 +24,38 @@ _DIM_KEYS = {
 }
 
 
-def load_report(g: DataFrame) -> DataFrame:
-    """Silver rows, rows that reach the fact, and losses per dimension.
+def load_report(g: DataFrame, fact: DataFrame) -> DataFrame:
+    """Silver rows, rows of the written fact, and losses per dimension.
 
-    A row reaches the fact exactly when its seven join keys are non-NULL
-    (each dimension holds every non-NULL key), so one pass over silver
-    accounts for every lost row by the dimension that rejected it.
+    ``fact`` is the stored fact table; its rows are counted, not inferred.
+    ``rejected_rows`` are silver rows without a full set of keys, so
+    ``unexplained_rows`` (silver - fact - rejected) is 0 unless the load lost
+    or repeated rows.
     """
     def null_any(cols):
         return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
 
     all_keys = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in FACT_KEYS])
-    return g.agg(
+    silver = g.agg(
         F.count(F.lit(1)).alias("silver_rows"),
-        F.count_if(all_keys).alias("fact_rows"),
         F.count_if(~all_keys).alias("rejected_rows"),
         F.count_if(F.col("data_coleta").isNull()).alias("missing_data"),
         F.count_if(null_any(["produto", "unidade_medida"])).alias("missing_produto"),
         F.count_if(null_any(["regiao_sigla", "estado_sigla", "municipio"])).alias("missing_localidade"),
         F.count_if(F.col("cnpj_revenda").isNull()).alias("missing_posto"),
     )
+    stored = fact.agg(F.count(F.lit(1)).alias("fact_rows"))
+    both = silver.withColumn("_one", F.lit(1)).join(stored.withColumn("_one", F.lit(1)), "_one")  # one row each
+    return both.select(
+        "silver_rows",
+        "fact_rows",
+        "rejected_rows",
+        (F.col("silver_rows") - F.col("fact_rows") - F.col("rejected_rows")).alias("unexplained_rows"),
+        "missing_data",
+        "missing_produto",
+        "missing_localidade",
+        "missing_posto",
+    )
 
 
 def _dim_checks(name: str, dim: DataFrame) -> DataFrame:

@@ -84,14 +84,15 @@ def with_row_key(cleaned: DataFrame) -> DataFrame:
 BLANK_ROW_HASH = hashlib.md5(blank_key_text(len(SILVER_SOURCE_COLUMNS)).encode("utf-8")).hexdigest()
 
 
-def drop_blank_rows(df: DataFrame) -> DataFrame:
+def drop_blank_rows(deduplicated: DataFrame) -> DataFrame:
     """rows whose 16 cleaned columns are all NULL or '' are dropped.
 
-    Applied after deduplication: all blank rows share one key, so this removes
-    a single aggregated row, and the cleaning expressions are not evaluated a
-    second time by a filter pushed below the projection.
+    Applied after deduplication (all blank rows share one key, so one row
+    goes) and tested on the survivor's columns. Those come out of the
+    aggregate, so the filter stays above it; a test of ``row_hash`` would be
+    pushed below the cleaning projection and evaluate cleaning and md5 twice.
     """
-    return df.filter(F.col("row_hash") != F.lit(BLANK_ROW_HASH))
+    return deduplicated.filter(F.concat_ws("", *[F.col(c).cast("string") for c in SILVER_SOURCE_COLUMNS]) != "")
 
 
 def deduplicate(keyed: DataFrame) -> DataFrame:

@@ -8,23 +8,24 @@ from pyspark.sql import functions as F
 from postolake.operators.gold import Gold, build_posto_lookup
 
 
-def write_silver(silver: DataFrame, path: str) -> None:
+def write_silver(silver: DataFrame, path: str, records_per_file: int = 5_000_000) -> None:
     """K1: silver as Parquet partitioned by ``ano`` (NULL year -> default partition).
 
     Years present in the new data replace their partitions; other years stay
     (dynamic overwrite, like the source system's overwrite-or-ignore copy).
 
-    Written straight from the deduplication's output partitions: no extra
-    shuffle of the whole table. Each task writes at most one file per year
-    it holds (rows sorted by year then date, which also tightens Parquet
-    min/max statistics for date filters), and no task holds more than its
-    share of any year, however large that year is. Files are capped at 5 M rows.
+    Rows are rebalanced by year before the write: adaptive execution merges
+    small years and splits large ones by bytes, so the number of files follows
+    the size of the table, not tasks times years, and no task holds more than
+    its share of a year. Rows are sorted by year then date in each task, which
+    tightens Parquet min/max statistics for date filters.
     """
     (
-        silver.sortWithinPartitions(F.col("ano").asc_nulls_first(), "data_coleta")
+        silver.hint("rebalance", "ano")
+        .sortWithinPartitions(F.col("ano").asc_nulls_first(), "data_coleta")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", 5_000_000)
+        .option("maxRecordsPerFile", records_per_file)
         .partitionBy("ano")
         .parquet(path)
     )
@@ -35,12 +36,12 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_gold(gold: Gold, root: str) -> None:
+def write_gold(gold: Gold, root: str, records_per_file: int = 5_000_000) -> None:
     """K4-K7, K9: gold tables as Parquet; the fact is partitioned by year.
 
     Dimensions are small and written as single-digit file counts; the fact
-    is written straight from its broadcast-join plan (no shuffle), bounded
-    to 500,000 rows per file.
+    is written straight from its broadcast-join plan (no shuffle), at most
+    ``records_per_file`` narrow rows in a file (some 100 MB by default).
     """
     gold.dim_data.coalesce(1).write.mode("overwrite").parquet(f"{root}/dim_data")
     gold.dim_produto.coalesce(1).write.mode("overwrite").parquet(f"{root}/dim_produto")
@@ -49,7 +50,7 @@ def write_gold(gold: Gold, root: str) -> None:
     (
         gold.fact.write.mode("overwrite")
         .option("partitionOverwriteMode", "static")  # full reload: no stale years survive
-        .option("maxRecordsPerFile", 500_000)
+        .option("maxRecordsPerFile", records_per_file)
         .partitionBy("ano")
         .parquet(f"{root}/fact_precos_combustivel")
     )

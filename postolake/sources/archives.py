@@ -1,15 +1,14 @@
 """Archive expansion: zip files -> text lines, distributed by archive.
 
-``binaryFile`` gives one row per archive; ``mapInPandas`` opens each archive
-in its task and streams every member line by line: one pass checks that
-the member is valid UTF-8, a second yields decoded lines in bounded batches,
-so a member is never held whole in memory (the archive bytes themselves are
-one ``binaryFile`` cell, at most 2 GB). A broken archive yields no
-rows, as the source system's extraction returns an empty list. Members are
-decoded as UTF-8 when the whole member is valid UTF-8, else as latin-1.
-
-A zip is not splittable, so one archive is one task; everything downstream
-(CSV parsing, cleaning, dedup) is ordinary partitioned Spark work.
+``binaryFile`` gives one row per archive and ``mapInPandas`` opens it in its
+task. Every member is read through once first, which checks its CRC and whether
+it is valid UTF-8; only when all members are sound are lines emitted, decoded as
+UTF-8 or else latin-1, in bounded batches. A damaged, encrypted or unsupported
+archive yields one row with its error and no lines.
+
+A zip is not splittable, so one archive is one task, and the archive's bytes
+are one ``binaryFile`` cell (at most 2 GB; a larger file fails the read with
+Spark's own error). Everything after expansion is partitioned Spark work.
 """
 
 from __future__ import annotations
@@ -17,89 +16,96 @@ from __future__ import annotations
 import codecs
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postolake.constants import BRONZE_HEADERS
-from postolake.sources.bronze_csv import CSV_OPTIONS
+from postolake.sources.bronze_lines import parse_lines
+from postolake.sources.csv_format import decoded_path
 
-_DDL = ", ".join(f"`{h}` STRING" for h in BRONZE_HEADERS)
-
-LINES_SCHEMA = "archive string, member string, line_no long, line string"
+LINES_SCHEMA = "archive string, member string, line_no long, line string, error string"
+_COLUMNS = ["archive", "member", "line_no", "line", "error"]
 _BATCH = 50_000
+_DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, OSError, RuntimeError, ValueError)
 
 
-def _is_utf8(zf: zipfile.ZipFile, name: str) -> bool:
-    """First pass: is the whole member valid UTF-8? (streamed, bounded memory)"""
+def _charset(zf: zipfile.ZipFile, name: str) -> str:
+    """Reads a whole member (checking its CRC); its charset."""
     decoder = codecs.getincrementaldecoder("utf-8")()
+    valid = True
     with zf.open(name) as fh:
+        for chunk in iter(lambda: fh.read(1 << 20), b""):
+            if valid:
+                try:
+                    decoder.decode(chunk)
+                except UnicodeDecodeError:
+                    valid = False
+    if valid:
         try:
-            for chunk in iter(lambda: fh.read(1 << 20), b""):
-                decoder.decode(chunk)
             decoder.decode(b"", final=True)
         except UnicodeDecodeError:
-            return False
-    return True
+            valid = False
+    return "utf-8-sig" if valid else "latin-1"
 
 
-def _member_lines(zf: zipfile.ZipFile, name: str, archive: str):
-    """Second pass: the member's lines, decoded with its charset, one at a time."""
-    encoding = "utf-8-sig" if _is_utf8(zf, name) else "latin-1"
-    with zf.open(name) as fh, io.TextIOWrapper(fh, encoding=encoding, newline=None) as text:
-        for i, line in enumerate(text):
-            yield archive, name, i, line.rstrip("\n")
+def _archive_rows(path: str, content: bytes) -> Iterator[tuple]:
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as zf:
+            members = {m: _charset(zf, m) for m in zf.namelist() if not m.endswith("/")}
+    except _DAMAGE as problem:
+        yield path, None, None, None, f"{type(problem).__name__}: {problem}"
+        return
+    with zipfile.ZipFile(io.BytesIO(content)) as zf:
+        for name, charset in members.items():
+            with zf.open(name) as fh, io.TextIOWrapper(fh, encoding=charset, newline=None) as text:
+                for i, line in enumerate(text):
+                    yield path, name, i, line.rstrip("\n"), None
 
 
 def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"]):
-            try:
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    members = [m for m in zf.namelist() if not m.endswith("/")]
-            except (zipfile.BadZipFile, OSError, ValueError):
-                continue  # broken archive: nothing extracted
             buf = []
-            zf = zipfile.ZipFile(io.BytesIO(content))
-            for m in members:
-                try:
-                    for rec in _member_lines(zf, m, path):
-                        buf.append(rec)
-                        if len(buf) >= _BATCH:
-                            yield pd.DataFrame(buf, columns=["archive", "member", "line_no", "line"])
-                            buf = []
-                except (zipfile.BadZipFile, OSError, ValueError, RuntimeError):
-                    continue
+            for row in _archive_rows(path, content):
+                buf.append(row)
+                if len(buf) >= _BATCH:
+                    yield pd.DataFrame(buf, columns=_COLUMNS)
+                    buf = []
             if buf:
-                yield pd.DataFrame(buf, columns=["archive", "member", "line_no", "line"])
+                yield pd.DataFrame(buf, columns=_COLUMNS)
 
 
 def expand_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
-    """(archive, member, line_no, line) for every member line."""
+    """(archive, member, line_no, line, error): every line of sound archives, one error row of others."""
     zips = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
         .load(root)
-        .select("path", "content")
+        .select(decoded_path("path").alias("path"), "content")
     )
     return zips.mapInPandas(_expand, LINES_SCHEMA)
 
 
-def archive_members_to_bronze(lines: DataFrame, members_glob: str = "*.csv") -> DataFrame:
-    """Parse member lines as survey CSV rows (header line skipped).
+def rejected_archives(expanded: DataFrame) -> DataFrame:
+    """(archive, error) of the archives that could not be read whole."""
+    return expanded.where("error is not null").select("archive", "error")
+
+
+def archive_members_to_bronze(expanded: DataFrame, members_glob: str = "*.csv", rejects: str = "raise") -> DataFrame:
+    """Parse member lines as survey CSV rows, each member under its own header.
 
     ``filename`` is ``archive!member``. Quoted fields spanning lines are not
-    supported on this path.
+    supported on this path. ``rejects`` is that of ``parse_lines``.
     """
     like = members_glob.replace("*", "%")
-    rows = lines.filter((F.col("line_no") > 0) & F.lower("member").like(like.lower()) & (F.length("line") > 0))
-    parsed = rows.select(
-        F.from_csv("line", _DDL, CSV_OPTIONS).alias("r"),
-        F.concat_ws("!", "archive", "member").alias("filename"),
-    )
-    return parsed.select(
-        *[F.nullif(F.col("r").getField(h), F.lit("")).alias(h) for h in BRONZE_HEADERS], "filename"
+    lines = expanded.where(F.col("error").isNull() & F.lower("member").like(like.lower())).select(
+        F.replace(F.concat_ws("!", "archive", "member"), F.lit("%"), F.lit("%25")).alias("filename"),
+        F.lit(0).cast("long").alias("block"),
+        F.col("line_no").alias("pos"),
+        F.col("line").alias("value"),
     )
+    return parse_lines(lines, rejects=rejects)

@@ -19,10 +19,13 @@ def test_run_lake_end_to_end(spark, tmp_dir):
     os.makedirs(bronze, exist_ok=True)
     with open(f"{bronze}/c.zip", "wb") as f:
         f.write(buf.getvalue())
-    result = run_lake(spark, bronze, out, sample="all", include_archives=True)
+    with open(f"{bronze}/damaged.zip", "wb") as f:
+        f.write(buf.getvalue()[:-25])
+    result = run_lake(spark, bronze, out, sample="all")  # archives are read by default
+    assert [os.path.basename(r["filename"]) for r in result.rejects.collect()] == ["damaged.zip"]
     assert {r["success"] for r in result.quality.collect()} == {True}
     rep = result.load_report.first()
-    assert rep["silver_rows"] == 3 and rep["fact_rows"] == 3
+    assert rep["silver_rows"] == 3 and rep["fact_rows"] == 3 and rep["unexplained_rows"] == 0
     assert set(result.seconds) == {"bronze", "quality", "silver", "gold", "report"}
     cities = {r["municipios"] for r in A.kpi_cities(result.gold).collect()}
     assert cities == {3}
@@ -34,6 +37,7 @@ def test_quality_checks_first_file_only(spark, tmp_dir):
     bronze, out = f"{tmp_dir}/bronze", f"{tmp_dir}/lake"
     write(f"{bronze}/a.csv", HEADER + "\n" + row() + "\n")
     write(f"{bronze}/b.csv", HEADER + "\n" + row(city="Natal") + "\n" + row(city="Recife") + "\n")
+    write(f"{bronze}/0/nested.csv", HEADER + "\n" + row(city="Natal") + "\n" * 3)  # not the sample: not at the top
     result = run_lake(spark, bronze, out, sample="first")
     counts = {r["element_count"] for r in result.quality.collect()}
     assert counts == {1}

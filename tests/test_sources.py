@@ -5,8 +5,9 @@ import zipfile
 import pytest
 
 from postolake.constants import BRONZE_HEADERS
-from postolake.sources.archives import archive_members_to_bronze, expand_archives
-from postolake.sources.bronze_csv import detect_encodings, read_bronze
+from postolake.sources.archives import archive_members_to_bronze, expand_archives, rejected_archives
+from postolake.sources.bronze_csv import bronze_rejects, detect_encodings, read_bronze, write_bronze_csv
+from postolake.sources.bronze_lines import RejectedFilesError
 
 HEADER = ";".join(BRONZE_HEADERS)
 
@@ -79,7 +80,9 @@ def test_zip_two_members_and_broken_zip(spark, tmp_dir):
     with open(f"{tmp_dir}/bad.zip", "wb") as f:
         f.write(b"PK\x03\x04 not really a zip")
     lines = expand_archives(spark, tmp_dir)
-    assert lines.count() == 5  # 2 headers + 3 rows, nothing from the broken archive
+    assert lines.where("error is null").count() == 5  # 2 headers + 3 rows, nothing from the broken archive
+    bad = rejected_archives(lines).collect()
+    assert len(bad) == 1 and bad[0]["archive"].endswith("bad.zip") and "BadZipFile" in bad[0]["error"]
     bronze = archive_members_to_bronze(lines)
     rows = bronze.collect()
     assert len(rows) == 3
@@ -140,3 +143,73 @@ def test_line_parser_matches_file_reader(spark, tmp_dir):
     ref = read_bronze(spark, tmp_dir)
     cols = list(BRONZE_HEADERS) + ["filename"]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, ref.select(*cols).collect()))
+
+
+def test_file_names_with_special_characters(spark, tmp_dir):
+    names = ["precos semestrais.csv", "a[1].csv", "100%.csv", "x{y}.csv", "a+b.csv", "c%20d.csv"]
+    for k, name in enumerate(names):
+        write(f"{tmp_dir}/{name}", HEADER + "\n" + row(city=f"c{k}") + "\n", encoding="latin-1" if k % 2 else "utf-8")
+    rows = read_bronze(spark, tmp_dir).collect()
+    assert {os.path.basename(r["filename"]): r["Municipio"] for r in rows} == {n: f"c{k}" for k, n in enumerate(names)}
+
+
+def test_blank_lines_before_the_header(spark, tmp_dir):
+    write(f"{tmp_dir}/blank.csv", "\n;;;\n  \n" + HEADER + "\n" + row(city="Olinda") + "\n")
+    write(f"{tmp_dir}/plain.csv", HEADER + "\n" + row(city="Natal") + "\n")
+    assert sorted(r["Municipio"] for r in read_bronze(spark, tmp_dir).collect()) == ["Natal", "Olinda"]
+
+
+def test_file_without_the_expected_header_is_loud(spark, tmp_dir):
+    write(f"{tmp_dir}/nohead.csv", "\n".join(row(city=f"c{k}") for k in range(3)) + "\n")
+    write(f"{tmp_dir}/ok.csv", HEADER + "\n" + row() + "\n")
+    with pytest.raises(RejectedFilesError, match="nohead.csv .3 lines"):
+        read_bronze(spark, tmp_dir)
+    assert read_bronze(spark, tmp_dir, rejects="skip").count() == 1
+    refused = bronze_rejects(spark, tmp_dir).collect()
+    assert [(os.path.basename(r["filename"]), r["lines"]) for r in refused] == [("nohead.csv", 3)]
+
+
+def test_column_far_to_the_right_and_long_rows(spark, tmp_dir):
+    wide = ";".join([f"x{k}" for k in range(90)] + list(BRONZE_HEADERS))
+    write(f"{tmp_dir}/wide.csv", wide + "\n" + ";".join(["-"] * 90) + ";" + row(city="Belém") + "\n")
+    swapped = ";".join(reversed(BRONZE_HEADERS))
+    write(f"{tmp_dir}/swapped.csv", swapped + "\n" + ";".join(reversed(row(city="Natal").split(";"))) + ";more\n")
+    assert sorted(r["Municipio"] for r in read_bronze(spark, tmp_dir).collect()) == ["Belém", "Natal"]
+    assert [r["Municipio"] for r in read_bronze(spark, tmp_dir, drop_long_rows=True).collect()] == ["Belém"]
+
+
+def test_unknown_charset_is_an_error(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    write(f"{tmp_dir}/in/a.csv", HEADER + "\n" + row() + "\n")
+    bronze = read_bronze(spark, f"{tmp_dir}/in").withColumn("filename", F.lit("a"))
+    for charset in (F.lit("CP1252"), F.lit(None).cast("string")):
+        with pytest.raises(Exception, match="unknown charset"):
+            write_bronze_csv(bronze, f"{tmp_dir}/out", encoding_by_file=charset)
+
+
+def _zip_bytes(members):
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for name, text in members.items():
+            zf.writestr(name, text)
+    return buf.getvalue()
+
+
+def test_archives_by_header_name_and_whole_or_not_at_all(spark, tmp_dir):
+    swapped = list(BRONZE_HEADERS)
+    swapped[2], swapped[8] = swapped[8], swapped[2]
+    fields = row(city="Recife").split(";")
+    fields[2], fields[8] = fields[8], fields[2]
+    good = _zip_bytes({"s w.csv": ";".join(swapped) + "\n" + ";".join(fields) + "\n", "a%2.csv": HEADER + "\n" + row(city="Natal")})
+    many = _zip_bytes({"big.csv": (HEADER + "\n" + (row() + "\n") * 60_000).encode("latin-1")})
+    at = many.index(b"big.csv") + 5000
+    os.makedirs(tmp_dir, exist_ok=True)
+    for name, data in {"good.zip": good, "flipped.zip": many[:at] + bytes([many[at] ^ 255]) + many[at + 1 :], "cut.zip": good[:-30]}.items():
+        with open(f"{tmp_dir}/{name}", "wb") as f:
+            f.write(data)
+    expanded = expand_archives(spark, tmp_dir).cache()
+    assert sorted(os.path.basename(r["archive"]) for r in rejected_archives(expanded).collect()) == ["cut.zip", "flipped.zip"]
+    rows = archive_members_to_bronze(expanded).collect()
+    assert {r["filename"].rsplit("!", 1)[1]: r["Municipio"] for r in rows} == {"s w.csv": "Recife", "a%2.csv": "Natal"}
+    expanded.unpersist()
