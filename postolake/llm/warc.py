@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_work_dir
+from .scratch import written
 
 RECORDS_PER_FILE = 6000
 _CRLF = "\r\n"
@@ -293,7 +294,8 @@ def page_round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     spark = pages.sparkSession
     path = shared_work_dir(spark, f"warc-{uuid.uuid4().hex}")
     write_archives(pages.select(F.col("page_id").alias("capture_id"), "url", F.col("html").alias("payload")), path, min_bytes)
-    captures = transactions(read_records(spark, path, with_payload=False)).select(
+    records = written(read_records(spark, path, with_payload=False), "warc-records")
+    captures = transactions(records).select(
         "record_id",
         F.regexp_extract(F.col("metadata")[0]["fields"], r"(?m)^capture-id: (-?\d+)\r?$", 1).alias("page"),
         "payload_bytes",
