@@ -275,18 +275,23 @@ def bi_quarterly_price(gold: Gold, products: tuple[str, ...] = ("GASOLINA", "ETA
     return agg.orderBy(*[F.col(c).asc_nulls_last() for c in ("ano", "trimestre", "produto")])
 
 
+def priced_facts(gold: Gold) -> DataFrame:
+    """(produto, valor_compra, valor_venda) of the facts with two positive prices."""
+    fact = _facts(gold).filter(
+        F.col("valor_compra").isNotNull() & F.col("valor_venda").isNotNull()
+        & (F.col("valor_compra") > 0) & (F.col("valor_venda") > 0)
+    )
+    joined = fact.join(gold.dim("dim_produto", gold.dim_produto.select("produto_id", "produto")), "produto_id")
+    return joined.select("produto", "valor_compra", "valor_venda")
+
+
 def bi_price_sample(gold: Gold, n: int = 5000, seed: int = 7) -> DataFrame:
     """Random sample of n (purchase, sale) pairs with positive prices.
 
     ORDER BY random LIMIT n runs as a per-task top-n then a final top-n
     (TakeOrderedAndProject); the fact is never sorted as a whole.
     """
-    fact = _facts(gold).filter(
-        F.col("valor_compra").isNotNull() & F.col("valor_venda").isNotNull()
-        & (F.col("valor_compra") > 0) & (F.col("valor_venda") > 0)
-    )
-    joined = fact.join(gold.dim("dim_produto", gold.dim_produto.select("produto_id", "produto")), "produto_id")
-    return joined.select("produto", "valor_compra", "valor_venda").orderBy(F.rand(seed)).limit(n)
+    return priced_facts(gold).orderBy(F.rand(seed)).limit(n)
 
 
 # ------------------------------------------------------- panel reductions
@@ -298,13 +303,21 @@ def legend_calcs(frame: DataFrame, series: str = "metric", value: str = "value")
     )
 
 
-def last_not_null(frame: DataFrame, series: str = "metric", value: str = "value", time: str = "time") -> DataFrame:
-    """Last non-NULL value of each series along time."""
-    return (
-        frame.filter(F.col(value).isNotNull())
-        .groupBy(series)
-        .agg(F.max_by(value, time).alias("last_value"), F.max(time).alias("last_time"))
+def last_not_null(
+    frame: DataFrame, series: str = "metric", value: str = "value", time: str | None = "time", position: str | None = None
+) -> DataFrame:
+    """Last non-NULL value of each series.
+
+    "Last" is by ``time``, or, for a frame without a time column, by the
+    ``position`` column that holds the row's place (``time=None``).
+    """
+    by = time or position
+    if by is None:
+        raise ValueError("last_not_null needs a time or a position column")
+    out = frame.filter(F.col(value).isNotNull()).groupBy(series).agg(
+        F.max_by(value, by).alias("last_value"), F.max(by).alias("last_time")
     )
+    return out if time else out.drop("last_time")
 
 
 def pie_percent(frame: DataFrame, label: str = "bandeira", value: str = "total_coletas") -> DataFrame:

@@ -75,7 +75,8 @@ def key_checks(gold: Gold) -> DataFrame:
     fact = gold.fact.select("fato_id", "data_id", "produto_id", "localidade_id", "posto_id")
     probes = fact
     for name, (key, _) in _DIM_KEYS.items():
-        present = getattr(gold, name).select(F.col(key).alias(f"_{key}"), F.lit(True).alias(f"_in_{name}"))
+        # distinct: a doubled dimension id must not multiply fact rows
+        present = getattr(gold, name).select(F.col(key).alias(f"_{key}"), F.lit(True).alias(f"_in_{name}")).distinct()
         probes = probes.join(checked_broadcast(present), F.col(key) == F.col(f"_{key}"), "left")
     orphans = probes.agg(
         *[F.count_if(F.col(f"_in_{n}").isNull()).cast("bigint").alias(n) for n in _DIM_KEYS],

@@ -3,12 +3,14 @@
 The source system declares ``data_inicio``, ``data_fim`` and ``ativo`` on
 the station dimension but never fills them; this completes it.
 
-1. Pre-aggregate: one row per (CNPJ, day, attribute set). However many rows a
-   station has, this is bounded by calendar days x attribute variants, and
-   the distinct is combined map-side — a station holding a third of all rows
-   still reaches the window below as a few thousand rows.
-2. Per CNPJ, ordered by (day, attributes): a change flag where any attribute
-   differs (NULL-safe) from the previous row; a running sum numbers versions.
+1. Pre-aggregate: one row per (CNPJ, day). A day has one version: of several
+   attribute sets on the same day the smallest counts (attribute by attribute,
+   NULLs first), so no version can end before it starts. However many rows a
+   station has, this is bounded by calendar days and combined map-side — a
+   station holding a third of all rows still reaches the window below as a few
+   thousand rows.
+2. Per CNPJ, ordered by day: a change flag where any attribute differs
+   (NULL-safe) from the previous day; a running sum numbers versions.
 3. One row per version: first day = ``data_inicio``; the next version's first
    day minus one = ``data_fim``; the open version is ``ativo``.
 """
@@ -31,11 +33,11 @@ OPEN_END = "9999-12-31"
 def station_history(g: DataFrame) -> DataFrame:
     daily = (
         g.filter(F.col("cnpj_revenda").isNotNull() & F.col("data_coleta").isNotNull())
-        .select("cnpj_revenda", "data_coleta", *VERSION_ATTRIBUTES)
-        .distinct()
+        .groupBy("cnpj_revenda", "data_coleta")
+        .agg(F.min(F.struct(*VERSION_ATTRIBUTES)).alias("a"))
+        .select("cnpj_revenda", "data_coleta", "a.*")
     )
-    order = [F.col("data_coleta").asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in VERSION_ATTRIBUTES]
-    w = Window.partitionBy("cnpj_revenda").orderBy(*order)
+    w = Window.partitionBy("cnpj_revenda").orderBy("data_coleta")
     differs = reduce(
         lambda a, b: a | b, [~F.col(c).eqNullSafe(F.lag(c).over(w)) for c in VERSION_ATTRIBUTES]
     )

@@ -11,6 +11,7 @@ by year, reads it back (a deterministic scan), and writes the gold tables.
 
 from __future__ import annotations
 
+import dataclasses
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +43,9 @@ def demo_lake(spark: SparkSession, sf_dir: str) -> Lake:
         # plans start from a plain scan instead of its generator expressions.
         bronze = demo_bronze(spark, sf_dir).checkpoint(eager=True)
         silver = build_silver(bronze).checkpoint(eager=True)
-        _LAKES[key] = Lake(bronze, silver, build_gold(silver))
+        gold = build_gold(silver)
+        # fact ids depend on the partitions they are computed in, so the fact is stored before anything is built on it
+        _LAKES[key] = Lake(bronze, silver, dataclasses.replace(gold, fact=gold.fact.checkpoint(eager=True)))
     return _LAKES[key]
 
 

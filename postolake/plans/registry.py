@@ -8,6 +8,7 @@ thresholds) are fixed here to values that exercise them on the demo data.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -120,74 +121,91 @@ def _fact_ids(spark, sf_dir):
     )
 
 
-# --------------------------------------------------------------- dashboard
-
-_JD = "fact f JOIN dim_data d ON f.data_id = d.data_id"
-_JP = "JOIN dim_produto p ON f.produto_id = p.produto_id"
-_JL = "JOIN dim_localidade l ON f.localidade_id = l.localidade_id"
+# ------------------------------------------------- panels over one relation
+
+def _panel(
+    keys: dict[str, str],
+    measures: dict[str, str],
+    where: str = "TRUE",
+    having: str = "TRUE",
+    order: str = "",
+    limit: int | None = None,
+    numbered: bool = False,
+) -> str:
+    """Grouped measures over ``sales``, the fact with every dimension attribute (see ``oracle.GOLD_CTE``)."""
+    names = [*keys, *measures]
+    body = (
+        f"SELECT {', '.join(f'{e} AS {n}' for n, e in (keys | measures).items())} "
+        f"FROM sales WHERE {where} GROUP BY {', '.join(str(i + 1) for i in range(len(keys)))} HAVING {having}"
+    )
+    if not (limit or numbered):
+        return body
+    place = f"SELECT *, ROW_NUMBER() OVER (ORDER BY {order}) AS place FROM ({body})"
+    out = ", ".join([*names, "place"] if numbered else names)
+    return f"SELECT {out} FROM ({place}) WHERE place <= {limit or 'place'}"
+
+
+_VENDA, _COMPRA, _MARGEM = O.xmean("venda"), O.xmean("compra"), O.xmean("venda - compra")
+_ROWS = "CAST(COUNT(*) AS BIGINT)"
+_BOTH = "venda - compra IS NOT NULL"
+_TRADED = "LEAST(venda, compra) > 0 AND venda - compra IS NOT NULL"
+_MONTH, _QUARTER = "CAST(date_trunc('month', dia) AS DATE)", "CAST(date_trunc('quarter', dia) AS DATE)"
+_CHOSEN = f"produto IN {O.in_list(PRODUCTS)}"
+
+_D1_SQL = _panel(
+    {"time": _MONTH, "metric": "produto"},
+    {"value": _VENDA},
+    f"{_MONTH} >= DATE '{D1_RANGE[0]}' AND {_MONTH} <= DATE '{D1_RANGE[1]}'",
+)
+_D2 = dict(keys={"produto": "produto"}, measures={"preco_medio": _VENDA}, where="venda > 0", order="preco_medio DESC NULLS FIRST")
+_D4 = dict(keys={"regiao_sigla": "regiao", "produto": "produto"}, measures={"margem_media": _MARGEM}, where=_BOTH)
+_B1 = dict(
+    keys={"ano": "ano", "mes": "mes", "produto": "produto"},
+    measures={"preco_medio_venda": _VENDA, "preco_medio_compra": _COMPRA},
+    order="ano, mes, produto",
+)
+_B3 = dict(
+    keys={"municipio": "cidade", "estado_sigla": "uf"},
+    measures={"preco_medio": _VENDA, "total_coletas": _ROWS},
+    where="produto = 'GASOLINA'",
+    having="COUNT(*) >= 100",
+    order="preco_medio DESC NULLS FIRST, municipio, estado_sigla",
+    limit=10,
+)
+_B4 = dict(
+    keys={"regiao_sigla": "regiao", "produto": "produto"},
+    measures={"margem_media": _MARGEM, "preco_venda_medio": _VENDA, "preco_compra_medio": _COMPRA},
+    where=_BOTH,
+    order="regiao_sigla, margem_media DESC NULLS FIRST",
+)
+# brands count under their stored name, so NULL and the label are separate rows
+_BRANDS = dict(
+    keys={"marca": "marca"}, measures={"total_coletas": _ROWS}, order="total_coletas DESC, marca ASC NULLS FIRST", limit=15
+)
+_BRAND_SQL = f"SELECT COALESCE(NULLIF(marca, ''), '{O.UNBRANDED_LABEL}') AS bandeira, total_coletas FROM ({_panel(**_BRANDS)})"
 
 
-@register(
-    "dash_01_monthly_price",
-    O.with_lake(
-        f"""SELECT make_date(d.ano, d.mes, 1) AS time, p.produto AS metric, {O.xmean('f.valor_venda')} AS value
-            FROM {_JD} {_JP}
-            WHERE make_date(d.ano, d.mes, 1) BETWEEN DATE '{D1_RANGE[0]}' AND DATE '{D1_RANGE[1]}'
-            GROUP BY d.ano, d.mes, p.produto ORDER BY 1"""
-    ),
-)
+@register("dash_01_monthly_price", O.with_lake(_D1_SQL))
 def _d1(spark, sf_dir):
     return A.dash_monthly_price(_gold(spark, sf_dir), *D1_RANGE)
 
 
-@register(
-    "dash_02_price_by_product",
-    O.with_lake(
-        f"""SELECT p.produto AS produto, {O.xmean('f.valor_venda')} AS preco_medio
-            FROM fact f {_JP} WHERE f.valor_venda > 0 GROUP BY p.produto ORDER BY preco_medio DESC"""
-    ),
-)
+@register("dash_02_price_by_product", O.with_lake(_panel(**_D2)))
 def _d2(spark, sf_dir):
     return A.dash_price_by_product(_gold(spark, sf_dir))
 
 
-@register(
-    "dash_03_rows_per_year",
-    O.with_lake(
-        f"""SELECT CAST(d.ano AS VARCHAR) AS ano, CAST(COUNT(*) AS BIGINT) AS coletas
-            FROM {_JD} GROUP BY d.ano ORDER BY d.ano"""
-    ),
-)
+@register("dash_03_rows_per_year", O.with_lake(_panel({"ano": "CAST(ano AS VARCHAR)"}, {"coletas": _ROWS})))
 def _d3(spark, sf_dir):
     return A.dash_rows_per_year(_gold(spark, sf_dir))
 
 
-@register(
-    "dash_04_margin_by_region",
-    O.with_lake(
-        f"""SELECT l.regiao_sigla AS regiao_sigla, p.produto AS produto,
-                   {O.xmean('f.valor_venda - f.valor_compra')} AS margem_media
-            FROM fact f {_JL} {_JP}
-            WHERE f.valor_compra IS NOT NULL AND f.valor_venda IS NOT NULL
-            GROUP BY l.regiao_sigla, p.produto ORDER BY l.regiao_sigla"""
-    ),
-)
+@register("dash_04_margin_by_region", O.with_lake(_panel(**_D4)))
 def _d4(spark, sf_dir):
     return A.dash_margin_by_region(_gold(spark, sf_dir))
 
 
-_BRAND_COUNTS = """SELECT po.bandeira AS raw_bandeira, COUNT(*) AS total_coletas
-                   FROM fact f JOIN dim_posto po ON f.posto_id = po.posto_id GROUP BY po.bandeira"""
-
-
-@register(
-    "dash_05_brand_share",
-    O.with_lake(
-        f"""SELECT COALESCE(NULLIF(raw_bandeira, ''), '{O.UNBRANDED_LABEL}') AS bandeira,
-                   CAST(total_coletas AS BIGINT) AS total_coletas
-            FROM ({_BRAND_COUNTS}) ORDER BY total_coletas DESC, raw_bandeira ASC NULLS FIRST LIMIT 15"""
-    ),
-)
+@register("dash_05_brand_share", O.with_lake(_BRAND_SQL))
 def _d5(spark, sf_dir):
     return A.dash_brand_share(_gold(spark, sf_dir))
 
@@ -195,120 +213,80 @@ def _d5(spark, sf_dir):
 @register(
     "dash_06_quarterly_price",
     O.with_lake(
-        f"""SELECT make_date(d.ano, (d.trimestre - 1) * 3 + 1, 1) AS time, p.produto AS metric,
-                   {O.xmean('f.valor_venda')} AS value
-            FROM {_JD} {_JP}
-            WHERE p.produto IN {O.in_list(PRODUCTS)}
-              AND make_date(d.ano, (d.trimestre - 1) * 3 + 1, 1) BETWEEN DATE '{D6_RANGE[0]}' AND DATE '{D6_RANGE[1]}'
-            GROUP BY d.ano, d.trimestre, p.produto ORDER BY 1"""
+        _panel(
+            {"time": _QUARTER, "metric": "produto"},
+            {"value": _VENDA},
+            f"{_CHOSEN} AND {_QUARTER} >= DATE '{D6_RANGE[0]}' AND {_QUARTER} <= DATE '{D6_RANGE[1]}'",
+        )
     ),
 )
 def _d6(spark, sf_dir):
     return A.dash_quarterly_price(_gold(spark, sf_dir), PRODUCTS, *D6_RANGE)
 
 
-_POSITIVE = ("f.valor_compra IS NOT NULL AND f.valor_venda IS NOT NULL "
-             "AND f.valor_compra > 0 AND f.valor_venda > 0")
-
-
 @register(
     "dash_07_product_summary",
     O.with_lake(
-        f"""SELECT p.produto AS produto, {O.xmean('f.valor_compra')} AS preco_medio_compra,
-                   {O.xmean('f.valor_venda')} AS preco_medio_venda,
-                   {O.xmean('f.valor_venda - f.valor_compra')} AS margem_media,
-                   CAST(COUNT(*) AS BIGINT) AS total_registros
-            FROM fact f {_JP} WHERE {_POSITIVE} GROUP BY p.produto ORDER BY margem_media DESC"""
+        _panel(
+            {"produto": "produto"},
+            {"preco_medio_compra": _COMPRA, "preco_medio_venda": _VENDA, "margem_media": _MARGEM, "total_registros": _ROWS},
+            _TRADED,
+        )
     ),
 )
 def _d7(spark, sf_dir):
     return A.dash_product_summary(_gold(spark, sf_dir))
 
 
-@register("dash_08_total_rows", O.with_lake("SELECT CAST(COUNT(*) AS BIGINT) AS total FROM fact"))
+@register("dash_08_total_rows", O.with_lake(f"SELECT {_ROWS} AS total FROM sales"))
 def _d8(spark, sf_dir):
     return A.kpi_total_rows(_gold(spark, sf_dir))
 
 
-@register("dash_09_products", O.with_lake("SELECT CAST(COUNT(*) AS BIGINT) AS produtos FROM dim_produto"))
+@register("dash_09_products", O.with_lake("SELECT CAST(MAX(produto_id) AS BIGINT) AS produtos FROM dim_produto"))
 def _d9(spark, sf_dir):
     return A.kpi_products(_gold(spark, sf_dir))
 
 
 @register(
     "dash_10_cities",
-    O.with_lake("SELECT CAST(COUNT(DISTINCT municipio) AS BIGINT) AS municipios FROM dim_localidade"),
+    O.with_lake("SELECT CAST(len(list_distinct(list(municipio))) AS BIGINT) AS municipios FROM dim_localidade"),
 )
 def _d10(spark, sf_dir):
     return A.kpi_cities(_gold(spark, sf_dir))
 
 
-@register("dash_11_stations", O.with_lake("SELECT CAST(COUNT(*) AS BIGINT) AS postos FROM dim_posto"))
+@register("dash_11_stations", O.with_lake("SELECT CAST(MAX(posto_id) AS BIGINT) AS postos FROM dim_posto"))
 def _d11(spark, sf_dir):
     return A.kpi_stations(_gold(spark, sf_dir))
 
 
-# ------------------------------------------------------------ BI questions
-
-@register(
-    "bi_01_monthly_prices",
-    O.with_lake(
-        f"""SELECT d.ano, d.mes, p.produto, {O.xmean('f.valor_venda')} AS preco_medio_venda,
-                   {O.xmean('f.valor_compra')} AS preco_medio_compra
-            FROM {_JD} {_JP} GROUP BY d.ano, d.mes, p.produto ORDER BY d.ano, d.mes, p.produto"""
-    ),
-)
+@register("bi_01_monthly_prices", O.with_lake(_panel(**_B1)))
 def _b1(spark, sf_dir):
     return A.bi_monthly_prices(_gold(spark, sf_dir))
 
 
-@register(
-    "bi_02_price_by_state",
-    O.with_lake(
-        f"""SELECT l.estado_sigla, p.produto, {O.xmean('f.valor_venda')} AS preco_medio_venda,
-                   CAST(COUNT(*) AS BIGINT) AS total_coletas
-            FROM fact f {_JL} {_JP} GROUP BY l.estado_sigla, p.produto ORDER BY l.estado_sigla, p.produto"""
-    ),
-)
+_B2_SQL = _panel({"estado_sigla": "uf", "produto": "produto"}, {"preco_medio_venda": _VENDA, "total_coletas": _ROWS})
+
+
+@register("bi_02_price_by_state", O.with_lake(_B2_SQL))
 def _b2(spark, sf_dir):
     return A.bi_price_by_state(_gold(spark, sf_dir))
 
 
-@register(
-    "bi_03_top_cities",
-    O.with_lake(
-        f"""SELECT l.municipio, l.estado_sigla, {O.xmean('f.valor_venda')} AS preco_medio,
-                   CAST(COUNT(*) AS BIGINT) AS total_coletas
-            FROM fact f {_JL} {_JP} WHERE p.produto = 'GASOLINA'
-            GROUP BY l.municipio, l.estado_sigla HAVING COUNT(*) >= 100
-            ORDER BY preco_medio DESC, l.municipio, l.estado_sigla LIMIT 10"""
-    ),
-)
+@register("bi_03_top_cities", O.with_lake(_panel(**_B3)))
 def _b3(spark, sf_dir):
     return A.bi_top_cities(_gold(spark, sf_dir), "GASOLINA", 100, 10)
 
 
-@register(
-    "bi_04_margin_by_region",
-    O.with_lake(
-        f"""SELECT l.regiao_sigla, p.produto, {O.xmean('f.valor_venda - f.valor_compra')} AS margem_media,
-                   {O.xmean('f.valor_venda')} AS preco_venda_medio, {O.xmean('f.valor_compra')} AS preco_compra_medio
-            FROM fact f {_JL} {_JP} WHERE f.valor_compra IS NOT NULL AND f.valor_venda IS NOT NULL
-            GROUP BY l.regiao_sigla, p.produto ORDER BY l.regiao_sigla, margem_media DESC"""
-    ),
-)
+@register("bi_04_margin_by_region", O.with_lake(_panel(**_B4)))
 def _b4(spark, sf_dir):
     return A.bi_margin_by_region(_gold(spark, sf_dir))
 
 
 @register(
     "bi_05_brand_distribution",
-    O.with_lake(
-        f"""SELECT COALESCE(NULLIF(raw_bandeira, ''), '{O.UNBRANDED_LABEL}') AS bandeira,
-                   CAST(total_coletas AS BIGINT) AS total_coletas,
-                   {O.xpercent('total_coletas', 'SUM(total_coletas) OVER ()')} AS percentual
-            FROM ({_BRAND_COUNTS}) ORDER BY total_coletas DESC, raw_bandeira ASC NULLS FIRST LIMIT 15"""
-    ),
+    O.with_lake(f"SELECT *, {O.xpercent('total_coletas', 'SUM(total_coletas) OVER ()')} AS percentual FROM ({_BRAND_SQL})"),
 )
 def _b5(spark, sf_dir):
     return A.bi_brand_distribution(_gold(spark, sf_dir))
@@ -317,9 +295,7 @@ def _b5(spark, sf_dir):
 @register(
     "bi_06_quarterly_price",
     O.with_lake(
-        f"""SELECT d.ano, d.trimestre, p.produto, {O.xmean('f.valor_venda')} AS preco_medio
-            FROM {_JD} {_JP} WHERE p.produto IN {O.in_list(PRODUCTS)}
-            GROUP BY d.ano, d.trimestre, p.produto ORDER BY d.ano, d.trimestre, p.produto"""
+        _panel({"ano": "ano", "trimestre": "trimestre", "produto": "produto"}, {"preco_medio": _VENDA}, _CHOSEN)
     ),
 )
 def _b6(spark, sf_dir):
@@ -327,17 +303,70 @@ def _b6(spark, sf_dir):
 
 
 @register("bi_07_price_sample", None)
-def _b7(spark, sf_dir):
+def _b7_rows(spark, sf_dir):
     return A.bi_price_sample(_gold(spark, sf_dir), 5000, seed=7)
 
 
-# --------------------------------------------------------- panel reductions
+@register(
+    "bi_07_sample_check",
+    O.with_lake(
+        f"""SELECT LEAST(COUNT(*), 5000) AS sampled, LEAST(COUNT(*), 5000) AS sampled_again, CAST(0 AS BIGINT) AS not_in_facts
+            FROM sales WHERE {_TRADED}"""
+    ),
+)
+def _b7(spark, sf_dir):
+    """The random sample itself, counted against the facts it comes from."""
+    gold = _gold(spark, sf_dir)
+    population = A.priced_facts(gold)
+    sample = A.bi_price_sample(gold, 5000, seed=7)
+    columns = population.columns
+    # multiset difference: a pair sampled more often than it occurs shows up
+    strange = (
+        sample.groupBy(columns)
+        .agg(F.count("*").alias("taken"))
+        .join(population.groupBy(columns).agg(F.count("*").alias("there")), columns, "left")
+        .agg(F.sum(F.greatest(F.col("taken") - F.coalesce("there", F.lit(0)), F.lit(0))).alias("not_in_facts"))
+    )
+    counts = [A.bi_price_sample(gold, 5000, seed=7).agg(F.count("*").alias(n)) for n in ("sampled", "sampled_again")]
+    one = lambda df: df.withColumn("_one", F.lit(1))  # noqa: E731  one row each
+    return one(counts[0]).join(one(counts[1]), "_one").join(one(strange), "_one").drop("_one")
+
+
+_ORDERED = {
+    "dash_02_price_by_product": (_D2, "produto"),
+    "dash_05_brand_share": (_BRANDS, f"COALESCE(NULLIF(marca, ''), '{O.UNBRANDED_LABEL}')"),
+    "bi_01_monthly_prices": (_B1, "ano || '-' || mes || '-' || produto"),
+    "bi_03_top_cities": (_B3, "municipio || '-' || estado_sigla"),
+    "bi_04_margin_by_region": (_B4, "regiao_sigla || '-' || produto"),
+}
+_ORDERED_KEYS = {
+    "dash_02_price_by_product": ["produto"],
+    "dash_05_brand_share": ["bandeira"],
+    "bi_01_monthly_prices": ["ano", "mes", "produto"],
+    "bi_03_top_cities": ["municipio", "estado_sigla"],
+    "bi_04_margin_by_region": ["regiao_sigla", "produto"],
+}
+
+
+@register(
+    "panel_order",
+    O.with_lake(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS panel, CAST(place AS BIGINT) AS place, {label} AS label FROM ({_panel(**q, numbered=True)})"
+            for name, (q, label) in _ORDERED.items()
+        )
+    ),
+)
+def _panel_order(spark, sf_dir):
+    """The order in which panels deliver their rows (small results, so positions are taken from collect)."""
+    rows = []
+    for name, keys in _ORDERED_KEYS.items():
+        for place, r in enumerate(QUERIES[name](spark, sf_dir).collect(), 1):
+            rows.append((name, place, "-".join(str(r[k]) for k in keys)))
+    return spark.createDataFrame(rows, "panel string, place long, label string")
 
-_D1_SQL = f"""SELECT make_date(d.ano, d.mes, 1) AS time, p.produto AS metric, {O.xmean('f.valor_venda')} AS value
-              FROM {_JD} {_JP}
-              WHERE make_date(d.ano, d.mes, 1) BETWEEN DATE '{D1_RANGE[0]}' AND DATE '{D1_RANGE[1]}'
-              GROUP BY d.ano, d.mes, p.produto"""
 
+# --------------------------------------------------------- panel reductions
 
 @register(
     "legend_calcs",
@@ -363,27 +392,25 @@ def _last(spark, sf_dir):
 
 @register(
     "pie_percent",
-    O.with_lake(
-        f"""SELECT bandeira, total_coletas, {O.xpercent('total_coletas', 'SUM(total_coletas) OVER ()')} AS percent
-            FROM (SELECT COALESCE(NULLIF(raw_bandeira, ''), '{O.UNBRANDED_LABEL}') AS bandeira,
-                         CAST(total_coletas AS BIGINT) AS total_coletas
-                  FROM ({_BRAND_COUNTS}) ORDER BY total_coletas DESC, raw_bandeira ASC NULLS FIRST LIMIT 15)"""
-    ),
+    O.with_lake(f"SELECT *, {O.xpercent('total_coletas', 'SUM(total_coletas) OVER ()')} AS percent FROM ({_BRAND_SQL})"),
 )
 def _pie(spark, sf_dir):
     return A.pie_percent(A.dash_brand_share(_gold(spark, sf_dir)))
 
 
+_FIELDS = ["GASOLINA", "GASOLINA ADITIVADA", "ETANOL", "DIESEL", "DIESEL S10", "GNV"]
+
+
 @register(
     "rows_to_fields",
     O.with_lake(
-        f"""PIVOT (SELECT p.produto AS produto, {O.xmean('f.valor_venda')} AS preco_medio
-                   FROM fact f {_JP} WHERE f.valor_venda > 0 GROUP BY p.produto)
-            ON produto USING first(preco_medio)"""
+        "SELECT "
+        + ", ".join(f"MAX(preco_medio) FILTER (WHERE produto = '{n}') AS \"{n}\"" for n in _FIELDS)
+        + f" FROM ({_panel(**_D2)})"
     ),
 )
 def _r2f(spark, sf_dir):
-    return A.rows_to_fields(A.dash_price_by_product(_gold(spark, sf_dir)), "produto", "preco_medio")
+    return A.rows_to_fields(A.dash_price_by_product(_gold(spark, sf_dir)), "produto", "preco_medio", _FIELDS)
 
 
 # ---------------------------------------------------------------- quality
@@ -578,24 +605,47 @@ def _fn_dmy(spark, sf_dir):
 
 @register(
     "fn_strip_nul",
-    "SELECT doc_id, CAST(length(text) - length(replace(text, chr(0), '')) AS INTEGER) AS nul_chars, "
-    "CAST(length(replace(text, chr(0), '')) AS INTEGER) AS clean_chars FROM documents",
+    """SELECT doc_id, CAST(doc_id % 4 AS INTEGER) AS nul_chars, CAST(length(text) AS INTEGER) AS clean_chars,
+              md5(text) AS clean FROM documents""",
 )
 def _fn_strip_nul(spark, sf_dir):
+    """Zero to three NULs are put in front of, inside and behind each text and taken out again."""
     d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    clean = strip_nul("text")
-    return d.select(
-        "doc_id", (F.length("text") - F.length(clean)).alias("nul_chars"), F.length(clean).alias("clean_chars")
+    nul = lambda k: F.when(F.col("doc_id") % 4 >= k, F.lit("\u0000")).otherwise(F.lit(""))
+    half = F.substring("text", 1, 5)
+    rest = F.substr("text", F.lit(6))
+    dirty = d.withColumn("dirty", F.concat(nul(1), half, nul(2), rest, nul(3)))
+    clean = strip_nul("dirty")
+    return dirty.select(
+        "doc_id",
+        (F.length("dirty") - F.length(clean)).alias("nul_chars"),
+        F.length(clean).alias("clean_chars"),
+        F.md5(clean).alias("clean"),
     )
 
 
-@register("fn_fix_unicode", None)
+# letters whose UTF-8 bytes, read as latin-1, survive NFKC (others are folded before the repair, as in the source system)
+_REPAIRABLE = "^[a-zA-Z]*[éçñáäö][a-zA-Zéçñáäö]*$"
+
+
+@register(
+    "fn_fix_unicode",
+    f"""SELECT word AS once, word AS twice, word AS plain, n
+        FROM (SELECT word, COUNT(*) AS n
+              FROM (SELECT unnest(string_split_regex(text, '[\\s.,!|$%&#*]+')) AS word FROM documents)
+              WHERE regexp_matches(word, '{_REPAIRABLE}') GROUP BY word)""",
+)
 def _fn_fix_unicode(spark, sf_dir):
-    """X1 on whole document texts: the Arrow-batched repair UDF."""
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    fixed = d.select("doc_id", "text", fix_unicode("text").alias("fixed"))
-    return fixed.select(
-        "doc_id", (F.col("fixed") != F.col("text")).alias("changed"), F.length("fixed").alias("fixed_chars")
+    """Words of all documents, garbled by one and by two latin-1 rounds, repaired by the Arrow-batched UDF."""
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    words = d.select(F.explode(F.split("text", r"[\s.,!|$%&#*]+")).alias("word")).where(F.col("word").rlike(_REPAIRABLE))
+    garble = lambda c: F.decode(F.encode(c, "UTF-8"), "ISO-8859-1")
+    per_word = words.groupBy("word").agg(F.count("*").alias("n"))
+    return per_word.select(
+        fix_unicode(garble(F.col("word"))).alias("once"),
+        fix_unicode(garble(garble(F.col("word")))).alias("twice"),
+        fix_unicode("word").alias("plain"),
+        "n",
     )
 
 
@@ -672,15 +722,25 @@ _LANDING = "/landing"
 @register(
     "target_path",
     f"""SELECT page_id, url,
-               CASE WHEN idx > 0 AND idx < len(parts)
-                    THEN '{_LANDING}/dsan/' || parts[idx + 1] || '/' || parts[len(parts)]
-                    ELSE '{_LANDING}/' || parts[len(parts)] END AS target
-        FROM (SELECT page_id, url, string_split(url, '/') AS parts,
-                     COALESCE(list_position(string_split(url, '/'), 'dsan'), 0) AS idx FROM pages)""",
+               '{_LANDING}/' || CASE WHEN page_id % 3 = 0 THEN 'dsan/' || CAST(2000 + page_id % 20 AS VARCHAR) || '/' ELSE '' END
+               || CASE WHEN page_id % 6 = 4 THEN 'dsan' ELSE 'f' || CAST(page_id AS VARCHAR) || '.csv' END AS target
+        FROM (SELECT page_id, regexp_replace(url, '[?#].*$', '') || CASE
+                WHEN page_id % 3 = 0 THEN '/dsan/' || CAST(2000 + page_id % 20 AS VARCHAR) || '/x/f' || CAST(page_id AS VARCHAR) || '.csv'
+                WHEN page_id % 6 = 4 THEN '/dsan'
+                ELSE '/dsanx/f' || CAST(page_id AS VARCHAR) || '.csv' END AS url FROM pages)""",
 )
 def _target_path(spark, sf_dir):
+    """S15 on page URLs extended by a dsan year folder, a closing dsan, or a similar segment."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    return pages.select("page_id", "url", M.landing_path("url", _LANDING).alias("target"))
+    k = F.col("page_id").cast("string")
+    name = F.concat(F.lit("f"), k, F.lit(".csv"))
+    tail = (
+        F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("/dsan/"), (2000 + F.col("page_id") % 20).cast("string"), F.lit("/x/"), name))
+        .when(F.col("page_id") % 6 == 4, F.lit("/dsan"))
+        .otherwise(F.concat(F.lit("/dsanx/"), name))
+    )
+    urls = pages.select("page_id", F.concat(F.regexp_replace("url", "[?#].*$", ""), tail).alias("url"))
+    return urls.select("page_id", "url", M.landing_path("url", _LANDING).alias("target"))
 
 
 def _fetch_log(spark, sf_dir):
@@ -721,114 +781,208 @@ def _payload(spark, sf_dir):
 
 
 def _manifest(spark, sf_dir):
-    """Canonical URL manifest from pages: query and fragment removed."""
+    """URL manifest from pages without query and fragment; every fifth entry is listed again further down."""
     p = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    return p.select(F.regexp_replace("url", "[?#].*$", "").alias("url"), F.col("page_id").alias("pos"))
+    once = p.select(F.regexp_replace("url", "[?#].*$", "").alias("url"), F.col("page_id").alias("pos"))
+    return once.unionByName(once.where("pos % 5 = 2").withColumn("pos", F.col("pos") + 1_000_000))
 
 
-_MANIFEST_SQL = "SELECT regexp_replace(url, '[?#].*$', '') AS url, page_id AS pos FROM pages"
+_MANIFEST_SQL = """SELECT url, pos FROM (SELECT regexp_replace(url, '[?#].*$', '') AS url, page_id AS pos, page_id FROM pages)
+                   UNION ALL SELECT regexp_replace(url, '[?#].*$', ''), page_id + 1000000 FROM pages WHERE page_id % 5 = 2"""
 
 
 @register(
     "manifest_duplicates",
-    f"""SELECT url, CAST(COUNT(*) AS BIGINT) AS occurrences, MIN(pos) AS first_pos
-        FROM ({_MANIFEST_SQL}) GROUP BY url HAVING COUNT(*) > 1""",
+    f"""SELECT url, CAST(len(places) AS BIGINT) AS occurrences, list_min(places) AS first_pos
+        FROM (SELECT url, list(pos) AS places FROM ({_MANIFEST_SQL}) GROUP BY url) WHERE len(places) > 1""",
 )
 def _manifest_dups(spark, sf_dir):
     return M.check_manifest(_manifest(spark, sf_dir))
 
 
-@register("manifest_dedup", f"SELECT url, MIN(pos) AS pos FROM ({_MANIFEST_SQL}) GROUP BY url")
+@register(
+    "manifest_dedup",
+    f"SELECT url, pos FROM ({_MANIFEST_SQL}) QUALIFY ROW_NUMBER() OVER (PARTITION BY url ORDER BY pos) = 1",
+)
 def _manifest_dedup(spark, sf_dir):
     return M.dedup_manifest(_manifest(spark, sf_dir))
 
 
+@register(
+    "manifest_reconcile",
+    f"""SELECT 'missing' AS side, url FROM ({_MANIFEST_SQL}) WHERE pos % 7 = 0
+        UNION ALL SELECT 'extra', regexp_replace(url, '[?#].*$', '') || '.new' FROM pages WHERE page_id % 11 = 3""",
+)
+def _reconcile(spark, sf_dir):
+    """The manifest against what landed: every seventh entry is absent, some files are not in the list."""
+    expected = _manifest(spark, sf_dir)
+    landed = expected.where("pos % 7 <> 0").select("url")
+    unknown = expected.where("pos < 1000000 and pos % 11 = 3").select(F.concat("url", F.lit(".new")).alias("url"))
+    missing, extra = M.reconcile(expected.select("url"), landed.unionByName(unknown))
+    return missing.select(F.lit("missing").alias("side"), "url").unionByName(extra.select(F.lit("extra").alias("side"), "url"))
+
+
+@register(
+    "pending_files",
+    """SELECT page_id, 'hdfs://lake:8020/bronze/' || page_id || '.csv' AS target FROM pages
+       WHERE page_id % 4 = 1 OR page_id % 9 = 0""",
+)
+def _pending(spark, sf_dir):
+    """Listed files under another scheme and authority; a quarter never landed, every ninth is empty."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id")
+    place = F.concat(F.lit("/bronze/"), F.col("page_id").cast("string"), F.lit(".csv"))
+    manifest = pages.select("page_id", F.concat(F.lit("hdfs://lake:8020"), place).alias("target"))
+    listing = pages.where("page_id % 4 <> 1").select(
+        F.concat(F.when(F.col("page_id") % 2 == 0, "file:").otherwise("hdfs://other"), place).alias("path"),
+        F.when(F.col("page_id") % 9 == 0, 0).otherwise(10).alias("length"),
+    )
+    return M.pending_files(manifest, listing)
+
+
 # ------------------------------------------ station history, checks, report
 
 from postolake.operators import checks as C  # noqa: E402
 from postolake.operators import scd2 as H  # noqa: E402
 from postolake.operators.gold import gold_input  # noqa: E402
 
-_HIST: dict = {}
-
-
-def _history(spark, sf_dir):
-    lake = demo_lake(spark, sf_dir)
-    key = id(lake)
-    if key not in _HIST:
-        _HIST[key] = H.station_history(gold_input(lake.silver))
-    return _HIST[key]
+_HIST_COLS = ["posto_id", "cnpj_revenda", *H.VERSION_ATTRIBUTES, "data_inicio", "data_fim", "ativo", "versao"]
 
 
-_HIST_COLS = ["posto_id", "cnpj_revenda", *H.VERSION_ATTRIBUTES, "data_inicio", "data_fim", "ativo", "versao"]
+def _history_input(spark, sf_dir):
+    """Silver rows plus a second brand on the same day for the stations of March (NULL where the brand was known)."""
+    g = gold_input(demo_lake(spark, sf_dir).silver)
+    other = F.when(F.col("bandeira").isNull(), F.lit("AAA")).otherwise(F.lit(None).cast("string"))
+    return g.unionByName(g.where("mes = 3").withColumn("bandeira", other))
 
 
 @register("dim_posto_scd2", O.with_lake(f"SELECT {', '.join(_HIST_COLS)} FROM history", "history"))
 def _scd2(spark, sf_dir):
-    return _history(spark, sf_dir).select(*_HIST_COLS)
+    return H.station_history(_history_input(spark, sf_dir)).select(*_HIST_COLS)
+
+
+@register(
+    "scd2_ranges",
+    O.with_lake(
+        """SELECT COUNT(DISTINCT (cnpj_revenda, versao)) AS versions, CAST(0 AS BIGINT) AS inverted, CAST(0 AS BIGINT) AS overlapping,
+                  COUNT(DISTINCT cnpj_revenda) AS open_versions FROM history""",
+        "history",
+    ),
+)
+def _scd2_ranges(spark, sf_dir):
+    """No version ends before it starts, none overlaps the next, one is open per station."""
+    h = H.station_history(_history_input(spark, sf_dir))
+    following = h.select("cnpj_revenda", (F.col("versao") - 1).alias("versao"), F.col("data_inicio").alias("next_start"))
+    return h.join(following, ["cnpj_revenda", "versao"], "left").agg(
+        F.count("*").alias("versions"),
+        F.count_if(F.col("data_fim") < F.col("data_inicio")).alias("inverted"),
+        F.count_if(F.coalesce("data_fim", F.lit("9999-12-31").cast("date")) >= F.col("next_start")).alias("overlapping"),
+        F.count_if("ativo").alias("open_versions"),
+    )
 
 
 @register(
     "fact_asof_posto",
     O.with_lake(
-        """SELECT d.data_id, p.produto_id, l.localidade_id, h.posto_id, s.valor_venda, s.valor_compra
-           FROM g s
-           JOIN dim_data d ON s.data_coleta = d.data
-           JOIN dim_produto p ON s.produto = p.produto AND s.unidade_medida = p.unidade_medida
-           JOIN dim_localidade l ON s.regiao_sigla = l.regiao_sigla AND s.estado_sigla = l.estado_sigla
-                                AND s.municipio = l.municipio
-           JOIN history h ON s.cnpj_revenda = h.cnpj_revenda
-                         AND s.data_coleta BETWEEN h.data_inicio AND COALESCE(h.data_fim, DATE '9999-12-31')""",
+        """SELECT data_id, produto_id, localidade_id, posto_id, valor_venda, valor_compra
+           FROM (SELECT r.*, h.posto_id, ROW_NUMBER() OVER (PARTITION BY r.rid ORDER BY h.data_inicio DESC) AS latest
+                 FROM (SELECT *, ROW_NUMBER() OVER () AS rid FROM gh) r
+                 JOIN history h ON h.cnpj_revenda = r.cnpj_revenda AND h.data_inicio <= r.data_coleta)
+           JOIN (SELECT data AS data_coleta, data_id FROM dim_data) USING (data_coleta)
+           JOIN dim_produto USING (produto, unidade_medida)
+           JOIN dim_localidade USING (regiao_sigla, estado_sigla, municipio)
+           WHERE latest = 1""",
         "history",
     ),
 )
 def _asof(spark, sf_dir):
-    lake = demo_lake(spark, sf_dir)
-    gd = lake.gold
-    fact = H.build_fact_asof(gold_input(lake.silver), gd.dim_data, gd.dim_produto, gd.dim_localidade,
-                             _history(spark, sf_dir))
+    gd = demo_lake(spark, sf_dir).gold
+    g = _history_input(spark, sf_dir)
+    fact = H.build_fact_asof(g, gd.dim_data, gd.dim_produto, gd.dim_localidade, H.station_history(g))
     return fact.select(*_FACT_COLS)
 
 
 @register(
     "load_report",
     O.with_lake(
-        """SELECT CAST(COUNT(*) AS BIGINT) AS silver_rows,
-                  CAST((SELECT COUNT(*) FROM fact) AS BIGINT) AS fact_rows,
-                  CAST(COUNT(*) - (SELECT COUNT(*) FROM fact) AS BIGINT) AS rejected_rows,
-                  CAST(COUNT(*) FILTER (WHERE data_coleta IS NULL) AS BIGINT) AS missing_data,
-                  CAST(COUNT(*) FILTER (WHERE produto IS NULL OR unidade_medida IS NULL) AS BIGINT) AS missing_produto,
-                  CAST(COUNT(*) FILTER (WHERE regiao_sigla IS NULL OR estado_sigla IS NULL OR municipio IS NULL)
-                       AS BIGINT) AS missing_localidade,
-                  CAST(COUNT(*) FILTER (WHERE cnpj_revenda IS NULL) AS BIGINT) AS missing_posto
-           FROM g"""
+        """SELECT n AS silver_rows, stored AS fact_rows, n - stored AS rejected_rows, CAST(0 AS BIGINT) AS unexplained_rows,
+                  no_day AS missing_data, no_product AS missing_produto, no_place AS missing_localidade, no_station AS missing_posto
+           FROM (SELECT COUNT(*) AS n, SUM(CAST(data_coleta IS NULL AS BIGINT))::BIGINT AS no_day,
+                        SUM(CAST(produto || unidade_medida IS NULL AS BIGINT))::BIGINT AS no_product,
+                        SUM(CAST(regiao_sigla || estado_sigla || municipio IS NULL AS BIGINT))::BIGINT AS no_place,
+                        SUM(CAST(cnpj_revenda IS NULL AS BIGINT))::BIGINT AS no_station FROM g),
+                (SELECT COUNT(*) AS stored FROM sales)"""
     ),
 )
 def _load_report(spark, sf_dir):
-    return C.load_report(gold_input(demo_lake(spark, sf_dir).silver))
+    lake = demo_lake(spark, sf_dir)
+    return C.load_report(gold_input(lake.silver), lake.gold.fact)
+
+
+def _repeats(table: str, columns: str) -> str:
+    return f"SELECT COUNT(*) - COUNT(DISTINCT ({columns})) AS violations FROM {table}"
+
+
+_KEYS = {
+    "dim_data": ("data_id", "data"),
+    "dim_produto": ("produto_id", "produto, unidade_medida"),
+    "dim_localidade": ("localidade_id", "regiao_sigla, estado_sigla, municipio"),
+    "dim_posto": ("posto_id", "cnpj_revenda, revenda, bandeira, nome_rua, numero_rua, complemento, bairro, cep"),
+}
+
+
+def _key_check_sql(tables: dict[str, str]) -> str:
+    """Violations counted in the oracle's own tables; ``tables`` maps a name to the relation to check."""
+    parts = []
+    for name, (key, natural) in _KEYS.items():
+        parts.append(("primary_key_unique", name, _repeats(tables[name], key)))
+        parts.append(("natural_key_unique", name, _repeats(tables[name], natural)))
+        parts.append(
+            ("foreign_key_exists", name, f"SELECT COUNT(*) AS violations FROM {tables['fact']} WHERE {key} NOT IN (SELECT {key} FROM {tables[name]})")
+        )
+    parts.append(("primary_key_unique", "fact_precos_combustivel", _repeats(tables["fact"], "fato_id")))
+    return " UNION ALL ".join(
+        f"SELECT '{check}' AS \"check\", '{table}' AS \"table\", CAST(violations AS BIGINT) AS violations FROM ({sql})"
+        for check, table, sql in parts
+    )
+
 
+_NUMBERED_FACT = "(SELECT *, ROW_NUMBER() OVER () AS fato_id FROM fact)"
 
-_KEY_CHECK_ROWS = [
-    ("primary_key_unique", "dim_data"), ("natural_key_unique", "dim_data"),
-    ("primary_key_unique", "dim_produto"), ("natural_key_unique", "dim_produto"),
-    ("primary_key_unique", "dim_localidade"), ("natural_key_unique", "dim_localidade"),
-    ("primary_key_unique", "dim_posto"), ("natural_key_unique", "dim_posto"),
-    ("foreign_key_exists", "dim_data"), ("foreign_key_exists", "dim_produto"),
-    ("foreign_key_exists", "dim_localidade"), ("foreign_key_exists", "dim_posto"),
-    ("primary_key_unique", "fact_precos_combustivel"),
-]
+
+@register("key_checks", O.with_lake(_key_check_sql({n: n for n in _KEYS} | {"fact": _NUMBERED_FACT})))
+def _key_checks(spark, sf_dir):
+    return C.key_checks(_gold(spark, sf_dir))
 
 
 @register(
-    "key_checks",
+    "key_checks_broken",
     O.with_lake(
-        "SELECT * FROM (VALUES "
-        + ", ".join(f"('{c}', '{t}', CAST(0 AS BIGINT))" for c, t in _KEY_CHECK_ROWS)
-        + ') AS t("check", "table", violations) WHERE (SELECT COUNT(*) FROM fact) >= 0'
+        _key_check_sql(
+            {
+                "dim_data": "(SELECT * FROM dim_data WHERE mes <> 2)",
+                "dim_produto": "(SELECT * FROM dim_produto UNION ALL SELECT * FROM dim_produto WHERE produto = 'GNV')",
+                "dim_localidade": "(SELECT localidade_id + 1000000 AS localidade_id, regiao_sigla, estado_sigla, municipio "
+                "FROM dim_localidade WHERE estado_sigla = 'SP' UNION ALL SELECT * FROM dim_localidade)",
+                "dim_posto": "(SELECT * FROM dim_posto WHERE posto_id % 3 <> 0)",
+                "fact": f"(SELECT * FROM {_NUMBERED_FACT} UNION ALL SELECT * FROM {_NUMBERED_FACT} WHERE fato_id <= 7)",
+            }
+        )
     ),
 )
-def _key_checks(spark, sf_dir):
-    return C.key_checks(_gold(spark, sf_dir))
+def _key_checks_broken(spark, sf_dir):
+    """G9 on a gold with lost days and stations, a doubled product, a doubled place name and seven doubled facts."""
+    gd = _gold(spark, sf_dir)
+    sp = gd.dim_localidade.where("estado_sigla = 'SP'").withColumn("localidade_id", F.col("localidade_id") + 1_000_000)
+    days = gd.dim_data.where("mes <> 2")
+    broken = dataclasses.replace(
+        gd,
+        dim_data=days,
+        dim_produto=gd.dim_produto.unionByName(gd.dim_produto.where("produto = 'GNV'")),
+        dim_localidade=gd.dim_localidade.unionByName(sp),
+        dim_posto=gd.dim_posto.where("posto_id % 3 <> 0"),
+        fact=gd.fact.unionByName(gd.fact.where("fato_id <= 7")),
+    )
+    return C.key_checks(broken)
 
 
 # ---------------------------------------------------------------- SQL API
@@ -836,14 +990,7 @@ def _key_checks(spark, sf_dir):
 from postolake.plans.sql_api import register_gold_views, register_sql_functions  # noqa: E402
 
 
-@register(
-    "sql_bi_02_price_by_state",
-    O.with_lake(
-        f"""SELECT l.estado_sigla, p.produto, {O.xmean('f.valor_venda')} AS preco_medio_venda,
-                   CAST(COUNT(*) AS BIGINT) AS total_coletas
-            FROM fact f {_JL} {_JP} GROUP BY l.estado_sigla, p.produto"""
-    ),
-)
+@register("sql_bi_02_price_by_state", O.with_lake(_B2_SQL))
 def _sql_b2(spark, sf_dir):
     """B2 written in Spark SQL against the gold views."""
     register_gold_views(spark, _gold(spark, sf_dir), prefix="pl_")
@@ -887,18 +1034,31 @@ def _sql_clean(spark, sf_dir):
 @register(
     "fact_chunks",
     O.with_lake(
-        """SELECT CAST((rn - 1) // 500000 AS BIGINT) AS chunk, CAST(MIN(rn) AS BIGINT) AS first_id,
-                  CAST(MAX(rn) AS BIGINT) AS last_id, CAST(COUNT(*) AS BIGINT) AS n
-           FROM (SELECT ROW_NUMBER() OVER () AS rn FROM fact) GROUP BY 1"""
+        """SELECT CAST(c AS BIGINT) AS chunk, CAST(c * 700 + 1 AS BIGINT) AS first_id,
+                  LEAST(CAST((c + 1) * 700 AS BIGINT), n) AS last_id, LEAST(CAST((c + 1) * 700 AS BIGINT), n) - CAST(c * 700 AS BIGINT) AS n
+           FROM (SELECT unnest(range(CAST(CEIL(n / 700.0) AS BIGINT))) AS c, n FROM (SELECT COUNT(*) AS n FROM fact))"""
     ),
 )
 def _fact_chunks(spark, sf_dir):
-    """K7/F8: the load's 500,000-id chunks, as a parameterised SQL report."""
+    """K7: the load's id chunks as a parameterised SQL report (700 ids a chunk, so there are many)."""
     fact = _gold(spark, sf_dir).fact
     return spark.sql(
         """SELECT CAST((fato_id - 1) DIV :chunk AS BIGINT) AS chunk, min(fato_id) AS first_id,
                   max(fato_id) AS last_id, count(*) AS n
            FROM {fact} GROUP BY 1""",
-        args={"chunk": 500000},
+        args={"chunk": 700},
         fact=fact,
     )
+
+
+@register(
+    "fact_id_range",
+    O.with_lake("SELECT CAST(701 + k AS BIGINT) AS fato_id FROM (SELECT unnest(range(700)) AS k) WHERE 701 + k <= (SELECT COUNT(*) FROM fact)"),
+)
+def _fact_range(spark, sf_dir):
+    """F8: one chunk of the load, selected by a BETWEEN with bound ids."""
+    return spark.sql(
+        "SELECT fato_id FROM {fact} WHERE fato_id BETWEEN :first AND :last",
+        args={"first": 701, "last": 1400},
+        fact=_gold(spark, sf_dir).fact,
+    )

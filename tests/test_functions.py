@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from postolake.functions import (
@@ -13,7 +14,7 @@ from postolake.functions import (
     strip_nul,
     trim_spaces,
 )
-from postolake.functions.unicode_fix import fix_unicode, fix_unicode_native, repair_text
+from postolake.functions.unicode_fix import fix_unicode, fix_unicode_native, repair_batch
 
 
 def one(spark, value, fn):
@@ -81,8 +82,8 @@ def test_exact_mean_and_percent(spark):
 
 def test_fix_unicode(spark):
     broken = "SÃ£o Paulo"
-    assert repair_text(broken) == "São Paulo"
-    assert repair_text("ﬁ") == "fi"  # NFKC
+    assert repair_batch(pd.Series([broken, None, "", "Ã", "Ã漢"], index=[9, 3, 5, 7, 1])).tolist() == ["São Paulo", None, "", "Ã", "Ã漢"]
+    assert repair_batch(pd.Series(["ﬁ"])).tolist() == ["fi"]  # NFKC
     assert one(spark, broken, fix_unicode) == "São Paulo"
     assert one(spark, broken, fix_unicode_native) == "São Paulo"
     assert one(spark, "São Paulo", fix_unicode_native) == "São Paulo"

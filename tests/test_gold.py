@@ -37,7 +37,9 @@ def test_dimensions_ids_and_fact(spark):
     fact = gold.fact.collect()
     assert len(fact) == 3 and sorted(r["fato_id"] for r in fact) == [1, 2, 3]
     assert {r["posto_id"] for r in fact} == {1}
-    rep = load_report(gold_input(silver)).first()
+    rep = load_report(gold_input(silver), gold.fact).first()
+    lost = load_report(gold_input(silver), gold.fact.where("fato_id > 1")).first()
+    assert (rep["unexplained_rows"], lost["fact_rows"], lost["unexplained_rows"]) == (0, 2, 1)
     assert (rep["silver_rows"], rep["fact_rows"], rep["missing_data"], rep["missing_localidade"]) == (5, 3, 1, 1)
     assert all(r["violations"] == 0 for r in key_checks(gold).collect())
 
@@ -61,6 +63,22 @@ def test_scd2_a_b_a(spark):
     assert by_day == {dt.date(2020, 1, 1): 1, dt.date(2020, 1, 5): 1, dt.date(2020, 1, 10): 2, dt.date(2020, 1, 20): 3}
 
 
+def test_scd2_two_brands_on_one_day(spark):
+    rows = [
+        station("01/01/2020", "A"), station("02/01/2020", "B"), station("02/01/2020", "A"),
+        station("03/01/2020", "B"), station("03/01/2020", None),
+    ]
+    silver, gold = lake(spark, rows)
+    g = gold_input(silver)
+    hist = station_history(g).orderBy("versao").collect()
+    assert [(h["bandeira"], h["data_inicio"], h["data_fim"]) for h in hist] == [
+        ("A", dt.date(2020, 1, 1), dt.date(2020, 1, 2)),
+        (None, dt.date(2020, 1, 3), None),
+    ]
+    asof = build_fact_asof(g, gold.dim_data, gold.dim_produto, gold.dim_localidade, station_history(g))
+    assert asof.count() == 5
+
+
 def test_brand_groups_and_ties(spark):
     rows = [
         station("01/01/2020", None, cnpj_revenda="1"),

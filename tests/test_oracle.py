@@ -45,12 +45,15 @@ def _rows(pdf):
     return cols, sorted(rows, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+from postolake.plans.registry import QUERIES  # noqa: E402
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     result = E.queries()[name](spark, SF).toPandas()
     sql = E.oracle_sql().get(name)
     if sql is None:
-        assert len(result) >= 0
+        assert name == "bi_07_price_sample" and 0 < len(result) <= 5000  # random rows; see bi_07_sample_check
         return
     expected = duck.execute(sql).df()
     assert _rows(result) == _rows(expected)
