@@ -5,15 +5,12 @@ norm, which turns the largest inner product into the smallest distance. Rows
 are dealt into shards. A shard projects its vectors on ``PROJECTIONS`` random
 lines and sorts each projection; every sorted array is cut into 256 base
 buckets of equal size. A query opens a window centred on its own projection in
-every array; as long as fewer than k + ``VERIFIED`` * shard vectors (``LEAST`` at least)
-collide with it in at least ``COLLISIONS`` of the arrays, the windows widen by
-``WIDEN`` (virtual rehashing: neighbouring base buckets merge). All vectors
-above the threshold are then scored exactly in double precision, and the best k
-of all shards are kept.
-
-With the default parameters recall of the 20 nearest was 0.96 or more on the
-given tables (see tests/llm/test_ann.py for the measurement against brute
-force).
+every array; as long as fewer than k + ``VERIFIED`` * shard vectors (``LEAST``
+at least) collide with it in at least ``COLLISIONS`` of the arrays, the windows
+widen by ``WIDEN`` (virtual rehashing: neighbouring base buckets merge). All
+vectors above the threshold are then scored exactly in double precision, and
+the best k of all shards are kept. tests/llm/test_ann.py measures recall against
+brute force.
 
 Vectors that are null, all zero, or hold a null, NaN or infinite component take
 no part, nor do rows without id. Rows with equal id are one vector (the largest
@@ -137,7 +134,7 @@ def _nearest_in(ids, vectors, query_ids, queries, top, k, p):
 
 def _search(batches, top: float, k: int, p: dict):
     keys = ["shard", "block"]
-    for table in group_runs(batches, keys, rows=1):
+    for table in group_runs(batches, keys, rows=1 << 14):
         bounds = group_offsets(table, keys)
         for lo, hi in zip(bounds[:-1], bounds[1:]):
             part = table.slice(lo, hi - lo)
@@ -195,7 +192,7 @@ def nearest(
     options = {"projections": projections, "collisions": collisions, "verified": verified, "widen": widen, "seed": seed}
     top = size["top"] or 0.0
     local = (
-        dealt.repartition(shards * blocks, "shard", "block")
+        dealt.repartition(4 * shards * blocks, "shard", "block")
         .sortWithinPartitions("shard", "block", "is_query", "id")
         .mapInArrow(lambda it: _search(it, top, k, options), "query_id long, vec_id long, score double")
     )
