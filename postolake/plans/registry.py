@@ -9,6 +9,7 @@ thresholds) are fixed here to values that exercise them on the demo data.
 from __future__ import annotations
 
 import dataclasses
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -652,9 +653,11 @@ def _fn_fix_unicode(spark, sf_dir):
 # ----------------------------------------------------- sources and sinks
 
 from postolake.operators.silver import build_silver  # noqa: E402
-from postolake.plans.files import demo_files, streamed_silver_path  # noqa: E402
+from postolake.plans.files import demo_files, streamed_silver_path, write_edge_files, zip_frame  # noqa: E402
+from postolake.session import shared_work_dir  # noqa: E402
 from postolake.sources import manifest as M  # noqa: E402
-from postolake.sources.bronze_csv import detect_encodings, read_bronze  # noqa: E402
+from postolake.sources.archives import archive_members_to_bronze, expand_content, rejected_archives  # noqa: E402
+from postolake.sources.bronze_csv import bronze_rejects, detect_encodings, read_bronze  # noqa: E402
 
 _HEADERS_SQL = ", ".join(O.q(h) for h, _ in BRONZE_HEADER_MAP)
 _SILVER_VALUES = [c for c in SILVER_COLUMNS if c not in ("row_hash", "filename")]
@@ -672,6 +675,61 @@ def _silver_csv(spark, sf_dir):
     return build_silver(read_bronze(spark, root)).select(*_SILVER_VALUES)
 
 
+_STREET = 'length(COALESCE("Nome da Rua", \'\'))'
+_GIVEN = ", ".join(
+    f"CASE WHEN {_STREET} % 4 <> 3 THEN {O.q(h)} END AS {O.q(h)}" if h in ("Bandeira", "Complemento") else O.q(h)
+    for h, _ in BRONZE_HEADER_MAP
+)
+
+
+def _fresh_dir(spark, name):
+    return shared_work_dir(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@register("bronze_edge_files", O.with_lake(f"SELECT {_GIVEN} FROM bronze", "bronze"))
+def _edge_files(spark, sf_dir):
+    """S1-S7 on names with spaces, brackets and percent signs, blank lines first, reordered and missing headers."""
+    root = write_edge_files(demo_lake(spark, sf_dir).bronze, _fresh_dir(spark, "edge"), [0, 1, 2, 3])
+    # a written row without any value is a line of separators, read back as a row of NULLs
+    return read_bronze(spark, root, glob="*.txt").select(*[F.col(f"`{h}`") for h, _ in BRONZE_HEADER_MAP])
+
+
+@register(
+    "rejected_files",
+    O.with_lake(
+        f"""SELECT 'no expected column in the header' AS reason, COUNT(*) AS lines FROM bronze
+            WHERE {_STREET} % 2 = 1 AND regexp_matches(concat_ws(';', {_HEADERS_SQL}), '[^; \\t"]')""",
+        "bronze",
+    ),
+)
+def _rejected(spark, sf_dir):
+    """A file without a header is refused with its number of lines; its neighbour is read."""
+    root = write_edge_files(demo_lake(spark, sf_dir).bronze, _fresh_dir(spark, "edge"), [0, 4])
+    return bronze_rejects(spark, root, glob="*.txt").select("reason", "lines")
+
+
+@register(
+    "zip_expand",
+    O.with_lake(
+        f"""SELECT 'row' AS kind, {_HEADERS_SQL} FROM bronze WHERE {_STREET} % 12 <> 3
+            UNION ALL SELECT 'damaged z3.zip', {", ".join("NULL" for _ in BRONZE_HEADER_MAP)}
+            WHERE EXISTS (SELECT 1 FROM bronze WHERE {_STREET} % 12 = 3)""",
+        "bronze",
+    ),
+)
+def _zip_expand(spark, sf_dir):
+    """Two members of different charset and column order in each archive; a damaged archive gives no row."""
+    path = _fresh_dir(spark, "zips")
+    expand_content(zip_frame(demo_lake(spark, sf_dir).bronze)).write.parquet(path)
+    expanded = spark.read.parquet(path)
+    names = [h for h, _ in BRONZE_HEADER_MAP]
+    rows = archive_members_to_bronze(expanded).select(F.lit("row").alias("kind"), *[F.col(f"`{h}`") for h in names])
+    bad = rejected_archives(expanded).select(
+        F.concat(F.lit("damaged "), "archive").alias("kind"), *[F.lit(None).cast("string").alias(h) for h in names]
+    )
+    return rows.unionByName(bad)
+
+
 _NON_ASCII_ANY = " OR ".join(f"regexp_matches({O.q(h)}, '[^\\x00-\\x7F]')" for h, _ in BRONZE_HEADER_MAP)
 
 

@@ -78,6 +78,11 @@ def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame(buf, columns=_COLUMNS)
 
 
+def expand_content(zips: DataFrame) -> DataFrame:
+    """(path, content) of archives -> (archive, member, line_no, line, error)."""
+    return zips.select("path", "content").mapInPandas(_expand, LINES_SCHEMA)
+
+
 def expand_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
     """(archive, member, line_no, line, error): every line of sound archives, one error row of others."""
     zips = (
@@ -85,9 +90,8 @@ def expand_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> Data
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
         .load(root)
-        .select(decoded_path("path").alias("path"), "content")
     )
-    return zips.mapInPandas(_expand, LINES_SCHEMA)
+    return expand_content(zips.select(decoded_path("path").alias("path"), "content"))
 
 
 def rejected_archives(expanded: DataFrame) -> DataFrame:
