@@ -4,6 +4,10 @@ Stages timed (seconds):
   bronze      demo bronze frame from the driver tables, stored (stand-in for raw files)
   quality     7-expectation suite over all bronze rows (one pass)
   silver      clean + exact dedup + write Parquet partitioned by year
+  csv_ingest  the same rows as raw CSV files of two charsets: detection, header, parse
+  zip_expand  the same rows in 64 zip archives: verified, expanded, parsed by header name
+  stream_silver  the CSV tree through Structured Streaming into a fresh silver table
+  scd2        station history from silver
   gold        read silver, 4 dimensions with distributed ids, fact via broadcast joins, write
   dash_*/bi_* every dashboard panel and analytic question over the stored gold tables
 
@@ -40,7 +44,18 @@ def main() -> None:
     from postolake.operators.silver import build_silver
     from postolake.plans.lake import read_gold, read_silver, write_gold, write_silver
     from postolake.plans.registry import D1_RANGE, D6_RANGE, PRODUCTS
+    from postolake.operators.gold import gold_input
+    from postolake.operators.scd2 import station_history
+    from postolake.plans.files import zip_frame
+    from postolake.sources.archives import archive_members_to_bronze, expand_content
+    from postolake.sources.bronze_csv import read_bronze, write_bronze_csv
+    from postolake.sources.csv_format import LATIN1, UTF8
     from postolake.sources.demo import demo_bronze
+    from postolake.session import ship_package
+    from postolake.streaming.incremental import run_incremental
+    from pyspark.sql import functions as F
+
+    ship_package(spark)
 
     root = shared_work_dir(spark, f"bench-{uuid.uuid4().hex[:10]}")
     times: dict[str, float] = {}
@@ -62,6 +77,18 @@ def main() -> None:
     timed("gold", gold_stage)
     gold = read_gold(spark, f"{root}/gold")
 
+    # The raw-file paths: charset pass and parse of CSV text, zip members, stream, station history.
+    csv_root, zips = f"{root}/csv", f"{root}/zips"
+    old = F.col("filename").like("ca-199%")
+    write_bronze_csv(bronze, csv_root, encoding_by_file=F.when(old, LATIN1).otherwise(UTF8))
+    zip_frame(bronze, 64).write.parquet(zips)
+    noop = lambda df: df.write.format("noop").mode("overwrite").save()
+    timed("csv_ingest", lambda: noop(read_bronze(spark, csv_root)))
+    timed("zip_expand", lambda: noop(archive_members_to_bronze(expand_content(spark.read.parquet(zips)))))
+    timed("stream_silver", lambda: run_incremental(spark, csv_root, f"{root}/stream", f"{root}/stream_ck"))
+    silver = read_silver(spark, f"{root}/silver/combustiveis")
+    timed("scd2", lambda: noop(station_history(gold_input(silver))))
+
     panels = {
         "dash_01_monthly_price": lambda: A.dash_monthly_price(gold, *D1_RANGE),
         "dash_02_price_by_product": lambda: A.dash_price_by_product(gold),

@@ -7,10 +7,12 @@ and a shared checkpoint directory read from ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import zipfile
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 # Settings every job in this package relies on. Shuffle partitions are left to
@@ -76,10 +78,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_WORK = "postolake-tables"
+_registered: set[str] = set()
+
+
 def shared_work_dir(spark: SparkSession, name: str) -> str:
-    """A folder for written intermediate tables, inside the checkpoint root."""
+    """A folder for written intermediate tables, inside the checkpoint root.
+
+    The folders of an application are removed when its Python process ends
+    normally, or by ``remove_work_dirs``.
+    """
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/postolake-tables/{name}"
+    if root not in _registered:
+        _registered.add(root)
+        atexit.register(remove_work_dirs, spark)
+    return f"{root}/{_WORK}/{name}"
+
+
+def remove_work_dirs(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; frames that read them are no longer usable."""
+    sc = spark.sparkContext
+    if sc._jsc is None or sc.getCheckpointDir() is None:
+        return  # stopped, or nothing was written
+    try:
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{sc.getCheckpointDir()}/{_WORK}")
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    except Py4JError:
+        pass  # the JVM is gone, and with it the means to delete
 
 
 def scale_conf(input_bytes: int, executor_cores: int, executors: int, task_bytes: int = 512 << 20) -> dict[str, str]:
