@@ -35,51 +35,41 @@ def layout(offsets: np.ndarray) -> Layout:
 
 
 def forward(emission: np.ndarray, lay: Layout, start: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(normalised alpha, normaliser) of every time-major place."""
+    """(alpha with sum 1, normaliser) of every time-major place; the normalisers multiply to the likelihood."""
     alpha = np.empty_like(emission)
-    norm = np.empty(len(emission), dtype=np.float64)
+    norm = np.empty(len(emission), dtype=emission.dtype)
+    ones = np.ones(emission.shape[1], dtype=emission.dtype)
     before = None
     for t in range(len(lay.begin) - 1):
         lo, hi = lay.begin[t], lay.begin[t + 1]
-        a = alpha[lo:hi]
+        a, total = alpha[lo:hi], norm[lo:hi]
         if before is None:
             np.multiply(emission[lo:hi], start, out=a)
         else:
             np.matmul(before[: hi - lo], move, out=a)
             a *= emission[lo:hi]
-        total = a.sum(axis=1)
-        norm[lo:hi] = total
-        a /= total[:, None]
+        np.matmul(a, ones, out=total)
+        a *= (1 / total)[:, None]
         before = a
     return alpha, norm
 
 
-def backward(emission: np.ndarray, lay: Layout, move: np.ndarray) -> np.ndarray:
-    """Backward values scaled to sum 1 at every time-major place."""
-    beta = np.full_like(emission, 1.0 / emission.shape[1])
+def backward(
+    emission: np.ndarray, alpha: np.ndarray, norm: np.ndarray, lay: Layout, move: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(posterior of every time-major place, expected number of moves between states).
+
+    Backward values are scaled by the forward normalisers, so alpha * beta sums
+    to 1 at every place and neighbouring places need no normaliser of their own.
+    """
+    beta = np.ones_like(emission)
+    weight = emission * (1 / norm)[:, None]
     back = np.ascontiguousarray(move.T)
+    moves = np.zeros(move.shape, dtype=np.float64)
     for t in range(len(lay.begin) - 2, 0, -1):
         lo, hi = lay.begin[t], lay.begin[t + 1]
-        b = beta[lay.begin[t - 1] : lay.begin[t - 1] + hi - lo]
-        np.matmul(beta[lo:hi] * emission[lo:hi], back, out=b)
-        b /= b.sum(axis=1, keepdims=True)
-    return beta
-
-
-def posteriors(alpha: np.ndarray, beta: np.ndarray) -> np.ndarray:
-    gamma = alpha * beta
-    gamma /= gamma.sum(axis=1, keepdims=True)
-    return gamma
-
-
-def transition_counts(alpha: np.ndarray, beta: np.ndarray, emission: np.ndarray, lay: Layout, move: np.ndarray) -> np.ndarray:
-    """Expected number of moves between states, over all neighbouring places."""
-    if len(lay.begin) < 3:
-        return np.zeros(move.shape)
-    live = np.diff(lay.begin)
-    now = np.arange(lay.begin[1], lay.begin[-1])
-    step = np.repeat(np.arange(1, len(live)), live[1:])
-    x = alpha[now - lay.begin[step] + lay.begin[step - 1]]
-    y = emission[now] * beta[now]
-    y /= ((x @ move) * y).sum(axis=1, keepdims=True)
-    return move * (x.T @ y).astype(np.float64)
+        earlier = slice(lay.begin[t - 1], lay.begin[t - 1] + hi - lo)
+        y = beta[lo:hi] * weight[lo:hi]
+        np.matmul(y, back, out=beta[earlier])
+        moves += alpha[earlier].T @ y
+    return alpha * beta, moves * move

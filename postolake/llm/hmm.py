@@ -197,10 +197,9 @@ def _expected(batches, model):
         lay = chains.layout(offsets)
         order = codes[lay.order]
         scale = emit[order]
-        alpha, _ = chains.forward(scale, lay, start, move)
-        beta = chains.backward(scale, lay, move)
-        moves += chains.transition_counts(alpha, beta, scale, lay, move)
-        gamma = chains.posteriors(alpha, beta)
+        alpha, norm = chains.forward(scale, lay, start, move)
+        gamma, between = chains.backward(scale, alpha, norm, lay, move)
+        moves += between
         first += gamma[: lay.begin[1]].sum(axis=0, dtype=np.float64)
         for k in range(K):
             seen[:, k] += np.bincount(order, gamma[:, k], minlength=len(emit))

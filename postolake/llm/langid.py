@@ -124,13 +124,12 @@ def _marginals(emission: np.ndarray, offsets: np.ndarray, start: np.ndarray, cha
     lay = chains.layout(offsets)
     scale = np.exp(emission - emission.max(axis=1, keepdims=True))[lay.order]
     move = np.exp(change)
-    alpha, _ = chains.forward(scale, lay, np.exp(start), move)
-    beta = chains.backward(scale, lay, move)
-    gamma = chains.posteriors(alpha, beta)
+    alpha, norm = chains.forward(scale, lay, np.exp(start), move)
+    gamma, moves = chains.backward(scale, alpha, norm, lay, move)
     if not pairs:
         return gamma[lay.place]
     firsts = gamma[: lay.begin[1]].sum(axis=0) if len(lay.begin) > 1 else start * 0
-    return gamma[lay.place], chains.transition_counts(alpha, beta, scale, lay, move), firsts
+    return gamma[lay.place], moves, firsts
 
 
 def _lexicon_counts(batches, langs: list[str]):
@@ -341,6 +340,7 @@ def with_language(docs: DataFrame, least: float = 0.3, id_col: str = "doc_id", t
     model = train(labelled.where("lang is not null and text is not null"))
     if not model.langs:
         return docs
-    judged = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
-    kept = predict(judged, model).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
-    return kept.select("row.*")
+    names = {c: f"c{k}" for k, c in enumerate(docs.columns)}  # other columns may be called like predictions
+    judged = predict(docs.toDF(*names.values()), model, names[text_col], keep_text=True)
+    kept = judged.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
+    return kept.select(*(F.col(short).alias(c) for c, short in names.items()))
