@@ -19,6 +19,9 @@ from postolake.llm.ngram_join import one_of_each_class
 from postolake.llm.scratch import written
 from postolake.session import ship_package
 
+# a character that is neither ASCII punctuation, space nor control
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a recognisable language."""
@@ -27,9 +30,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Remove lines that nearly repeat an earlier line; every document stays, ``n_chars`` follows the text."""
+    """Remove lines that nearly repeat an earlier line; ``n_chars`` follows the text.
+
+    A document that loses lines and has no word left goes with them.
+    """
     ship_package(spark)
     deduped = dedup_lines(docs)
+    deduped = deduped.where((F.size("removed") == 0) | F.col("text").rlike(_WORD))
     kept = [F.length("text").cast("long").alias("n_chars") if c == "n_chars" else c for c in docs.columns]
     return deduped.select(*kept)
 
