@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 from .scratch import id_bitmap, in_bitmap, written
-from .setjoin import _ratio, components, group_runs, merge_labels, verify_components, with_blocks
+from .setjoin import Links, _ratio, components, group_runs, verify_components, with_blocks
 
 RARITY_BITS = 20
 FILTER_BITS = 24
@@ -181,7 +181,8 @@ def _candidates(batches, num: int, den: int):
         rest = size - pos  # tokens from the shared one on
         mixed, second = (place & 2) > 0, place & 1
         n = len(ids)
-        found_a, found_b = [], []
+        names, local = np.unique(ids, return_inverse=True)
+        links = Links(len(names))
         a = np.arange(n - 1)
         d = 0
         while len(a):
@@ -197,14 +198,8 @@ def _candidates(batches, num: int, den: int):
             if len(x):
                 differ = np.bitwise_count(p0[x] ^ p0[y]).astype(np.int64) + np.bitwise_count(p1[x] ^ p1[y])
                 close = differ <= total[ok] - 2 * need[ok]
-                found_a.append(x[close])
-                found_b.append(y[close])
-        x = np.concatenate(found_a) if found_a else np.zeros(0, dtype=np.int64)
-        if not len(x):
-            continue
-        y = np.concatenate(found_b)
-        names, local = np.unique(ids, return_inverse=True)
-        root = merge_labels(len(names), local[x], local[y])
+                links.add(local[x[close]], local[y[close]])
+        root = links.roots()
         moved = np.flatnonzero(root != np.arange(len(root)))
         yield pa.RecordBatch.from_arrays([pa.array(names[moved]), pa.array(names[root[moved]])], names=["src", "dst"])
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 from .scratch import id_bitmap, in_bitmap, written
-from .setjoin import components, group_offsets, group_runs, merge_labels, verify_components, with_blocks
+from .setjoin import Links, components, group_offsets, group_runs, verify_components, with_blocks
 
 SHINGLE = 5
 BANDS, ROWS = 20, 3
@@ -149,7 +149,7 @@ def _prune(batches, threshold: float, tolerance: float):
         ids = table.column("id").to_numpy()
         side, i, j = (table.column(c).to_numpy() for c in ("side", "i", "j"))
         sizes = np.diff(bounds)
-        found_a, found_b = [], []
+        links = Links(table.num_rows)
         # all buckets of up to 64 members at once, by distance inside the bucket
         group = np.repeat(np.arange(len(sizes)), sizes)
         small = ((sizes <= 64) & (i == j)[bounds[:-1]])[group]
@@ -158,9 +158,7 @@ def _prune(batches, threshold: float, tolerance: float):
             if not len(a):
                 break
             for s in range(0, len(a), 1 << 16):
-                x, y = _survivors(sig, sig, a[s : s + (1 << 16)], a[s : s + (1 << 16)] + d, least)
-                found_a.append(x)
-                found_b.append(y)
+                links.add(*_survivors(sig, sig, a[s : s + (1 << 16)], a[s : s + (1 << 16)] + d, least))
         for g in np.flatnonzero((sizes > 64) | (i != j)[bounds[:-1]]):
             lo, hi = bounds[g], bounds[g + 1]
             left = np.flatnonzero(side[lo:hi] == i[lo]) + lo
@@ -171,13 +169,8 @@ def _prune(batches, threshold: float, tolerance: float):
                 if i[lo] == j[lo]:
                     ahead = x < y
                     x, y = x[ahead], y[ahead]
-                x, y = _survivors(sig, sig, x, y, least)
-                found_a.append(x)
-                found_b.append(y)
-        if not found_a:
-            continue
-        a, b = np.concatenate(found_a), np.concatenate(found_b)
-        root = merge_labels(table.num_rows, a, b)
+                links.add(*_survivors(sig, sig, x, y, least))
+        root = links.roots()
         moved = np.flatnonzero(root != np.arange(len(root)))
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids[moved]), pa.array(ids[root[moved]])], names=["src", "dst"]

@@ -158,6 +158,31 @@ def merge_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
+class Links:
+    """Row pairs collapsed to a spanning forest as they come, so memory follows the rows, not the pairs."""
+
+    LIMIT = 1 << 18
+
+    def __init__(self, rows: int):
+        self.rows = rows
+        self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        self.pairs.append((a, b))
+        self.waiting += len(a)
+        if self.waiting > self.LIMIT:
+            root = self.roots()
+            moved = np.flatnonzero(root != np.arange(self.rows))
+            self.pairs, self.waiting = [(moved, root[moved])], 0
+
+    def roots(self) -> np.ndarray:
+        """Smallest row each row is connected to."""
+        if not self.pairs:
+            return np.arange(self.rows)
+        return merge_labels(self.rows, *(np.concatenate(x) for x in zip(*self.pairs)))
+
+
 def _ratio(threshold: float) -> tuple[int, int]:
     f = Fraction(str(threshold))
     return f.numerator, f.denominator
@@ -183,8 +208,8 @@ def _pairs_of_small(group: np.ndarray, offsets: np.ndarray, values: np.ndarray)
     return key // n, key % n, shared
 
 
-def _links_of_large(offsets, values, left, right, num, den) -> tuple[np.ndarray, np.ndarray]:
-    """Linked (left row, right row) pairs of two row sets by a blocked product of incidence matrices."""
+def _links_of_large(offsets, values, left, right, num, den) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Linked (left row, right row) pairs of two row sets by a blocked product of incidence matrices, in parts."""
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     vocabulary, column = np.unique(values, return_inverse=True)
     frequent = np.bincount(column, minlength=len(vocabulary)) > 1
@@ -197,8 +222,7 @@ def _links_of_large(offsets, values, left, right, num, den) -> tuple[np.ndarray,
     place_r[right] = np.arange(len(right))
     order = np.argsort(column, kind="stable")
     column, owner = column[order], owner[order]
-    out_a, out_b = [], []
-    step = 512
+    step = 128
     shared = np.zeros((len(left), len(right)), dtype=np.float32)
     for c in range(0, width, 4096):
         lo, hi = np.searchsorted(column, [c, c + 4096])
@@ -214,9 +238,7 @@ def _links_of_large(offsets, values, left, right, num, den) -> tuple[np.ndarray,
         s = shared[r : r + step].astype(np.int64)
         total = sizes[left[r : r + step]][:, None] + sizes[right][None, :]
         a, b = np.nonzero((den * s >= num * (total - s)) & (s > 0))
-        out_a.append(left[r + a])
-        out_b.append(right[b])
-    return np.concatenate(out_a), np.concatenate(out_b)
+        yield left[r + a], right[b]
 
 
 def _verify(batches, threshold: float):
@@ -245,7 +267,15 @@ def _verify(batches, threshold: float):
         sizes = np.diff(bounds)
         small = (sizes <= SMALL_GROUP)[group] & (i == j)
         pick = np.flatnonzero(small)
-        links_a, links_b = [], []
+        links = Links(n)
+        degree = np.zeros(n, dtype=np.int64)
+        earlier = np.zeros(n, dtype=bool)
+
+        def found(a, b):
+            degree[:] += np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
+            earlier[b] = True
+            links.add(a, b)
+
         if len(pick):
             own = np.diff(offsets)[pick]
             starts = np.concatenate([[0], np.cumsum(own)])
@@ -253,30 +283,20 @@ def _verify(batches, threshold: float):
             a, b, s = _pairs_of_small(group[pick], starts, values[take])
             total = own[a] + own[b]
             ok = den * s >= num * (total - s)
-            links_a.append(pick[a[ok]])
-            links_b.append(pick[b[ok]])
+            found(pick[a[ok]], pick[b[ok]])
         for g in np.flatnonzero((sizes > SMALL_GROUP) | (i != j)[bounds[:-1]]):
             lo, hi = bounds[g], bounds[g + 1]
             sub = offsets[lo : hi + 1] - offsets[lo]
             val = values[offsets[lo] : offsets[hi]]
-            if i[lo] == j[lo]:
-                rows = np.arange(hi - lo)
-                a, b = _links_of_large(sub, val, rows, rows, num, den)
-                keep = a < b
-                a, b = a[keep], b[keep]
-            else:
-                left = np.flatnonzero(side[lo:hi] == i[lo])
-                right = np.flatnonzero(side[lo:hi] == j[lo])
-                a, b = _links_of_large(sub, val, left, right, num, den)
-                a, b = np.minimum(a, b), np.maximum(a, b)
-            links_a.append(lo + a)
-            links_b.append(lo + b)
-        a = np.concatenate(links_a) if links_a else np.zeros(0, dtype=np.int64)
-        b = np.concatenate(links_b) if links_b else np.zeros(0, dtype=np.int64)
-        degree = np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
-        earlier = np.zeros(n, dtype=bool)
-        earlier[b] = True
-        root = merge_labels(n, a, b)
+            alone = i[lo] == j[lo]
+            left = np.arange(hi - lo) if alone else np.flatnonzero(side[lo:hi] == i[lo])
+            right = left if alone else np.flatnonzero(side[lo:hi] == j[lo])
+            for a, b in _links_of_large(sub, val, left, right, num, den):
+                if alone:
+                    ahead = a < b
+                    a, b = a[ahead], b[ahead]
+                found(lo + np.minimum(a, b), lo + np.maximum(a, b))
+        root = links.roots()
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids), pa.array(degree), pa.array(earlier), pa.array(ids[root])],
             names=["id", "n_links", "earlier", "root"],
