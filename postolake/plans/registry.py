@@ -1022,23 +1022,26 @@ def _key_checks(spark, sf_dir):
                 "dim_localidade": "(SELECT localidade_id + 1000000 AS localidade_id, regiao_sigla, estado_sigla, municipio "
                 "FROM dim_localidade WHERE estado_sigla = 'SP' UNION ALL SELECT * FROM dim_localidade)",
                 "dim_posto": "(SELECT * FROM dim_posto WHERE posto_id % 3 <> 0)",
-                "fact": f"(SELECT * FROM {_NUMBERED_FACT} UNION ALL SELECT * FROM {_NUMBERED_FACT} WHERE fato_id <= 7)",
+                "fact": "(SELECT *, ROW_NUMBER() OVER () AS fato_id FROM fact UNION ALL "
+                "SELECT *, -1 FROM fact WHERE data_id <= 5 UNION ALL SELECT *, -1 FROM fact WHERE data_id <= 5)",
             }
         )
     ),
 )
 def _key_checks_broken(spark, sf_dir):
-    """G9 on a gold with lost days and stations, a doubled product, a doubled place name and seven doubled facts."""
+    """G9 on a gold with lost days and stations, a doubled product, a doubled place name and
+    the facts of the first five days twice more under one id."""
     gd = _gold(spark, sf_dir)
     sp = gd.dim_localidade.where("estado_sigla = 'SP'").withColumn("localidade_id", F.col("localidade_id") + 1_000_000)
     days = gd.dim_data.where("mes <> 2")
+    again = gd.fact.where("data_id <= 5").withColumn("fato_id", F.lit(-1).cast("long"))
     broken = dataclasses.replace(
         gd,
         dim_data=days,
         dim_produto=gd.dim_produto.unionByName(gd.dim_produto.where("produto = 'GNV'")),
         dim_localidade=gd.dim_localidade.unionByName(sp),
         dim_posto=gd.dim_posto.where("posto_id % 3 <> 0"),
-        fact=gd.fact.unionByName(gd.fact.where("fato_id <= 7")),
+        fact=gd.fact.unionByName(again).unionByName(again),
     )
     return C.key_checks(broken)
 
