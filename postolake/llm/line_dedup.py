@@ -57,12 +57,19 @@ def _line_tokens(column):
 
 
 def _rarity(batches, bits: int):
-    counts = np.zeros(1 << bits, dtype=np.uint64)
+    counts = np.zeros(1 << bits, dtype=np.int64)
+    held, size = [], 0
     for batch in tv.text_chunks(batches, "text"):
         offsets, data = tv.utf8(batch.column("text"))
         tokens = tv.tokenize(offsets, tv.FOLD[data], tv.ALNUM)
-        at, n = np.unique(tokens.hashes & np.uint64((1 << bits) - 1), return_counts=True)
-        counts[at.astype(np.int64)] += n.astype(np.uint64)
+        held.append((tokens.hashes & np.uint64((1 << bits) - 1)).astype(np.int32))
+        size += len(held[-1])
+        if size > 1 << bits:
+            counts += np.bincount(np.concatenate(held), minlength=1 << bits)
+            held, size = [], 0
+    if held:
+        counts += np.bincount(np.concatenate(held), minlength=1 << bits)
+    counts = counts.astype(np.uint64)
     yield _count_blocks(np.arange(_BLOCKS), np.minimum(counts, _MOST).astype(np.uint32).reshape(_BLOCKS, -1))
 
 
@@ -144,10 +151,18 @@ def _lines(batches, rarity, num: int, den: int):
         index = np.repeat(at[:-1] - prefix_at[:-1], take) + np.arange(prefix_at[-1])
         prefix = tv.ranked(at, values, rank, 20)[index]
         count = table[(prefix & np.uint64(len(table) - 1)).astype(np.int64)]
-        code = ((prefix >> np.uint64(24)) & np.uint64(0xFFFFFFFF)).astype(np.int64) * 2 + (count > POSTINGS)
-        code[count <= 1] = -1  # no other line has this token
+        # tokens of crowded buckets go to a column of their own, empty for most lines; -1 holds a place
+        code = ((prefix >> np.uint64(24)) & np.uint64(0xFFFFFFFF)).astype(np.int64) * 2
+        busy = count > POSTINGS
+        usual = np.where(busy | (count <= 1), -1, code)  # a token counted once is in no other line
+        has_busy = tv.segment_sums(busy.astype(np.int64), prefix_at) > 0
+        in_busy = np.repeat(has_busy, take)
+        busy_at = np.concatenate([[0], np.cumsum(np.where(has_busy, take, 0))])
+        lists = [
+            pa.ListArray.from_arrays(pa.array(a.astype(np.int32)), pa.array(v))
+            for a, v in ((prefix_at, usual), (busy_at, np.where(busy, code + 1, -1)[in_busy]))
+        ]
         parity = _parity(at, values)
-        prefix_lists = pa.ListArray.from_arrays(pa.array(prefix_at.astype(np.int32)), pa.array(code))
         key = [batch.column(c).take(pa.array(owner[rows])) for c in ("doc_id", "text_hash")]
         yield pa.RecordBatch.from_arrays(
             [
@@ -156,13 +171,15 @@ def _lines(batches, rarity, num: int, den: int):
                 pa.array(ids[rows]),
                 pa.array(sizes[rows].astype(np.int32)),
                 *(pa.array(p[rows], mask=take[rows] == 0) for p in parity),
-                prefix_lists.take(pa.array(rows)),
+                *(x.take(pa.array(rows)) for x in lists),
             ],
-            names=["doc_id", "text_hash", "line_no", "id", "n", "p0", "p1", "prefix"],
+            names=["doc_id", "text_hash", "line_no", "id", "n", "p0", "p1", "prefix", "busy"],
         )
 
 
-_LINE_SCHEMA = "doc_id long, text_hash long, line_no int, id long, n int, p0 long, p1 long, prefix array<long>"
+_LINE_SCHEMA = (
+    "doc_id long, text_hash long, line_no int, id long, n int, p0 long, p1 long, prefix array<long>, busy array<long>"
+)
 
 
 def _candidates(batches, num: int, den: int):
@@ -241,13 +258,13 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id
     firsts = written(
         lines.groupBy("id").agg(F.min(F.struct("doc_id", "text_hash", "line_no")).alias("first")), "line-firsts"
     )
-    postings = (
-        lines.where("size(prefix) > 0")
-        .select("id", "n", "p0", "p1", F.posexplode("prefix").alias("pos", "token"))
+    posted = lambda column: (
+        lines.where(F.size(column) > 0)
+        .select("id", "n", "p0", "p1", F.posexplode(column).alias("pos", "token"))
         .where("token >= 0")
     )
-    # only tokens of crowded rarity buckets (odd codes) can have more than POSTINGS postings
-    odd = postings.where("token % 2 = 1")
+    # only tokens of crowded rarity buckets can have more than POSTINGS postings
+    odd = posted("busy")
     crowded = odd.groupBy("token").count().where(F.col("count") > POSTINGS)
     blocks = F.coalesce(F.ceil(F.col("count") / POSTINGS), F.lit(1))
     split = with_blocks(odd.join(crowded, "token", "left"), "token", "id", blocks)
@@ -256,7 +273,7 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id
     flags = F.expr("if(i <> j, if(side = j, 3, 2), 0)")
     key = F.shiftleft("token", _SIZE_BITS).bitwiseOR(F.col("n")).alias("key")
     place = (F.shiftleft("pos", 2) + F.col("flags")).cast("long").alias("place")
-    parts = [split.withColumn("flags", flags), postings.where("token % 2 = 0").withColumn("flags", F.lit(0))]
+    parts = [split.withColumn("flags", flags), posted("prefix").withColumn("flags", F.lit(0))]
     dealt = parts[0].select(key, "id", place, "p0", "p1").unionByName(parts[1].select(key, "id", place, "p0", "p1"))
     token = F.shiftright("key", _SIZE_BITS)
     pairs = (
@@ -278,7 +295,7 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id
     verdicts = firsts.select("id", "first").join(later.withColumn("later", F.lit(True)), "id", "left")
     return (
         lines.select("doc_id", "text_hash", "line_no", "id")
-        .join(verdicts, "id")
+        .join(verdicts.hint("shuffle_hash"), "id")
         .where(
             F.coalesce("later", F.lit(False))
             | ~F.struct("doc_id", "text_hash", "line_no").eqNullSafe(F.col("first"))
