@@ -43,8 +43,8 @@ ITERATIONS = 4
 FREQUENT = 1 << 15
 RARE_CLASSES = 1 << 12
 SEED_TEXTS = 256
-CHUNK_TOKENS = 1 << 20
-FLUSH = 1 << 20
+CHUNK_TOKENS = 1 << 19
+FLUSH = 1 << 19
 SMOOTH = 20.0
 END = np.uint64(0x656E64)  # hash of the end token; no span hash is special, so it is as unlikely as any other
 
@@ -243,31 +243,26 @@ def seed_model(sequences: DataFrame, prior: np.ndarray, states: int = STATES, te
     Components start from texts far apart in the Hellinger sense; the states
     stay with themselves nine times out of ten.
     """
-    rows = (
-        sequences.where("n_tokens between 30 and 5000")
-        .select("codes", "text_hash")
-        .dropDuplicates(["text_hash"])
-        .orderBy("text_hash")
-        .limit(texts)
-        .select("codes")
-        .collect()
-    )
+    middling = sequences.where("n_tokens between 30 and 5000")
+    hashes = middling.select("text_hash").distinct().orderBy("text_hash").limit(texts).collect()
+    picked = middling.where(F.col("text_hash").isin([r[0] for r in hashes]))
+    rows = picked.groupBy("text_hash").agg(F.first("codes").alias("codes")).orderBy("text_hash").select("codes").collect()
     emit = np.repeat(prior[:, None], states, axis=1)
     if rows:
         counts = np.stack([np.bincount(np.frombuffer(r[0], dtype=np.uint16), minlength=len(prior)) for r in rows]).astype(np.float32)
         root = np.sqrt(counts / counts.sum(axis=1, keepdims=True))
         near = root @ root[0]
-        picked = [0]
-        while len(picked) < min(states, len(rows)):
-            picked.append(int(near.argmin()))
-            near = np.maximum(near, root @ root[picked[-1]])
-        member = (root @ root[picked].T).argmax(axis=1)
+        seeds = [0]
+        while len(seeds) < min(states, len(rows)):
+            seeds.append(int(near.argmin()))
+            near = np.maximum(near, root @ root[seeds[-1]])
+        member = (root @ root[seeds].T).argmax(axis=1)
         for _ in range(10):
-            mix = np.stack([counts[member == k].sum(axis=0) for k in range(len(picked))])
+            mix = np.stack([counts[member == k].sum(axis=0) for k in range(len(seeds))])
             mix = mix + 200 * prior[None]
             mix /= mix.sum(axis=1, keepdims=True)
             member = (counts @ np.log(mix).T).argmax(axis=1)
-        emit[:, : len(picked)] = mix.T
+        emit[:, : len(seeds)] = mix.T
     move = np.full((states, states), 0.1 / max(states - 1, 1))
     np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
     # unequal starting shares part states that have no seed of their own
@@ -320,7 +315,9 @@ def score_texts(
     order = np.argsort(hashes)
     frequent = Vocabulary(hashes[order], top.column("n").to_numpy()[order], n_all, v_all)
     shared = spark.sparkContext.broadcast(frequent)
-    sequences = written(texts.mapInArrow(lambda it: _sequences(it, shared), _SEQUENCES), "hmm-sequences")
+    coded = texts.mapInArrow(lambda it: _sequences(it, shared), _SEQUENCES)
+    # texts of like length share a chunk, so few steps run for a handful of long ones
+    sequences = written(coded.sortWithinPartitions(F.desc("n_tokens")), "hmm-sequences")
 
     # at most FREQUENT rows
     common = spark.createDataFrame(pa.table({"h": hashes.view(np.int64)}))
