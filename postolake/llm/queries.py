@@ -8,7 +8,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package
 from . import decontaminate, quality, warc
 from .ann import nearest
 from .hmm import score_texts
@@ -17,6 +16,7 @@ from .licenses import scan_licenses
 from .line_dedup import dedup_lines
 from .mixing import mix_single_source
 from .ngram_join import ngram_jaccard_join
+from .scratch import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,7 +25,7 @@ ORACLES: dict[str, str] = {}
 def _query(fn):
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship_package(spark)
+        prepare(spark)
         return fn(spark, sf_dir)
 
     QUERIES[fn.__name__] = run

@@ -5,10 +5,24 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_work_dir
+from ..session import shared_work_dir, ship_package
+
+
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def prepare(spark: SparkSession) -> None:
+    """What the Python tasks of these operators rely on: the package on the workers, and small batches of text.
+
+    Batches are bounded by bytes, so long texts do not pile up in a worker; a
+    value other than Spark's default of 64 MB is left alone.
+    """
+    ship_package(spark)
+    if spark.conf.get(BATCH_BYTES) == "67108864b":
+        spark.conf.set(BATCH_BYTES, "8m")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
