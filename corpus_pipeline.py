@@ -16,8 +16,7 @@ from postolake.llm.langid import with_language
 from postolake.llm.line_dedup import dedup_lines
 from postolake.llm.mixing import mix_single_source
 from postolake.llm.ngram_join import one_of_each_class
-from postolake.llm.scratch import written
-from postolake.session import ship_package
+from postolake.llm.scratch import prepare, written
 
 # a character that is neither ASCII punctuation, space nor control
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -25,7 +24,7 @@ _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a recognisable language."""
-    ship_package(spark)
+    prepare(spark)
     return with_language(docs)
 
 
@@ -34,7 +33,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document that loses lines and has no word left goes with them.
     """
-    ship_package(spark)
+    prepare(spark)
     deduped = dedup_lines(docs)
     deduped = deduped.where((F.size("removed") == 0) | F.col("text").rlike(_WORD))
     kept = [F.length("text").cast("long").alias("n_chars") if c == "n_chars" else c for c in docs.columns]
@@ -43,19 +42,19 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of every near-duplicate class."""
-    ship_package(spark)
+    prepare(spark)
     return one_of_each_class(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents contaminated by the benchmark."""
-    ship_package(spark)
+    prepare(spark)
     return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mix the sources to their target weights."""
-    ship_package(spark)
+    prepare(spark)
     return mix_single_source(docs).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
