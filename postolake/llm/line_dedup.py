@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 from .scratch import id_bitmap, in_bitmap, written
-from .setjoin import Links, _ratio, components, group_runs, verify_components, with_blocks
+from .setjoin import Links, ratio, components, group_runs, verify_components, with_blocks
 
 RARITY_BITS = 20
 FILTER_BITS = 24
@@ -247,7 +247,7 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id
     lines and no line to each other.
     """
     spark = docs.sparkSession
-    num, den = _ratio(threshold)
+    num, den = ratio(threshold)
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.xxhash64(text_col).alias("text_hash"),
@@ -267,7 +267,7 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id
     odd = posted("busy")
     crowded = odd.groupBy("token").count().where(F.col("count") > POSTINGS)
     blocks = F.coalesce(F.ceil(F.col("count") / POSTINGS), F.lit(1))
-    split = with_blocks(odd.join(crowded, "token", "left"), "token", "id", blocks)
+    split = with_blocks(odd.join(crowded, "token", "left"), "id", blocks)
     # a block pair of a crowded token is a token of its own
     split = split.withColumn("token", F.expr("(xxhash64(token, i, j) & 4294967295) * 2 + 1"))
     flags = F.expr("if(i <> j, if(side = j, 3, 2), 0)")

@@ -225,7 +225,7 @@ def classes_of_texts(
         .agg(F.min("band").alias("band"))  # one of the buckets that hold the same classes
         .select("band", "n")
     )
-    members = with_blocks(bands.join(buckets, "band"), "band", "id", F.ceil(F.col("n") / BUCKET_ROWS))
+    members = with_blocks(bands.join(buckets, "band"), "id", F.ceil(F.col("n") / BUCKET_ROWS))
     dealt = (
         members.drop("n", "n_blocks")
         .join(classes.select("id", "sig"), "id")

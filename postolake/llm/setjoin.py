@@ -15,7 +15,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import written
@@ -73,7 +73,7 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
     return labels
 
 
-def with_blocks(df: DataFrame, group: str, member: str, blocks) -> DataFrame:
+def with_blocks(df: DataFrame, member: str, blocks: Column) -> DataFrame:
     """One row per member and block pair (``i <= j``) it takes part in; ``side`` is the block the member is in.
 
     ``blocks`` is the group's number of blocks, at least 1. A group of one
@@ -183,7 +183,8 @@ class Links:
         return merge_labels(self.rows, *(np.concatenate(x) for x in zip(*self.pairs)))
 
 
-def _ratio(threshold: float) -> tuple[int, int]:
+def ratio(threshold: float) -> tuple[int, int]:
+    """The threshold as a fraction, so that similarities are compared as integers."""
     f = Fraction(str(threshold))
     return f.numerator, f.denominator
 
@@ -243,7 +244,7 @@ def _links_of_large(offsets, values, left, right, num, den) -> Iterator[tuple[np
 
 def _verify(batches, threshold: float):
     """Rows (id, n_links, earlier, root) for block pairs of components; see ``verify_components``."""
-    num, den = _ratio(threshold)
+    num, den = ratio(threshold)
     keys = ["comp", "i", "j"]
 
     def weigh(batch):
@@ -322,7 +323,7 @@ def verify_components(members: DataFrame, order: list[str], threshold: float) ->
         F.ceil(F.col("w") / BLOCK_VALUES),
     )
     sized = members.join(weights, "comp")
-    dealt = with_blocks(sized, "comp", "id", blocks)
+    dealt = with_blocks(sized, "id", blocks)
     dealt = dealt.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", *order, "id")
     dealt = dealt.select("comp", "i", "j", "side", "id", "n_blocks", "tokens")
     checked = written(

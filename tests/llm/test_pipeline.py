@@ -7,7 +7,7 @@ import pytest
 import corpus_pipeline as cp
 from postolake.llm.mixing import capped_targets, repeating_weights
 
-from .helpers import edited, prose, words
+from .helpers import edited, words
 
 SOUNDS = {"en": ["the", "and", "ing", "er"], "de": ["sch", "ung", "ein", "ker"], "fr": ["eau", "oux", "ell", "que"]}
 
