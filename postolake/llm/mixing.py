@@ -5,14 +5,16 @@ them. Token capacity flows from patterns to source quotas: the r-th copy of a
 pattern's tokens costs r, so the flow meets as much of the quotas as it can and
 repeats as little as it can. Every document of a pattern then gets the whole
 copies of the flow, and the rest goes to documents in the order of a seeded
-hash until it is used up; of the next ``FILLERS`` documents that fit into what
-is then missing, the largest are added first, and one more where that brings the
-total nearer.
+hash, in rounds. A round looks at the open documents that fit into what is
+missing and takes them in order up to the one that overshoots; where that is
+less than half of what is missing, it takes the overshooting one instead. So
+what is missing halves each round, and the rounds end when no open document
+fits. Last comes the smallest open document where it brings the total nearer.
 
 Only one row per pattern reaches the driver; more than ``MAX_PATTERNS``
-patterns raise an error. The cut in the seeded order is found by two levels of
-256 hash buckets and an exact ranking inside the last bucket, so no task holds
-a source.
+patterns raise an error. The cut of a round in the seeded order is found by two
+levels of 256 hash buckets and an exact ranking inside the last bucket, so no
+task holds a source.
 
 Sizes count runs of ``[^\\x20\\x09-\\x0D]``; a null text has size 0. A document
 without words is never taken. A null source is a source of its own. Repeated
@@ -33,7 +35,6 @@ from .scratch import written
 
 MAX_PATTERNS = 5000
 MAX_COPIES = 3
-FILLERS = 64
 _BUCKETS = 256
 
 
@@ -122,70 +123,96 @@ def route(capacity: dict[str, int], members: dict[str, list], quotas: dict, copi
 
 
 def _cut(parts: DataFrame, bucket: str, rest: str) -> DataFrame:
-    """The bucket of each pattern in which ``rest`` is used up, and what is left on entering it."""
+    """The bucket of each pattern in which ``rest`` is exceeded, and what is left on entering it."""
     upto = Window.partitionBy("pattern").orderBy(bucket)
     sums = parts.groupBy("pattern", bucket, rest).agg(F.sum("size").alias("n"))
     running = sums.withColumn("before", F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, -1)))
     running = running.withColumn("before", F.coalesce("before", F.lit(0)))
-    return running.where(f"before < {rest} and before + n >= {rest}").select(
+    return running.where(f"before <= {rest} and before + n > {rest}").select(
         "pattern", F.col(bucket).alias(f"cut_{bucket}"), (F.col(rest) - F.col("before")).alias(f"left_{bucket}")
     )
 
 
-def select_documents(sized: DataFrame, plan: DataFrame, seed: int = 0) -> DataFrame:
-    """Add ``taken`` to rows (doc_id, pattern, size, ...) given plan rows (pattern, copies, rest).
+_PLACE = ("mark", "doc_id", "size", "row")
+
 
-    ``plan`` has at most MAX_PATTERNS rows and is broadcast.
+def _round(fitting: DataFrame) -> DataFrame:
+    """(pattern, gap, place, alone, missing) of one round over open rows that fit into their pattern's ``gap``.
+
+    Taken are the rows before ``place`` (all, if null), or the row at ``place``
+    where ``alone``.
     """
-    mark = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    dealt = sized.join(F.broadcast(plan), "pattern").withColumns(
-        {"mark": mark, "b1": F.shiftrightunsigned(mark, 56), "b2": F.shiftrightunsigned(mark, 48).bitwiseAND(_BUCKETS - 1)}
-    )
-    open_ = dealt.where("rest > 0 and size > 0")
-    one = _cut(open_, "b1", "rest")  # one row per pattern, like plan
-    inside = open_.join(F.broadcast(one), "pattern").where("b1 = cut_b1")
-    two = _cut(inside.select("pattern", "b2", "size", "left_b1"), "b2", "left_b1")
-    cuts = written(one.join(two, "pattern"), "mix-cuts")
-    placed = dealt.join(F.broadcast(cuts), "pattern", "left")
-    same1 = F.col("b1") == F.col("cut_b1")
-    last = F.coalesce(same1 & (F.col("b2") == F.col("cut_b2")) & (F.col("size") > 0), F.lit(False))
-    early = (F.col("b1") < F.col("cut_b1")) | (same1 & (F.col("b2") < F.col("cut_b2")))
-    order = Window.partitionBy("pattern").orderBy("mark", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    before = placed.where(~last).withColumn("extra", F.coalesce(early, F.lit(False)))
-    edge = placed.where(last).withColumn("extra", F.sum("size").over(order) <= F.col("left_b2"))
-    filled = written(before.unionByName(edge), "mix-filled")
-    # the words still missing: of the next documents the largest that fit, then the closest
-    gaps = edge.groupBy("pattern", "left_b2").agg(F.sum(F.when(F.col("extra"), F.col("size")).otherwise(0)).alias("got"))
-    gaps = gaps.select("pattern", (F.col("left_b2") - F.col("got")).alias("gap")).where("gap > 0")
-    next_ = Window.partitionBy("pattern").orderBy("mark", "doc_id", "size")
-    fitting = (
-        filled.where("not extra and size > 0")
-        .join(F.broadcast(gaps), "pattern")
-        .where("size < 2 * gap")
-        .withColumn("rank", F.row_number().over(next_))
-        .where(F.col("rank") <= FILLERS)
-        .groupBy("pattern", "gap")
-        .agg(F.sort_array(F.collect_list(F.struct("size", "mark", "doc_id")), asc=False).alias("c"))
+    totals = fitting.groupBy("pattern", "gap").agg(F.sum("size").alias("n"))
+    one = _cut(fitting, "b1", "gap")
+    inside = fitting.join(F.broadcast(one), "pattern").where("b1 = cut_b1")
+    two = _cut(inside, "b2", "left_b1")
+    edge = inside.join(F.broadcast(two), "pattern").where("b2 = cut_b2")
+    order = Window.partitionBy("pattern").orderBy(*_PLACE).rowsBetween(Window.unboundedPreceding, 0)
+    over = edge.withColumn("left", F.col("left_b2") - F.sum("size").over(order)).where("left < 0")
+    first = F.struct(*[F.col(c) for c in _PLACE])
+    over = over.groupBy("pattern").agg(F.min(F.struct(first.alias("place"), "left")).alias("o"))
+    over = over.select("pattern", "o.place", (F.col("o.left") + F.col("o.place.size")).alias("left"))
+    alone = F.coalesce(2 * F.col("left") > F.col("gap"), F.lit(False))
+    missing = F.when(F.col("place").isNull(), F.col("gap") - F.col("n"))  # all taken: no open row fits any more
+    missing = missing.when(F.col("alone"), F.col("gap") - F.col("place.size")).otherwise(F.col("left"))
+    return (
+        totals.join(over, "pattern", "left")
+        .withColumn("alone", alone)
+        .select("pattern", "gap", "place", "alone", missing.alias("missing"))
     )
-    key = F.struct("pattern", "mark", "doc_id", "size")
-    greedy = """aggregate(c, named_struct('gap', gap, 'picks', slice(c, 1, 0)),
-        (a, x) -> if(x.size <= a.gap, named_struct('gap', a.gap - x.size, 'picks', concat(a.picks, array(x))), a),
-        a -> concat(a.picks, slice(transform(array_sort(transform(
-            filter(c, x -> x.size < 2 * a.gap and not array_contains(a.picks, x)),
-            x -> named_struct('off', abs(x.size - a.gap), 'x', x))), y -> y.x), 1, 1)))"""
-    picks = (
-        fitting.select("pattern", F.explode(F.expr(greedy)).alias("p"))
-        .select("pattern", "p.*")
-        .groupBy(key.alias("key"))
-        .agg(F.count("*").alias("wanted"))
+
+
+def _taken_in(rounds: DataFrame | None, rows: DataFrame) -> DataFrame:
+    """``rows`` with ``extra``: whether one of the ``rounds`` takes the row."""
+    if rounds is None:
+        return rows.withColumn("extra", F.lit(False))
+    steps = rounds.groupBy("pattern").agg(F.collect_list(F.struct("gap", "place", "alone")).alias("steps"))
+    place = F.struct(*[F.col(c) for c in _PLACE])
+
+    def takes(r):
+        before = r["place"].isNull() | (~r["alone"] & (place < r["place"]))
+        return (F.col("size") <= r["gap"]) & (before | (r["alone"] & (place == r["place"])))
+
+    extra = (F.col("size") > 0) & F.exists("steps", takes)
+    joined = rows.join(F.broadcast(steps), "pattern", "left")
+    return joined.withColumn("extra", F.coalesce(extra, F.lit(False))).drop("steps")
+
+
+def select_documents(sized: DataFrame, plan: DataFrame, seed: int = 0) -> DataFrame:
+    """Add ``taken`` to rows (doc_id, pattern, size, row, ...) given plan rows (pattern, copies, rest).
+
+    ``row`` tells repeated rows apart. ``plan`` has at most MAX_PATTERNS rows
+    and is broadcast, as are the rounds, which number log2(rest) + 1 at most.
+    """
+    mark = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id")), 1)  # not negative, so in the order of its buckets
+    dealt = sized.join(F.broadcast(plan), "pattern").withColumn("mark", mark)
+    gaps, rounds = plan.where("rest > 0").select("pattern", F.col("rest").alias("gap")), None
+    left = gaps.withColumn("missing", F.col("gap"))
+    while not gaps.isEmpty():
+        fitting = _taken_in(rounds, dealt.join(F.broadcast(gaps), "pattern").where("size > 0 and size <= gap"))
+        fitting = fitting.where("not extra").withColumns(
+            {"b1": F.shiftright("mark", 55), "b2": F.shiftright("mark", 47).bitwiseAND(_BUCKETS - 1)}
+        )
+        fitting = fitting.select("pattern", "gap", *_PLACE, "b1", "b2")
+        step = written(_round(fitting), "mix-round")
+        rounds = step if rounds is None else rounds.unionByName(step)
+        gaps = step.where("place is not null and missing > 0").select("pattern", F.col("missing").alias("gap"))
+    if rounds is not None:
+        last = rounds.groupBy("pattern").agg(F.min("missing").alias("after"))
+        left = left.join(last, "pattern", "left").select("pattern", F.coalesce("after", "missing").alias("missing"))
+    chosen = _taken_in(rounds, dealt)
+    # the smallest open document is larger than what is missing; it is added where the total comes nearer
+    nearer = (
+        chosen.join(F.broadcast(left.where("missing > 0")), "pattern")
+        .where("not extra and size > 0 and size < 2 * missing")
+        .groupBy("pattern")
+        .agg(F.min(F.struct("size", "mark", "doc_id", "row")).alias("s"))
+        .select("pattern", F.col("s.row").alias("nearest"))
     )
-    joined = filled.withColumn("key", key).join(F.broadcast(picks), "key", "left")  # at most FILLERS rows a pattern
-    match = F.col("wanted").isNotNull() & ~F.col("extra")
-    among = F.row_number().over(Window.partitionBy("key").orderBy("mark"))
-    matched = joined.where(match).withColumn("extra", among <= F.col("wanted"))
-    chosen = joined.where(~match).unionByName(matched)
-    base = F.col("copies") * F.col("size")
-    return chosen.select(*sized.columns, (base + F.when(F.col("extra"), F.col("size")).otherwise(0)).alias("taken"))
+    chosen = chosen.join(F.broadcast(nearer), "pattern", "left")
+    extra = F.col("extra") | F.coalesce(F.col("row") == F.col("nearest"), F.lit(False))
+    taken = F.col("copies") * F.col("size") + F.when(extra, F.col("size")).otherwise(0)
+    return chosen.select(*sized.columns, taken.alias("taken")).drop("row")
 
 
 def mix_sources(
@@ -209,7 +236,12 @@ def mix_sources(
     """
     pattern = F.to_json(F.sort_array(F.array_distinct(sources)))
     sized = written(
-        docs.select(F.col(id_col).alias("doc_id"), word_count(F.col(text_col)).alias("size"), pattern.alias("pattern")),
+        docs.select(
+            F.col(id_col).alias("doc_id"),
+            word_count(F.col(text_col)).alias("size"),
+            pattern.alias("pattern"),
+            F.monotonically_increasing_id().alias("row"),
+        ),
         "mix-sizes",
     )
     rows = sized.groupBy("pattern").agg(F.sum("size").alias("n")).limit(MAX_PATTERNS + 1).collect()

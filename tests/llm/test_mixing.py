@@ -73,6 +73,20 @@ def test_single_sources_reach_their_targets(docs):
     assert sorted(map(key, out)) == sorted(map(key, again))
 
 
+def test_a_document_longer_than_the_rest_of_its_source(spark, docs):
+    mark = F.xxhash64(F.lit(0), F.col("id"))
+    first = spark.range(10_000, 20_000).where(mark >= 0).orderBy(mark).first()["id"]  # early in the seeded order
+    rows = [(k, "w " * 5, "en", "b") for k in range(3000)] + [(first, "w " * 30_000, "en", "b"), (1, "one two", "en", "a")]
+    rows += [(20_000 + k, "w " * (k % 200 + 1), "en", "c") for k in range(300)]
+    out = mix_single_source(docs(rows)).collect()
+    for source in "abc":
+        part = [r for r in out if r["source"] == source]
+        missing = round(part[0]["target"]) - sum(r["taken"] for r in part)
+        assert abs(missing) <= 2, source
+        fewest = min(r["taken"] // r["size"] for r in part)
+        assert not any(r["taken"] == fewest * r["size"] and r["size"] <= missing for r in part)
+
+
 def test_overlapping_sources(spark):
     rows = [(k, "w " * 10, ["a", "b"] if k % 3 == 0 else ["a"] if k % 3 == 1 else ["b", "b"]) for k in range(90)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, sources array<string>")
