@@ -1,16 +1,17 @@
 """Nearest neighbours by inner product with collision-counting hashing.
 
-Vectors are lifted by one coordinate, sqrt(M*M - |x|*|x|) with M the largest
-norm, which turns the largest inner product into the smallest distance. Rows
-are dealt into shards. A shard projects its vectors on ``PROJECTIONS`` random
-lines and sorts each projection; every sorted array is cut into 256 base
-buckets of equal size. A query opens a window centred on its own projection in
-every array; as long as fewer than k + ``VERIFIED`` * shard vectors (``LEAST``
-at least) collide with it in at least ``COLLISIONS`` of the arrays, the windows
-widen by ``WIDEN`` (virtual rehashing: neighbouring base buckets merge). All
-vectors above the threshold are then scored exactly in double precision, and
-the best k of all shards are kept. tests/llm/test_ann.py measures recall against
-brute force.
+Rows are dealt into shards by ranges of norm (``BANDS`` for each doubling), so
+one long vector is in a range of its own. In a shard, vectors are lifted by one
+coordinate, sqrt(M*M - |x|*|x|) with M the largest norm of the shard, and
+queries are scaled to norm M, which turns the largest inner product into the
+smallest distance. A shard projects its vectors on ``PROJECTIONS`` random lines
+and sorts each projection; every sorted array is cut into 256 base buckets of
+equal size. A query opens a window centred on its own projection in every array;
+as long as fewer than ``SPARE`` * k + 1 + ``VERIFIED`` * shard vectors collide with it in at
+least ``COLLISIONS`` of the arrays, the windows widen by ``WIDEN`` (virtual
+rehashing: neighbouring base buckets merge). All vectors above the threshold are
+then scored exactly in double precision, and the best k of all shards are kept.
+tests/llm/test_ann.py measures recall against brute force.
 
 Vectors that are null, all zero, or hold a null, NaN or infinite component take
 no part, nor do rows without id. Rows with equal id are one vector (the largest
@@ -37,16 +38,19 @@ QUERY_ROWS = 4096
 SEED = 7
 _BUCKETS = 256
 _AT_ONCE = 128
-LEAST = 1024  # vectors a shard verifies at least, if it has them
+BANDS = 2
+SPARE = 5
 _PILOT = 16
 
 
 class _Shard:
     """Sorted projections of one shard, as base-bucket numbers."""
 
-    def __init__(self, vectors: np.ndarray, top: float, projections: int, seed: int):
-        self.vectors = vectors
+    def __init__(self, vectors: np.ndarray, projections: int, seed: int):
+        vectors = vectors / np.abs(vectors).max()
         squares = (vectors * vectors).sum(axis=1)
+        top = squares.max()
+        self.norm = np.sqrt(top)
         lift = np.sqrt(np.maximum(top - squares, 0.0))
         self.lines = np.random.default_rng(seed).standard_normal((vectors.shape[1] + 1, projections))
         projected = vectors @ self.lines[:-1] + lift[:, None] * self.lines[-1]
@@ -71,7 +75,9 @@ class _Shard:
         A pilot on every 16th vector finds the radius at which the windows
         start on the whole shard.
         """
-        centre = queries @ self.lines[:-1]
+        queries = queries / np.abs(queries).max(axis=1, keepdims=True)
+        norms = np.sqrt((queries * queries).sum(axis=1, keepdims=True))
+        centre = (queries * (self.norm / norms)) @ self.lines[:-1]
         radius = np.full(len(queries), self.base)
         pilot = self.codes[:, ::_PILOT]
         if pilot.shape[1] >= 64:
@@ -109,10 +115,10 @@ class _Shard:
         return radius, out
 
 
-def _nearest_in(ids, vectors, query_ids, queries, top, k, p):
+def _nearest_in(ids, vectors, query_ids, queries, k, p):
     """(query row, id, score) of the best k colliding vectors of a shard for each query."""
-    shard = _Shard(vectors, top, p["projections"], p["seed"])
-    wanted = min(len(ids), max(LEAST, int(np.ceil(k + 1 + p["verified"] * len(ids)))))
+    shard = _Shard(vectors, p["projections"], p["seed"])
+    wanted = min(len(ids), int(np.ceil(SPARE * k + 1 + p["verified"] * len(ids))))
     threshold = max(1, int(np.ceil(p["collisions"] * p["projections"])))
     rows, found, scores = [], [], []
     for s in range(0, len(queries), _AT_ONCE):
@@ -132,7 +138,7 @@ def _nearest_in(ids, vectors, query_ids, queries, top, k, p):
     return np.concatenate(rows), np.concatenate(found), np.concatenate(scores)
 
 
-def _search(batches, top: float, k: int, p: dict):
+def _search(batches, k: int, p: dict):
     keys = ["shard", "block"]
     for table in group_runs(batches, keys, rows=1 << 14):
         bounds = group_offsets(table, keys)
@@ -148,12 +154,20 @@ def _search(batches, top: float, k: int, p: dict):
                 if not len(data) or not len(asks):
                     continue
                 take = lambda rows: column.take(pa.array(rows)).flatten().to_numpy().reshape(len(rows), -1).astype(np.float64)
-                row, found, score = _nearest_in(ids[data], take(data), ids[asks], take(asks), top, k, p)
+                row, found, score = _nearest_in(ids[data], take(data), ids[asks], take(asks), k, p)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[asks][row]), pa.array(found), pa.array(score)], names=["query_id", "vec_id", "score"]
                 )
 
 
+def _with_band(rows: DataFrame) -> DataFrame:
+    """Add the range of norm of ``v``: its logarithm to base 2 times BANDS, rounded; neither overflows nor underflows."""
+    most = rows.withColumn("most", F.array_max(F.transform("v", F.abs)))
+    squares = F.aggregate(F.transform("v", lambda x: x / F.col("most")), F.lit(0.0), lambda a, x: a + x * x)
+    band = F.floor((F.log2("most") + F.log2(squares) / 2) * BANDS + 0.5).cast("int")
+    return most.withColumn("band", band).drop("most")
+
+
 def nearest(
     vectors: DataFrame,
     queries: Column,
@@ -178,23 +192,30 @@ def nearest(
         .groupBy("id")
         .agg(F.max("v").alias("v"))
     )
-    marked = clean.withColumn("is_query", queries)
-    squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    size = marked.agg(F.count("*").alias("n"), F.count_if("is_query").alias("q"), F.max(squares).alias("top")).first()
-    shards = max(1, -(-size["n"] // shard_rows))
-    blocks = max(1, -(-size["q"] // query_rows))
+    marked = _with_band(clean.withColumn("is_query", queries))
+    # at most BANDS * 2,100 rows, the exponents of a double
+    sizes = marked.groupBy("band").agg(F.count("*").alias("n"), F.count_if("is_query").alias("q")).orderBy("band").collect()
+    ranges, shards = [], 0
+    for r in sizes:
+        parts = -(-r["n"] // shard_rows)
+        ranges.append((r["band"], shards, parts))
+        shards += parts
+    shards = max(1, shards)
+    blocks = max(1, -(-sum(r["q"] for r in sizes) // query_rows))
+    ranges = vectors.sparkSession.createDataFrame(ranges, "band int, first int, parts int")
     deal = lambda parts: F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
     spread = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     columns = ["shard", "block", "is_query", "id", "v"]
-    data = marked.withColumns({"shard": deal(shards), "is_query": F.lit(False)}).withColumn("block", spread(blocks))
+    shard = F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    data = marked.join(F.broadcast(ranges), "band").withColumns({"shard": shard, "is_query": F.lit(False)})
+    data = data.withColumn("block", spread(blocks))
     asks = marked.where("is_query").withColumn("block", deal(blocks)).withColumn("shard", spread(shards))
     dealt = data.select(columns).unionByName(asks.select(columns))
     options = {"projections": projections, "collisions": collisions, "verified": verified, "widen": widen, "seed": seed}
-    top = size["top"] or 0.0
     local = (
         dealt.repartition(4 * shards * blocks, "shard", "block")
         .sortWithinPartitions("shard", "block", "is_query", "id")
-        .mapInArrow(lambda it: _search(it, top, k, options), "query_id long, vec_id long, score double")
+        .mapInArrow(lambda it: _search(it, k, options), "query_id long, vec_id long, score double")
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (

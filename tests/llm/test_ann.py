@@ -49,6 +49,40 @@ def test_recall_over_several_shards(spark):
             assert abs(score - a @ b) < 1e-9
 
 
+def _recall_on_a_full_shard(spark, data, least):
+    data = np.asarray(data, dtype=np.float32).astype(float)
+    found = _run(spark, [(k, [float(x) for x in v]) for k, v in enumerate(data)])
+    hit = 0
+    for q, got in found.items():
+        score = data @ data[q]
+        score[q] = -np.inf
+        hit += len({i for _, i, _ in got} & set(np.argsort(-score)[:20].tolist()))
+    assert len(found) == -(-len(data) // 20)
+    assert hit / (20 * len(found)) >= least
+
+
+def test_recall_with_one_long_vector(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.standard_normal((50, 32))
+    data = centres[rng.integers(0, 50, 8192)] + 0.7 * rng.standard_normal((8192, 32))
+    data /= np.linalg.norm(data, axis=1)[:, None]
+    data[5] *= 30
+    _recall_on_a_full_shard(spark, data, 0.95)
+
+
+def test_recall_of_unclustered_vectors_of_many_norms(spark):
+    rng = np.random.default_rng(2)
+    data = rng.standard_normal((8192, 32))
+    data *= (rng.lognormal(0, 0.7, 8192) / np.linalg.norm(data, axis=1))[:, None]
+    _recall_on_a_full_shard(spark, data, 0.9)
+
+
+def test_norms_at_the_ends_of_double(spark):
+    frame = spark.createDataFrame([(0, [1e300, 1e300]), (1, [-1e300, 1e-300]), (2, [1e-320, 0.0]), (3, [0.5, 0.0])], "vec_id long, embedding array<double>")
+    got = nearest(frame, F.col("id") == 3).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [0, 2, 1]
+
+
 def test_ties_bad_vectors_and_few_candidates(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
