@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, quality, warc
+from .align import align
 from .ann import nearest
 from .hmm import score_texts
 from .langid import identify
@@ -95,3 +96,8 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), F.col("source"), F.col("lang")
     )
+
+
+@_query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(_table(spark, sf_dir, "documents")).drop("groups")

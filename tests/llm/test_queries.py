@@ -26,15 +26,18 @@ COLUMNS = {
     "op6_ngram_jaccard_join": {"doc_id": "bigint", "class_id": "bigint", "n_links": "bigint"},
     "op8_line_dedup": {"doc_id": "bigint", "text": "string", "n_removed": "bigint"},
     "op2_license_scan": {"doc_id": "bigint", "license": "string", "dice": "double"},
+    "op13_token_alignment": {
+        "doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint", "n_best": "bigint", "count_sum": "bigint", "groups_sha256": "string",
+    },
     "op3_quality_classifier": {"doc_id": "bigint", "quality": "double", "keep": "boolean"},
 }
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert any(k.startswith(f"op{n}_") for k in names)
     assert "pipeline" in names and set(ORACLES) <= set(entry.oracle_sql())
 
