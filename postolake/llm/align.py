@@ -205,10 +205,10 @@ def _digest(groups: pa.Array) -> pa.Array:
     return pa.array([hashlib.sha256(g.as_py().encode()).hexdigest() if len(g.as_py()) else "" for g in groups], pa.string())
 
 
-def _align_blocks(batches, folder: str, with_groups: bool) -> Iterator[pa.RecordBatch]:
+def _align_blocks(batches, folder: str, with_groups: bool, block_bytes: int) -> Iterator[pa.RecordBatch]:
     a, b = tokenizers(folder)
     block = TaskContext.get().partitionId() << 32
-    for batch in tv.text_chunks(batches, "text", BLOCK_BYTES):
+    for batch in tv.text_chunks(batches, "text", block_bytes):
         done = Aligned(batch.column("text"), a, b)
         n = batch.num_rows
         rows = {
@@ -262,6 +262,7 @@ def align(
     text_col: str = "text",
     folder: str = TOKENIZERS,
     with_groups: bool = False,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, n_a, n_b, n_groups, groups_sha256, groups, n_links, n_best, count_sum.
 
@@ -275,7 +276,7 @@ def align(
         f"doc_id {kind}, block long, n_a long, n_b long, n_groups long, groups_sha256 string, groups string, "
         "links array<int>, pairs array<long>, counts array<long>"
     )
-    found = written(rows.mapInArrow(lambda b: _align_blocks(b, folder, with_groups), schema), "align")
+    found = written(rows.mapInArrow(lambda b: _align_blocks(b, folder, with_groups, block_bytes), schema), "align")
 
     partial = found.where("pairs is not null").select("block", F.posexplode(F.arrays_zip("pairs", "counts")))
     partial = partial.select("block", F.col("pos").alias("place"), F.col("col.pairs").alias("pair"), F.col("col.counts").alias("n"))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality, warc
+from . import decontaminate, phrases, quality, warc
 from .align import align
 from .ann import nearest
 from .hmm import score_texts
@@ -101,3 +101,11 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(_table(spark, sf_dir, "documents")).drop("groups")
+
+
+@_query
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_phrase_mining"] = phrases.ORACLE

@@ -77,12 +77,12 @@ TEXTS = [
 ]
 
 
-def test_equals_plain_python_in_blocks_of_any_size(spark, docs, monkeypatch):
+def test_equals_plain_python_in_blocks_of_any_size(spark, docs):
     table = docs(TEXTS)
     expected = sorted(zip(range(len(TEXTS)), plain(TEXTS)))
     for size in (al.BLOCK_BYTES, 64):
-        monkeypatch.setattr(al, "BLOCK_BYTES", size)
-        got = sorted((r["doc_id"], tuple(r[c] for c in COLUMNS)) for r in al.align(table, with_groups=True).collect())
+        found = al.align(table, with_groups=True, block_bytes=size).collect()
+        got = sorted((r["doc_id"], tuple(r[c] for c in COLUMNS)) for r in found)
         assert got == expected
     assert sum(e[1][0] == 0 for e in expected) >= 3  # null, empty and the changed text
 

@@ -29,6 +29,9 @@ COLUMNS = {
     "op13_token_alignment": {
         "doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint", "n_best": "bigint", "count_sum": "bigint", "groups_sha256": "string",
     },
+    "op12_phrase_mining": {
+        "lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint", "n": "bigint", "score": "bigint",
+    },
     "op3_quality_classifier": {"doc_id": "bigint", "quality": "double", "keep": "boolean"},
 }
 
