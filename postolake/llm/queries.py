@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, phrases, quality, warc
+from . import decontaminate, phrases, quality, rules, warc
 from .align import align
 from .ann import nearest
 from .hmm import score_texts
@@ -109,3 +109,12 @@ def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_phrase_mining"] = phrases.ORACLE
+
+
+@_query
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rules.apply_rules(_table(spark, sf_dir, "documents"))
+    return found.drop("char_distance", "word_distance")
+
+
+ORACLES["op11_quality_rules"] = rules.ORACLE

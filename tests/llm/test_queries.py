@@ -29,6 +29,10 @@ COLUMNS = {
     "op13_token_alignment": {
         "doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint", "n_best": "bigint", "count_sum": "bigint", "groups_sha256": "string",
     },
+    "op11_quality_rules": {
+        "doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint",
+        "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean",
+    },
     "op12_phrase_mining": {
         "lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint", "n": "bigint", "score": "bigint",
     },
