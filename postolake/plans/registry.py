@@ -653,11 +653,11 @@ def _fn_fix_unicode(spark, sf_dir):
 # ----------------------------------------------------- sources and sinks
 
 from postolake.operators.silver import build_silver  # noqa: E402
-from postolake.plans.files import demo_files, streamed_silver_path, write_edge_files, zip_frame, zip_set  # noqa: E402
+from postolake.plans.files import dealt, dealt_sql, demo_files, streamed_silver_path, write_edge_files, zip_frame, zip_set  # noqa: E402
 from postolake.session import shared_work_dir  # noqa: E402
 from postolake.sources import manifest as M  # noqa: E402
 from postolake.sources.archives import archive_members_to_bronze, expand_content, rejected_archives  # noqa: E402
-from postolake.sources.bronze_csv import bronze_rejects, detect_encodings, read_bronze  # noqa: E402
+from postolake.sources.bronze_csv import bronze_rejects, detect_encodings, read_bronze, write_bronze_csv  # noqa: E402
 
 _HEADERS_SQL = ", ".join(O.q(h) for h, _ in BRONZE_HEADER_MAP)
 _SILVER_VALUES = [c for c in SILVER_COLUMNS if c not in ("row_hash", "filename")]
@@ -675,9 +675,32 @@ def _silver_csv(spark, sf_dir):
     return build_silver(read_bronze(spark, root)).select(*_SILVER_VALUES)
 
 
-_STREET = 'length(COALESCE("Nome da Rua", \'\'))'
+_BROKEN = """CASE WHEN %s = 0 THEN 'bloco "' || COALESCE("Bairro", '') || '"' || chr(10) || chr(10) || 'fundos; ' || COALESCE("Numero Rua", '')
+             ELSE "Complemento" END""" % dealt_sql(3)
+
+
+@register(
+    "bronze_multiline",
+    O.with_lake(
+        "SELECT " + ", ".join(f"{_BROKEN} AS {O.q(h)}" if h == "Complemento" else O.q(h) for h, _ in BRONZE_HEADER_MAP) + " FROM bronze",
+        "bronze",
+    ),
+)
+def _bronze_multiline(spark, sf_dir):
+    """Quoted fields with line breaks, separators and quotes in files of both charsets, read in blocks."""
+    broken = F.concat(
+        F.lit('bloco "'), F.coalesce("Bairro", F.lit("")), F.lit('"\n\nfundos; '), F.coalesce("`Numero Rua`", F.lit(""))
+    )
+    bronze = demo_lake(spark, sf_dir).bronze
+    bronze = bronze.withColumn("Complemento", F.when(dealt(3) == 0, broken).otherwise(F.col("Complemento")))
+    root = _fresh_dir(spark, "multiline")
+    charset = F.when(F.col("filename").like("ca-199%"), F.lit("ISO-8859-1")).otherwise(F.lit("UTF-8"))
+    write_bronze_csv(bronze, root, encoding_by_file=charset)
+    return read_bronze(spark, root, multiline=True).select(*[F.col(f"`{h}`") for h, _ in BRONZE_HEADER_MAP])
+
+
 _GIVEN = ", ".join(
-    f"CASE WHEN {_STREET} % 4 <> 3 THEN {O.q(h)} END AS {O.q(h)}" if h in ("Bandeira", "Complemento") else O.q(h)
+    f"CASE WHEN {dealt_sql(4)} <> 3 THEN {O.q(h)} END AS {O.q(h)}" if h in ("Bandeira", "Complemento") else O.q(h)
     for h, _ in BRONZE_HEADER_MAP
 )
 
@@ -697,31 +720,28 @@ def _edge_files(spark, sf_dir):
 @register(
     "rejected_files",
     O.with_lake(
-        f"""SELECT 'no expected column in the header' AS reason, COUNT(*) AS lines FROM bronze
-            WHERE {_STREET} % 2 = 1 AND regexp_matches(concat_ws(';', {_HEADERS_SQL}), '[^; \\t"]')""",
+        f"""SELECT 'no expected column in the header' AS reason, CAST(COUNT(*) AS BIGINT) AS lines FROM bronze
+            WHERE {dealt_sql(2)} = 1 AND regexp_matches(concat_ws(';', {_HEADERS_SQL}), '[^; \\t"]')""",
         "bronze",
     ),
 )
 def _rejected(spark, sf_dir):
-    """A file without a header is refused with its number of lines; its neighbour is read."""
+    """Files without a header are refused with their number of lines; their neighbours are read."""
     root = write_edge_files(demo_lake(spark, sf_dir).bronze, _fresh_dir(spark, "edge"), [0, 4])
-    return bronze_rejects(spark, root, glob="*.txt").select("reason", "lines")
+    return bronze_rejects(spark, root, glob="*.txt").groupBy("reason").agg(F.sum("lines").alias("lines"))
 
 
 @register(
     "zip_expand",
     O.with_lake(
-        f"""SELECT 'row' AS kind, {_HEADERS_SQL} FROM bronze WHERE {_STREET} % 12 <> 3
+        f"""SELECT 'row' AS kind, {_HEADERS_SQL} FROM bronze WHERE {dealt_sql(12)} <> 3
             UNION ALL SELECT 'damaged z3.zip', {", ".join("NULL" for _ in BRONZE_HEADER_MAP)}
-            WHERE EXISTS (SELECT 1 FROM bronze WHERE {_STREET} % 12 = 3)""",
+            WHERE EXISTS (SELECT 1 FROM bronze WHERE {dealt_sql(12)} = 3)""",
         "bronze",
     ),
 )
 def _zip_expand(spark, sf_dir):
-    """Two members of different charset and column order in each archive; damaged archives give no row, their set one.
-
-    The driver tables have no street of the damaged set's length; tests/test_sources.py holds that case.
-    """
+    """Two members of different charset and column order in each archive; damaged archives give no row, their set one."""
     path = _fresh_dir(spark, "zips")
     expand_content(zip_frame(demo_lake(spark, sf_dir).bronze)).write.parquet(path)
     expanded = spark.read.parquet(path)

@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postolake.session import ship_package
 from postolake.sources.bronze_lines import parse_lines
 from postolake.sources.csv_format import decoded_path
 
@@ -80,6 +81,7 @@ def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def expand_content(zips: DataFrame) -> DataFrame:
     """(path, content) of archives -> (archive, member, line_no, line, error)."""
+    ship_package(zips.sparkSession)
     return zips.select("path", "content").mapInPandas(_expand, LINES_SCHEMA)
 
 
