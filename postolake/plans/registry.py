@@ -653,10 +653,21 @@ def _fn_fix_unicode(spark, sf_dir):
 # ----------------------------------------------------- sources and sinks
 
 from postolake.operators.silver import build_silver  # noqa: E402
-from postolake.plans.files import dealt, dealt_sql, demo_files, streamed_silver_path, write_edge_files, zip_frame, zip_set  # noqa: E402
+from postolake.plans.files import (  # noqa: E402
+    MEMBERS,
+    dealt,
+    dealt_sql,
+    demo_files,
+    streamed_silver_path,
+    write_edge_files,
+    write_member_archives,
+    zip_frame,
+    zip_set,
+)
 from postolake.session import shared_work_dir  # noqa: E402
 from postolake.sources import manifest as M  # noqa: E402
 from postolake.sources.archives import archive_members_to_bronze, expand_content, rejected_archives  # noqa: E402
+from postolake.sources.zip_members import read_members, rejected_members  # noqa: E402
 from postolake.sources.bronze_csv import bronze_rejects, detect_encodings, read_bronze, write_bronze_csv  # noqa: E402
 
 _HEADERS_SQL = ", ".join(O.q(h) for h, _ in BRONZE_HEADER_MAP)
@@ -754,6 +765,28 @@ def _zip_expand(spark, sf_dir):
     return rows.unionByName(bad)
 
 
+@register(
+    "zip_members",
+    O.with_lake(
+        f"""SELECT 'row' AS kind, {_HEADERS_SQL} FROM bronze WHERE {dealt_sql(MEMBERS)} <> 3
+            UNION ALL SELECT 'damaged m3.csv', {", ".join("NULL" for _ in BRONZE_HEADER_MAP)}
+            WHERE EXISTS (SELECT 1 FROM bronze WHERE {dealt_sql(MEMBERS)} = 3)""",
+        "bronze",
+    ),
+)
+def _zip_members(spark, sf_dir):
+    """Archives on the shared file system read member by member; a damaged member gives no row, its neighbours do."""
+    root = _fresh_dir(spark, "members")
+    write_member_archives(demo_lake(spark, sf_dir).bronze, root)
+    lines = read_members(spark, root)
+    names = [h for h, _ in BRONZE_HEADER_MAP]
+    rows = archive_members_to_bronze(lines).select(F.lit("row").alias("kind"), *[F.col(f"`{h}`") for h in names])
+    bad = rejected_members(lines).select(
+        F.concat(F.lit("damaged "), "member").alias("kind"), *[F.lit(None).cast("string").alias(h) for h in names]
+    )
+    return rows.unionByName(bad.dropDuplicates(["kind"]))
+
+
 _NON_ASCII_ANY = " OR ".join(f"regexp_matches({O.q(h)}, '[^\\x00-\\x7F]')" for h, _ in BRONZE_HEADER_MAP)
 
 

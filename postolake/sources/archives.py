@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from postolake.session import ship_package
 from postolake.sources.bronze_lines import parse_lines
-from postolake.sources.csv_format import decoded_path
 
 LINES_SCHEMA = "archive string, member string, line_no long, line string, error string"
 _COLUMNS = ["archive", "member", "line_no", "line", "error"]
@@ -93,7 +92,7 @@ def expand_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> Data
         .option("pathGlobFilter", glob)
         .load(root)
     )
-    return expand_content(zips.select(decoded_path("path").alias("path"), "content"))
+    return expand_content(zips)  # unlike _metadata.file_path, this path is not URI-encoded
 
 
 def rejected_archives(expanded: DataFrame) -> DataFrame:
