@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 from postolake.operators.broadcast import checked_broadcast
 from postolake.operators.gold import FACT_KEYS
 from postolake.operators.surrogate import dense_ids, rank_ids
+from postolake.session import ensure_checkpoint_dir
 
 VERSION_ATTRIBUTES = ["revenda", "bandeira", "nome_rua", "numero_rua", "complemento", "bairro", "cep"]
-OPEN_END = "9999-12-31"
+SLICE_ROWS = 1_000_000
 
 
 def station_history(g: DataFrame) -> DataFrame:
@@ -65,6 +66,46 @@ def station_history(g: DataFrame) -> DataFrame:
     )
 
 
+def carry_versions(facts: DataFrame, history: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """As-of join by one sorted scan: each fact gets the ``posto_id`` valid on its ``data_coleta``.
+
+    Facts and versions are put together, sorted by station and day, and the last
+    version seen is carried forward, so the rows in between are facts + versions
+    however many versions a station has. A station of more than ``slice_rows``
+    facts is cut into slices by a hash of the fact, each of which gets the
+    station's versions; that also cuts a station whose facts lie on one day. Facts
+    before a station's first version, or of a station without any, are left out.
+    """
+    counts = facts.groupBy("cnpj_revenda").agg(F.count(F.lit(1)).alias("n"))
+    cut = F.ceil(F.col("n") / slice_rows).cast("int")
+    ensure_checkpoint_dir(facts.sparkSession)
+    # one row for each slice_rows facts at most
+    hot = counts.where(F.col("n") > slice_rows).select("cnpj_revenda", cut.alias("_slices")).checkpoint()
+    hot = checked_broadcast(hot)
+    slices = F.coalesce("_slices", F.lit(1))
+    rows = facts.join(hot, "cnpj_revenda", "left")
+    rows = rows.select(
+        "cnpj_revenda",
+        F.pmod(F.xxhash64("fato_id"), slices).cast("int").alias("_slice"),
+        F.col("data_coleta").alias("_day"),
+        F.lit(True).alias("_is_fact"),
+        F.struct(*[c for c in facts.columns if c != "cnpj_revenda"]).alias("_fact"),
+        F.lit(None).cast("int").alias("_version"),
+    )
+    versions = history.where("cnpj_revenda is not null").join(hot, "cnpj_revenda", "left").select(
+        "cnpj_revenda",
+        F.explode(F.sequence(F.lit(0), slices - 1)).alias("_slice"),
+        F.col("data_inicio").alias("_day"),
+        F.lit(False).alias("_is_fact"),
+        F.lit(None).cast(rows.schema["_fact"].dataType).alias("_fact"),
+        F.col("posto_id").cast("int").alias("_version"),
+    )
+    scan = Window.partitionBy("cnpj_revenda", "_slice").orderBy("_day", "_is_fact")
+    scan = scan.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = rows.unionByName(versions).withColumn("posto_id", F.last("_version", ignorenulls=True).over(scan))
+    return carried.where("_is_fact and posto_id is not null").select("cnpj_revenda", "_fact.*", "posto_id")
+
+
 def build_fact_asof(
     g: DataFrame,
     dim_data: DataFrame,
@@ -72,29 +113,15 @@ def build_fact_asof(
     dim_localidade: DataFrame,
     history: DataFrame,
 ) -> DataFrame:
-    """Fact whose station id is the version valid on the collection day.
-
-    Equi-join on CNPJ plus a range condition; the history is broadcast behind
-    a row-count check, otherwise a sort-merge join with AQE skew splitting.
-    """
+    """Fact whose station id is the version valid on the collection day."""
     matched = g.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in FACT_KEYS]))
     ided = dense_ids(matched.select(*FACT_KEYS, "valor_venda", "valor_compra"), "fato_id")
-    h = history.select(
-        F.col("cnpj_revenda").alias("_cnpj"),
-        "posto_id",
-        "data_inicio",
-        F.coalesce("data_fim", F.lit(OPEN_END).cast("date")).alias("_fim"),
-    )
     joined = (
         ided.join(checked_broadcast(dim_data.select(F.col("data").alias("data_coleta"), "data_id")), "data_coleta")
         .join(checked_broadcast(dim_produto), ["produto", "unidade_medida"])
         .join(checked_broadcast(dim_localidade), ["regiao_sigla", "estado_sigla", "municipio"])
-        .join(
-            checked_broadcast(h),
-            (F.col("cnpj_revenda") == F.col("_cnpj"))
-            & F.col("data_coleta").between(F.col("data_inicio"), F.col("_fim")),
-        )
     )
+    joined = carry_versions(joined, history)
     return joined.select(
         "fato_id", "data_id", "produto_id", "localidade_id", "posto_id", "valor_venda", "valor_compra"
     )

@@ -106,7 +106,9 @@ class MemberReader(DataSourceReader):
             size += m.compress_size
         return parts + ([Members(archive, tuple(names))] if names else [])
 
-    def read(self, partition: Members) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Members | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # what Spark asks for when there is nothing to read
+            return
         if partition.error is not None:
             yield _rows(partition.archive, None, 0, None, partition.error)
             return
