@@ -56,6 +56,20 @@ def file_system(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
+class _Archive:
+    """An Arrow file whose seeks out of range are ``OSError``, which zipfile expects."""
+
+    def __init__(self, file: pa.NativeFile):
+        self._file = file
+        self.read, self.tell, self.seekable = file.read, file.tell, file.seekable
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        try:
+            return self._file.seek(offset, whence)
+        except ValueError as problem:
+            raise OSError(str(problem)) from problem
+
+
 def _told(problem: Exception) -> str:
     return f"{type(problem).__name__}: {problem}"
 
@@ -93,7 +107,7 @@ class MemberReader(DataSourceReader):
     def _plan(self, store: fs.FileSystem, archive: str) -> list[Members]:
         """The archive's members, neighbours together up to ``task_bytes`` of compressed data."""
         try:
-            with store.open_input_file(archive) as file, zipfile.ZipFile(file) as directory:
+            with store.open_input_file(archive) as file, zipfile.ZipFile(_Archive(file)) as directory:
                 members = [m for m in directory.infolist() if not m.is_dir()]
         except _DAMAGE as problem:
             return [Members(archive, (), _told(problem))]
@@ -113,7 +127,7 @@ class MemberReader(DataSourceReader):
             yield _rows(partition.archive, None, 0, None, partition.error)
             return
         store, _ = file_system(self.path)
-        with store.open_input_file(partition.archive) as file, zipfile.ZipFile(file) as archive:
+        with store.open_input_file(partition.archive) as file, zipfile.ZipFile(_Archive(file)) as archive:
             for name in partition.names:
                 try:
                     charset = _charset(archive, name)
