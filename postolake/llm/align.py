@@ -100,11 +100,14 @@ class Pieces:
         from sentencepiece import SentencePieceProcessor
 
         self._model = SentencePieceProcessor(model_file=path)
-        entries = {}
+        entries, pieces = {}, []
         for i in range(self._model.get_piece_size()):
+            pieces.append(self._model.id_to_piece(i))
             piece = self._model.id_to_piece(i)
             entries[i] = bytes([int(piece[3:5], 16)]) if self._model.is_byte(i) else piece.replace("▁", " ").encode()
         self.bytes = _table(entries)
+        # no piece goes on after a space that follows something else, so texts part there
+        self.apart = all("▁" not in p.lstrip("▁") for p in pieces)
 
     def __call__(self, texts: list[str]) -> pa.Array:
         return pa.array(self._model.encode(texts, num_threads=1), pa.list_(pa.int32()))
@@ -125,6 +128,48 @@ def _encoded(encode, texts: pa.Array) -> pa.Array:
     return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
 
+def _cut_points(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Starts of the parts of texts (each begins with a space) that can be encoded on their own.
+
+    Besides the start of a text these are lone spaces between two characters
+    that are no white space in any sense: ASCII marks, letters and digits, and
+    the two-byte Latin letters from U+00C0 to U+017F. Byte-level pre-tokens and
+    pieces begin there or hold no such space (``Pieces.apart`` tells).
+    """
+    plain, wide = (data > 0x20) & (data < 0x7F), (data >= 0xC3) & (data <= 0xC5)
+    cut = np.zeros(len(data) + 1, dtype=bool)
+    if len(data) > 2:
+        before = plain[:-2].copy()
+        before[1:] |= (data[1:-2] >= 0x80) & wide[:-3]
+        cut[1:-2] = (data[1:-1] == 0x20) & before & (plain | wide)[2:]
+    cut[offsets] = True
+    return np.flatnonzero(cut[:-1])
+
+
+def _shared(wanted: pa.Array, encoders: list) -> list[pa.Array]:
+    """Ids of each text by each encoder; a part that occurs again in the block is encoded once."""
+    _, offsets, data = wanted.buffers()
+    offsets = np.frombuffer(offsets, dtype=np.int64)[wanted.offset : wanted.offset + len(wanted) + 1]
+    raw = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]] if data else np.zeros(0, dtype=np.uint8)
+    offsets = offsets - offsets[0]
+    starts = _cut_points(offsets, raw)
+    ends = np.append(starts[1:], len(raw)).astype(np.int64)
+    _, first, number = np.unique(tv.span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+    if not len(starts):
+        return [pa.array([], pa.list_(pa.int32())) for _ in encoders]
+    # every other span between these edges is a part without its leading space
+    edges = np.stack([starts + 1, ends], axis=1).reshape(-1).astype(np.int64)
+    spans = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(raw)])
+    distinct = spans.take(pa.array(2 * first)).cast(pa.large_string())
+    of_text = np.searchsorted(starts, offsets)
+    out = []
+    for encode in encoders:
+        ids = _encoded(encode, distinct).take(pa.array(number))
+        upto = (ids.offsets.to_numpy() - ids.offsets[0].as_py())[of_text]
+        out.append(pa.ListArray.from_arrays(pa.array(upto, pa.int32()), ids.flatten()))
+    return out
+
+
 def _tokens(ids: pa.Array, vocabulary: pa.Array, wanted: pa.Array) -> tuple[pa.Table, np.ndarray]:
     """Table (doc, end, id) of all tokens in order, and whether each text's joined bytes are ``wanted``."""
     flat, doc = ids.flatten(), pc.list_parent_indices(ids)
@@ -171,8 +216,12 @@ class Aligned:
         wanted = pc.binary_join_element_wise(
             pa.scalar("", pa.large_string()), chosen.cast(pa.large_string()), pa.scalar(" ", pa.large_string())
         ).cast(pa.large_binary())
-        left, same_a = _tokens(_encoded(a, chosen), a.bytes, wanted)
-        right, same_b = _tokens(_encoded(b, chosen), b.bytes, wanted)
+        if b.apart:
+            ids_a, ids_b = _shared(wanted, [a, b])
+        else:
+            ids_a, ids_b = _encoded(a, chosen), _encoded(b, chosen)
+        left, same_a = _tokens(ids_a, a.bytes, wanted)
+        right, same_b = _tokens(ids_b, b.bytes, wanted)
         sound = pa.array(same_a & same_b)
         left = left.filter(pc.take(sound, left.column("doc")))
         right = right.filter(pc.take(sound, right.column("doc")))
@@ -180,8 +229,9 @@ class Aligned:
         met = left.rename_columns(["doc", "end", "a"]).join(
             right.rename_columns(["doc", "end", "b"]), keys=["doc", "end"], join_type="inner", use_threads=False
         )
-        met = met.sort_by([("doc", "ascending"), ("end", "ascending"), ("a", "ascending"), ("b", "ascending")])
-        cuts = np.unique(_place(met))
+        met = met.take(pa.array(np.argsort(_place(met), kind="stable")))  # the join keeps no order
+        ends = _place(met)
+        cuts = ends[np.append(True, ends[1:] != ends[:-1])] if len(ends) else ends
         groups = pc.binary_join_element_wise(
             _joined_ids(left, _closes(left, cuts)), _joined_ids(right, _closes(right, cuts)), "|"
         )
@@ -245,11 +295,10 @@ def _totals_of_block(docs: pa.Table, answers: pa.Table) -> pa.Table:
     at = answers.column("place").to_numpy()
     count[at] = answers.column("count").to_numpy()
     best[at] = answers.column("best").to_numpy()
-    sums = np.zeros(docs.num_rows, dtype=np.int64)
-    np.add.at(sums, doc, count[place])
-    n_best = np.zeros(docs.num_rows, dtype=np.int64)
-    np.add.at(n_best, doc, best[place])
     n_links = np.bincount(doc, minlength=docs.num_rows).astype(np.int64)
+    upto = np.concatenate([[0], np.cumsum(n_links)])
+    sums = tv.segment_sums(count[place], upto)
+    n_best = tv.segment_sums(best[place], upto)
     out = docs.drop_columns(["links", "block"])
     for name, values in (("n_links", n_links), ("n_best", n_best), ("count_sum", sums)):
         out = out.append_column(name, pa.array(values))

@@ -74,6 +74,8 @@ TEXTS = [
     "x" * 3000,
     "1234567890 " * 400,
     "The quick brown fox jumps over the lazy dog.",
+    "élan à été, ça où ×÷ ſ ž  a\u00a0b \u2003c \x85 d 'tis it's I'll we've x 's 't",
+    "don 't a 1 2 ! ? a. b, c\r\n d\t e \u3000 f é\u00a0 g ï\u0301 h ​ i ﻿ j",
 ]
 
 
