@@ -38,13 +38,13 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 from .scratch import written
-from .transducer import CountTransducer, of_hashes, summed, union
+from .transducer import CountTransducer, Grams, counted, restricted, union
 
 LEAST = 10
 TOP = 2000
 CONTAINED_PERCENT = 50
 SCALE = 1_000_000
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 19
 RANGE_RUNS = 1 << 20
 SAMPLE_EVERY = 1024
 SALTS = 64
@@ -80,8 +80,7 @@ def _shard(labels: np.ndarray, joined: np.ndarray, runs_from: int) -> CountTrans
     first = number[np.concatenate([at1, at2, at3])]
     second = np.concatenate([np.zeros(len(at1), dtype=np.int64), number[at2 + 1], number[at3 + 1]])
     third = np.concatenate([np.zeros(len(at1) + len(at2), dtype=np.int64), number[at3 + 2]])
-    grams = summed(first, second, third, np.ones(len(first), dtype=np.int64))
-    return CountTransducer.build(symbols, grams)
+    return CountTransducer.build(symbols, counted(first, second, third))
 
 
 def _codes(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray:
@@ -99,7 +98,8 @@ class _Collector:
         self.limit, self.every = shard_tokens, sample_every
         self.labels: list[np.ndarray] = []
         self.joined: list[np.ndarray] = []
-        self.known: dict[int, str] = {}
+        self.known: list[np.ndarray] = []  # labels, and the word and language of each
+        self.names: list[pa.Array] = []
         self.counts: dict[str, int] = {}
         self.size = 0
 
@@ -123,11 +123,11 @@ class _Collector:
         self.joined.append(joined)
         self.size += len(labels)
         distinct, at = np.unique(labels, return_index=True)
-        fresh = np.array([x not in self.known for x in distinct.tolist()], dtype=bool)
-        at = np.sort(at[fresh])
-        words = _named(data, tokens.starts[at], tokens.ends[at]).to_pylist()
-        for label, word, lang in zip(labels[at].tolist(), words, code[owner[at]].tolist()):
-            self.known[label] = f"{word}\t{names[lang]}"
+        order = np.argsort(at)
+        words = _named(data, tokens.starts[at[order]], tokens.ends[at[order]])
+        of = langs.dictionary.take(pa.array(code[owner[at[order]]])).cast(pa.large_string())
+        self.known.append(distinct[order])
+        self.names.append(pa.compute.binary_join_element_wise(words, of, pa.scalar("\t", pa.large_string())))
         for lang, n in enumerate(np.bincount(code[owner], minlength=len(names)).tolist()):
             self.counts[names[lang]] = self.counts.get(names[lang], 0) + n
 
@@ -135,6 +135,8 @@ class _Collector:
         if not self.size:
             return
         labels, joined = np.concatenate(self.labels), np.concatenate(self.joined)
+        known, at = np.unique(np.concatenate(self.known), return_index=True)
+        names = pa.concat_arrays(self.names).take(pa.array(at))
         langs, counts = list(self.counts), list(self.counts.values())
         for start in range(0, len(labels), self.limit):
             own = min(self.limit, len(labels) - start)
@@ -142,13 +144,14 @@ class _Collector:
             made = _shard(labels[start:stop], joined[start:stop], own)
             grams = made.grams()
             picked = [made.hashes(c[:: self.every]) for c in grams[:3]]
+            here = names.take(pa.array(np.searchsorted(known, made.symbols)))
             yield pa.RecordBatch.from_pydict(
                 {
                     "blob": pa.array([made.to_bytes()], pa.binary()),
-                    "names": pa.array([[self.known[x] for x in made.symbols.tolist()]], pa.list_(pa.string())),
+                    "names": _one_list(here.cast(pa.string())),
                     "langs": pa.array([langs], pa.list_(pa.string())),
                     "words": pa.array([counts], pa.list_(pa.int64())),
-                    "sample": pa.array([_codes(*picked)], pa.list_(pa.int64())),
+                    "sample": _one_list(pa.array(_codes(*picked))),
                     "runs": pa.array([len(grams.counts)], pa.int64()),
                 }
             )
@@ -156,6 +159,10 @@ class _Collector:
         self.__init__(self.limit, self.every)
 
 
+def _one_list(values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
 def _packed(names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     raw = [n.encode() for n in names]
     ends = np.cumsum([len(r) for r in raw]).astype(np.int64)
@@ -180,22 +187,22 @@ def _cut(batches, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
             g = whole.grams()
             keys = [whole.hashes(c) for c in g[:3]]
             of = np.searchsorted(bounds, _codes(*keys), side="right")
-            edges = np.append(np.flatnonzero(np.append(True, of[1:] != of[:-1])), len(of)) if len(of) else np.zeros(1, int)
-            out: dict[str, list] = {"range": [], "blob": [], "labels": [], "names": []}
-            for a, b in zip(edges[:-1], edges[1:]):
-                single = a + np.flatnonzero(g.second[a:b] == 0)
-                out["range"].append(int(of[a]))
-                out["blob"].append(of_hashes(*(k[a:b] for k in keys), g.counts[a:b]).to_bytes())
-                out["labels"].append(keys[0][single].view(np.int64))
-                out["names"].append(names.take(pa.array(g.first[single] - 1)))
+            if not len(of):
+                continue
+            edges = np.append(np.flatnonzero(np.append(True, of[1:] != of[:-1])), len(of))
+            blobs = [
+                restricted(whole, Grams(*(c[a:b] for c in g))).to_bytes() for a, b in zip(edges[:-1], edges[1:])
+            ]
+            single = np.flatnonzero(g.second == 0)
+            upto = pa.array(np.searchsorted(single, edges).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(out["range"], pa.int32()),
-                    pa.array(out["blob"], pa.binary()),
-                    pa.array(out["labels"], pa.list_(pa.int64())),
-                    pa.array([n.to_pylist() for n in out["names"]], pa.list_(pa.string())),
+                    pa.array(of[edges[:-1]].astype(np.int32)),
+                    pa.array(blobs, pa.binary()),
+                    pa.ListArray.from_arrays(upto, pa.array(keys[0][single].view(np.int64))),
+                    pa.ListArray.from_arrays(upto, names.take(pa.array(g.first[single] - 1))),
                 ],
-                names=list(out),
+                names=["range", "blob", "labels", "names"],
             )
 
 
@@ -212,8 +219,8 @@ def _unite(least: int):
             {
                 "range": table.column("range").slice(0, 1).combine_chunks(),
                 "blob": pa.array([whole.to_bytes()], pa.binary()),
-                "labels": pa.array([single.view(np.int64)], pa.list_(pa.int64())),
-                "names": pa.array([names.take(pa.array(at)).to_pylist()], pa.list_(pa.string())),
+                "labels": _one_list(pa.array(single.view(np.int64))),
+                "names": _one_list(names.take(pa.array(at))),
             }
         )
 

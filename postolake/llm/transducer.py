@@ -87,17 +87,39 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(change), n)
 
 
+def _sort_keys(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray | None:
+    """One sortable key for each n-gram, if three numbers fit."""
+    if max((int(c.max()) for c in (first, second, third) if len(c)), default=0) >= 1 << ID_BITS:
+        return None
+    key = first.astype(np.uint64)
+    for column in (second, third):
+        key <<= np.uint64(ID_BITS)
+        key |= column.astype(np.uint64)
+    return key
+
+
+def counted(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> Grams:
+    """Sorted distinct n-grams and how often each occurs."""
+    key = _sort_keys(first, second, third)
+    if key is None:
+        return summed(first, second, third, np.ones(len(first), dtype=np.int64))
+    key.sort()
+    at = _runs(key)
+    head = key[at[:-1]]
+    mask = np.uint64((1 << ID_BITS) - 1)
+    parts = [(head >> np.uint64(ID_BITS * k) & mask).astype(np.int64) for k in (2, 1, 0)]
+    return Grams(*parts, np.diff(at))
+
+
 def summed(first: np.ndarray, second: np.ndarray, third: np.ndarray, counts: np.ndarray) -> Grams:
     """Sorted distinct n-grams of unsorted ones, counts added."""
-    columns = (first, second, third)
-    top = max((int(c.max()) for c in columns if len(c)), default=0)
-    if top < 1 << ID_BITS:
-        key = (first.astype(np.uint64) << np.uint64(2 * ID_BITS)) | (second.astype(np.uint64) << np.uint64(ID_BITS)) | third.astype(np.uint64)
+    key = _sort_keys(first, second, third)
+    if key is not None:
         order = np.argsort(key, kind="stable")
         at = _runs(key[order])
     else:
         order = np.lexsort((third, second, first))
-        at = _runs(*(c[order] for c in columns))
+        at = _runs(*(c[order] for c in (first, second, third)))
     head = order[at[:-1]]
     sums = np.add.reduceat(counts[order], at[:-1]) if len(head) else counts[:0]
     return Grams(first[head], second[head], third[head], sums)
@@ -232,19 +254,29 @@ def of_hashes(first: np.ndarray, second: np.ndarray, third: np.ndarray, counts:
     return CountTransducer.build(symbols, summed(*numbers, counts))
 
 
+def restricted(whole: CountTransducer, grams: Grams) -> CountTransducer:
+    """Transducer of some of the n-grams of ``whole``, with just the symbols they use."""
+    used = np.zeros(len(whole.symbols) + 1, dtype=bool)
+    for column in grams[:3]:
+        used[column] = True
+    used[0] = False
+    number = np.cumsum(used) * used
+    return CountTransducer.build(whole.symbols[used[1:]], Grams(*(number[c] for c in grams[:3]), grams.counts))
+
+
 def union(parts: list[CountTransducer], least: int = 1) -> CountTransducer:
     """One transducer of all parts, counts of equal n-grams added; those below ``least`` are left out.
 
     A beginning is at least as frequent as what it begins, so leaving out by
     count never cuts a kept n-gram off its beginnings.
     """
+    symbols = np.unique(np.concatenate([t.symbols for t in parts]))
     columns = []
     for t in parts:
+        number = np.concatenate([[0], np.searchsorted(symbols, t.symbols) + 1])
         g = t.grams()
-        columns.append((t.hashes(g.first), t.hashes(g.second), t.hashes(g.third), g.counts))
-    whole = of_hashes(*(np.concatenate(c) for c in zip(*columns)))
-    if least <= 1:
-        return whole
-    g = whole.grams()
-    keep = g.counts >= least
-    return of_hashes(*(whole.hashes(c[keep]) for c in g[:3]), g.counts[keep])
+        columns.append((number[g.first], number[g.second], number[g.third], g.counts))
+    grams = summed(*(np.concatenate(c) for c in zip(*columns)))
+    keep = grams.counts >= least
+    kept = Grams(*(c[keep] for c in grams))
+    return restricted(CountTransducer(symbols, []), kept)
