@@ -4,12 +4,13 @@ Every language has its own statistics (null languages are ``und``). Texts are
 lower-cased (A-Z), cut into pieces at ``[.,;:!?\\x0A-\\x0D]`` and those into words
 ``[^\\x20\\x09]+``; an occurrence of a phrase lies within one piece.
 
-1. Shards: each task turns about ``SHARD_TOKENS`` words at a time into a count
-   transducer (``transducer.py``) of their runs of one to three words.
-2. Union: the order of runs is cut into prefix ranges holding about
-   ``RANGE_RUNS`` entries each (bounds from every 1,024th entry of every shard;
-   a crowded first word or pair is cut further by its next words). Each shard is
-   cut at those bounds, and each range's parts are united with counts added. Runs
+1. Bounds: the order of runs is cut into prefix ranges of about ``RANGE_RUNS``
+   occurrences each, by the runs at every 1,024th word of all texts; a crowded
+   first word or pair is cut further by its next words. The bounds only deal out
+   work.
+2. Shards: each task turns about ``SHARD_TOKENS`` words at a time into a count
+   transducer (``transducer.py``) of their runs of one to three words, and cuts it
+   at the bounds; each range's parts are united with counts added. Runs
    below the least count are dropped there: parts of a candidate are at least as
    frequent as it is, so no count that a score needs is lost.
 3. Part lookups: a range asks for the distinct parts of its candidates; the range
@@ -45,14 +46,14 @@ TOP = 2000
 CONTAINED_PERCENT = 50
 SCALE = 1_000_000
 SHARD_TOKENS = 1 << 19
-RANGE_RUNS = 1 << 20
+RANGE_RUNS = 1 << 21
 SAMPLE_EVERY = 1024
 SALTS = 64
 
 BREAKS = ~tv._class([*b".,;:!?", *range(0x0A, 0x0E)])
 WORDS = tv._class([0x20, 0x09, *b".,;:!?", *range(0x0A, 0x0E)])
 
-SHARD = "blob binary, names array<string>, langs array<string>, words array<long>, sample array<long>, runs long"
+SAMPLE = "langs array<string>, words array<long>, sample array<long>"
 PART = "range int, blob binary, labels array<long>, names array<string>"
 
 
@@ -92,71 +93,77 @@ def _codes(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarr
 
 
 class _Collector:
-    """Words of texts, gathered until they make a shard."""
+    """Labels of the words of texts and which are followed by another of their piece, gathered until they make a shard."""
 
-    def __init__(self, shard_tokens: int, sample_every: int):
-        self.limit, self.every = shard_tokens, sample_every
+    def __init__(self):
         self.labels: list[np.ndarray] = []
         self.joined: list[np.ndarray] = []
         self.known: list[np.ndarray] = []  # labels, and the word and language of each
         self.names: list[pa.Array] = []
-        self.counts: dict[str, int] = {}
         self.size = 0
 
-    def add(self, batch: pa.RecordBatch) -> None:
-        offsets, data = tv.utf8(batch.column("text"))
-        data = tv.FOLD[data]
-        tokens = tv.tokenize(offsets, data, WORDS)
-        if not len(tokens.hashes):
-            return
-        owner = tv.owners(tokens.offsets)
-        langs = batch.column("lang").dictionary_encode()
-        code = langs.indices.to_numpy()
-        names = langs.dictionary.to_pylist()
-        salt = tv.mix(tv.span_hashes(*_packed(names)) + tv._GOLD)  # not the hash a word of that name has
-        labels = tv.mix(tokens.hashes ^ salt[code[owner]])
-        labels[labels == 0] = 1
-        passed = np.cumsum(BREAKS[data])[tokens.starts]
-        joined = np.zeros(len(labels), dtype=bool)
-        joined[:-1] = (owner[1:] == owner[:-1]) & (passed[1:] == passed[:-1])
-        self.labels.append(labels)
-        self.joined.append(joined)
-        self.size += len(labels)
-        distinct, at = np.unique(labels, return_index=True)
+    def add(self, words: _Words) -> None:
+        self.labels.append(words.labels)
+        self.joined.append(words.joined)
+        self.size += len(words.labels)
+        distinct, at = np.unique(words.labels, return_index=True)
         order = np.argsort(at)
-        words = _named(data, tokens.starts[at[order]], tokens.ends[at[order]])
-        of = langs.dictionary.take(pa.array(code[owner[at[order]]])).cast(pa.large_string())
         self.known.append(distinct[order])
-        self.names.append(pa.compute.binary_join_element_wise(words, of, pa.scalar("\t", pa.large_string())))
-        for lang, n in enumerate(np.bincount(code[owner], minlength=len(names)).tolist()):
-            self.counts[names[lang]] = self.counts.get(names[lang], 0) + n
-
-    def shards(self) -> Iterator[pa.RecordBatch]:
-        if not self.size:
-            return
-        labels, joined = np.concatenate(self.labels), np.concatenate(self.joined)
-        known, at = np.unique(np.concatenate(self.known), return_index=True)
-        names = pa.concat_arrays(self.names).take(pa.array(at))
-        langs, counts = list(self.counts), list(self.counts.values())
-        for start in range(0, len(labels), self.limit):
-            own = min(self.limit, len(labels) - start)
-            stop = start + own + 2
-            made = _shard(labels[start:stop], joined[start:stop], own)
-            grams = made.grams()
-            picked = [made.hashes(c[:: self.every]) for c in grams[:3]]
-            here = names.take(pa.array(np.searchsorted(known, made.symbols)))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "blob": pa.array([made.to_bytes()], pa.binary()),
-                    "names": _one_list(here.cast(pa.string())),
-                    "langs": pa.array([langs], pa.list_(pa.string())),
-                    "words": pa.array([counts], pa.list_(pa.int64())),
-                    "sample": _one_list(pa.array(_codes(*picked))),
-                    "runs": pa.array([len(grams.counts)], pa.int64()),
-                }
-            )
-            langs, counts = [], []
-        self.__init__(self.limit, self.every)
+        self.names.append(words.named(at[order]))
+
+
+class _Words:
+    """Labels of the words of some texts."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        offsets, data = tv.utf8(batch.column("text"))
+        self.data = tv.FOLD[data]
+        self.tokens = tv.tokenize(offsets, self.data, WORDS)
+        self.owner = tv.owners(self.tokens.offsets)
+        langs = batch.column("lang").dictionary_encode()
+        self.langs, self.code = langs.dictionary, langs.indices.to_numpy()
+        # not the hash a word of that name has
+        salt = tv.mix(tv.span_hashes(*_packed(self.langs.to_pylist())) + tv._GOLD)
+        self.labels = tv.mix(self.tokens.hashes ^ salt[self.code[self.owner]])
+        self.labels[self.labels == 0] = 1
+        self.joined = np.zeros(len(self.labels), dtype=bool)
+        if len(self.labels):
+            passed = np.cumsum(BREAKS[self.data])[self.tokens.starts]
+            self.joined[:-1] = (self.owner[1:] == self.owner[:-1]) & (passed[1:] == passed[:-1])
+
+    def named(self, at: np.ndarray) -> pa.Array:
+        """Word and language of the tokens at ascending places."""
+        words = _named(self.data, self.tokens.starts[at], self.tokens.ends[at])
+        of = self.langs.take(pa.array(self.code[self.owner[at]])).cast(pa.large_string())
+        return pa.compute.binary_join_element_wise(words, of, pa.scalar("\t", pa.large_string()))
+
+    def counts(self) -> dict[str, int]:
+        per = np.bincount(self.code[self.owner], minlength=len(self.langs)).tolist()
+        return dict(zip(self.langs.to_pylist(), per))
+
+
+def _samples(batches, every: int) -> Iterator[pa.RecordBatch]:
+    """Words of each language, and codes of the runs at every so many words."""
+    counts: dict[str, int] = {}
+    for batch in tv.text_chunks(batches, "text"):
+        words = _Words(batch)
+        for lang, n in words.counts().items():
+            counts[lang] = counts.get(lang, 0) + n
+        n = len(words.labels)
+        at = np.arange(0, n, every)
+        none = np.zeros(len(at), dtype=np.uint64)
+        ahead = np.concatenate([words.labels, np.zeros(2, dtype=np.uint64)])
+        two = words.joined[at] if n else np.zeros(0, dtype=bool)
+        three = two & np.append(words.joined, False)[at + 1]
+        first, second, third = words.labels[at], np.where(two, ahead[at + 1], none), np.where(three, ahead[at + 2], none)
+        codes = [_codes(first, none, none), _codes(first, second, none)[two], _codes(first, second, third)[three]]
+        yield _sample_row([], [], np.concatenate(codes))
+    yield _sample_row(list(counts), list(counts.values()), np.zeros(0, dtype=np.int64))
+
+
+def _sample_row(langs: list[str], words: list[int], codes: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([langs], pa.list_(pa.string())), pa.array([words], pa.list_(pa.int64())), _one_list(pa.array(codes))]
+    return pa.RecordBatch.from_arrays(columns, names=["langs", "words", "sample"])
 
 
 def _one_list(values: pa.Array) -> pa.Array:
@@ -169,41 +176,43 @@ def _packed(names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(raw), dtype=np.uint8), ends - [len(r) for r in raw], ends
 
 
-def _shards(batches, shard_tokens: int, sample_every: int) -> Iterator[pa.RecordBatch]:
-    held = _Collector(shard_tokens, sample_every)
+def _parts_of_shards(batches, bounds: np.ndarray, shard_tokens: int) -> Iterator[pa.RecordBatch]:
+    """Transducers of shards, cut at the bounds of the ranges."""
+    held = _Collector()
     for batch in tv.text_chunks(batches, "text"):
-        held.add(batch)
+        held.add(_Words(batch))
         if held.size >= shard_tokens:
-            yield from held.shards()
-    yield from held.shards()
-
-
-def _cut(batches, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Each shard's transducer cut at the bounds of the ranges."""
-    for batch in batches:
-        for row in range(batch.num_rows):
-            whole = CountTransducer.from_bytes(batch.column("blob")[row].as_py())
-            names = batch.column("names")[row].values
-            g = whole.grams()
-            keys = [whole.hashes(c) for c in g[:3]]
-            of = np.searchsorted(bounds, _codes(*keys), side="right")
-            if not len(of):
-                continue
-            edges = np.append(np.flatnonzero(np.append(True, of[1:] != of[:-1])), len(of))
-            blobs = [
-                restricted(whole, Grams(*(c[a:b] for c in g))).to_bytes() for a, b in zip(edges[:-1], edges[1:])
-            ]
-            single = np.flatnonzero(g.second == 0)
-            upto = pa.array(np.searchsorted(single, edges).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(of[edges[:-1]].astype(np.int32)),
-                    pa.array(blobs, pa.binary()),
-                    pa.ListArray.from_arrays(upto, pa.array(keys[0][single].view(np.int64))),
-                    pa.ListArray.from_arrays(upto, names.take(pa.array(g.first[single] - 1))),
-                ],
-                names=["range", "blob", "labels", "names"],
-            )
+            yield from _cut(held, bounds, shard_tokens)
+            held = _Collector()
+    yield from _cut(held, bounds, shard_tokens)
+
+
+def _cut(held: _Collector, bounds: np.ndarray, shard_tokens: int) -> Iterator[pa.RecordBatch]:
+    if not held.size:
+        return
+    labels, joined = np.concatenate(held.labels), np.concatenate(held.joined)
+    known, at = np.unique(np.concatenate(held.known), return_index=True)
+    every_name = pa.concat_arrays(held.names).take(pa.array(at))
+    for start in range(0, len(labels), shard_tokens):
+        own = min(shard_tokens, len(labels) - start)
+        whole = _shard(labels[start : start + own + 2], joined[start : start + own + 2], own)
+        names = every_name.take(pa.array(np.searchsorted(known, whole.symbols))).cast(pa.string())
+        g = whole.grams()
+        keys = [whole.hashes(c) for c in g[:3]]
+        of = np.searchsorted(bounds, _codes(*keys), side="right")
+        edges = np.append(np.flatnonzero(np.append(True, of[1:] != of[:-1])), len(of))
+        blobs = [restricted(whole, Grams(*(c[a:b] for c in g))).to_bytes() for a, b in zip(edges[:-1], edges[1:])]
+        single = np.flatnonzero(g.second == 0)
+        upto = pa.array(np.searchsorted(single, edges).astype(np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(of[edges[:-1]].astype(np.int32)),
+                pa.array(blobs, pa.binary()),
+                pa.ListArray.from_arrays(upto, pa.array(keys[0][single].view(np.int64))),
+                pa.ListArray.from_arrays(upto, names.take(pa.array(g.first[single] - 1))),
+            ],
+            names=["range", "blob", "labels", "names"],
+        )
 
 
 def _unite(least: int):
@@ -399,17 +408,17 @@ def mine_phrases(
     """
     every = max(1, min(SAMPLE_EVERY, range_runs // 64))
     texts = docs.select(F.col(text_col).cast("string").alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"))
-    shards = written(texts.mapInArrow(lambda b: _shards(b, shard_tokens, every), SHARD), "phrase-shards")
-    runs = shards.agg(F.sum("runs")).first()[0] or 0
+    seen = written(texts.mapInArrow(lambda b: _samples(b, every), SAMPLE), "phrase-samples")
+    runs = (seen.agg(F.sum(F.size("sample").cast("long"))).first()[0] or 0) * every
     ranges = max(1, -(-runs // range_runs))
     bounds = np.zeros(0, dtype=np.int64)
     if ranges > 1:
         shares = ",".join(str(k / ranges) for k in range(1, ranges))
         cuts = f"percentile_approx(code, array({shares}), {max(10000, 20 * ranges)})"
-        sample = shards.select(F.explode("sample").alias("code"))
+        sample = seen.select(F.explode("sample").alias("code"))
         bounds = np.unique(np.array(sample.agg(F.expr(cuts)).first()[0], dtype=np.int64))
 
-    parts = shards.select("blob", "names").mapInArrow(lambda b: _cut(b, bounds), PART)
+    parts = texts.mapInArrow(lambda b: _parts_of_shards(b, bounds, shard_tokens), PART)
     held = written(parts.groupBy("range").applyInArrow(_unite(least), PART), "phrase-ranges")
     asked = held.select("range", "blob").mapInArrow(
         lambda b: _requests(b, bounds), "to int, of int, p1 long, p2 long, cover long"
@@ -439,7 +448,7 @@ def mine_phrases(
     best = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
     best = best.where(F.col("rank") <= top)
     totals = (
-        shards.select(F.explode(F.arrays_zip("langs", "words")).alias("x"))
+        seen.select(F.explode(F.arrays_zip("langs", "words")).alias("x"))
         .groupBy(F.col("x.langs").alias("lang"))
         .agg(F.sum("x.words").alias("n"))
     )
