@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import written
+from .scratch import numbered_columns, written
 
 WINDOW = 13
 GRAM = 5
@@ -214,17 +214,17 @@ def contamination(
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` less its contaminated rows; all columns stay."""
-    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
+    """``docs`` less its contaminated rows; all columns stay, whatever their names."""
+    plain, names = numbered_columns(docs)
+    id_col, text_col = names[options.get("id_col", "doc_id")], names[options.get("text_col", "text")]
     bad = (
-        contamination(docs, benchmark, **options)
+        contamination(plain, benchmark, **options | {"id_col": id_col, "text_col": text_col})
         .where("contaminated")
         .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
         .distinct()
     )
-    return docs.join(
-        bad, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash")), "left_anti"
-    )
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash"))
+    return plain.join(bad, same, "left_anti").toDF(*docs.columns)
 
 
 ORACLE = r"""

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .scratch import id_bitmap, in_bitmap, written
+from .scratch import id_bitmap, in_bitmap, numbered_columns, written
 from .setjoin import Links, ratio, components, group_runs, verify_components, with_blocks
 
 RARITY_BITS = 20
@@ -309,14 +309,21 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
     """All rows and columns of ``docs`` plus ``removed`` (array of line numbers, maybe empty).
 
     The text keeps its other lines in order, joined by line feeds; a text that
-    loses every line becomes empty, a null text stays null.
+    loses every line becomes empty, a null text stays null. Other columns may have
+    any name; where one is called ``removed``, the new last column gets underscores
+    until its name is free.
     """
-    gone = removed_lines(docs, threshold, id_col, text_col).select(
+    added = "removed"
+    while added in docs.columns:
+        added += "_"
+    plain, names = numbered_columns(docs)
+    id_col, text_col = names[id_col], names[text_col]
+    gone = removed_lines(plain, threshold, id_col, text_col).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("lines").alias("_lines")
     )
     text = F.col(text_col)
     # the small side is hashed, so texts are shuffled but not sorted
-    joined = docs.join(
+    joined = plain.join(
         gone.hint("shuffle_hash"),
         F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash")) & text.isNotNull(),
         "left",
@@ -325,6 +332,7 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
     kept = F.transform(F.filter(numbered, lambda e: ~F.array_contains(F.col("_lines"), e["k"])), lambda e: e["x"])
     columns = [
         (F.when(F.col("_lines").isNull(), text).otherwise(F.array_join(kept, "\n")).alias(c) if c == text_col else F.col(f"`{c}`"))
-        for c in docs.columns
+        for c in plain.columns
     ]
-    return joined.select(*columns, F.coalesce("_lines", F.array().cast("array<int>")).alias("removed"))
+    found = joined.select(*columns, F.coalesce("_lines", F.array().cast("array<int>")).alias("removed"))
+    return found.toDF(*docs.columns, added)

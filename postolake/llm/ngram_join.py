@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .scratch import id_bitmap, in_bitmap, written
+from .scratch import id_bitmap, in_bitmap, numbered_columns, written
 from .setjoin import Links, components, group_offsets, group_runs, verify_components, with_blocks
 
 SHINGLE = 5
@@ -286,9 +286,11 @@ def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
 
     A class whose ids are all null keeps one of its rows; texts without words
     all stay. Where several rows carry the smallest id of a class, one stays.
+    Other columns may have any name.
     """
-    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    judged = written(classes_of_texts(docs, **options).where("class is not null"), "ngram-judged")
+    plain, names = numbered_columns(docs)
+    id_col, text_col = names[options.get("id_col", "doc_id")], names[options.get("text_col", "text")]
+    judged = written(classes_of_texts(plain, **options | {"id_col": id_col, "text_col": text_col}).where("class is not null"), "ngram-judged")
     stays = F.col("doc_id").eqNullSafe(F.col("class_id"))
     crowd = judged.where(stays).groupBy("class").count().where("count > 1").select("class")
     several = judged.where(stays).join(crowd, "class").select("doc_id", "text_hash", "class").distinct()
@@ -298,6 +300,6 @@ def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
         return frame.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash", "class": "_class"}).hint("shuffle_hash")
 
     same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash"))
-    single = docs.join(keyed(away.unionByName(several.drop("class"))), same, "left_anti")
-    doubles = docs.join(keyed(several), same).dropDuplicates(["_class"]).select(*(docs[c] for c in docs.columns))
-    return single.unionByName(doubles)
+    single = plain.join(keyed(away.unionByName(several.drop("class"))), same, "left_anti")
+    doubles = plain.join(keyed(several), same).dropDuplicates(["_class"]).select(*plain.columns)
+    return single.unionByName(doubles).toDF(*docs.columns)

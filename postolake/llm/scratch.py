@@ -38,6 +38,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered_columns(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns ``c0, c1, ...``, which clash with no operator's names, and the new name of each."""
+    names = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def id_bitmap(ids: DataFrame, column: str, bits: int) -> np.ndarray:
     """Bit array of ``2**bits`` positions with the bit of every id set.
 
