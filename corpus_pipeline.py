@@ -35,8 +35,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     prepare(spark)
     deduped = dedup_lines(docs)
-    deduped = deduped.where((F.size("removed") == 0) | F.col("text").rlike(_WORD))
-    kept = [F.length("text").cast("long").alias("n_chars") if c == "n_chars" else c for c in docs.columns]
+    removed = F.col(f"`{deduped.columns[-1]}`")
+    deduped = deduped.where((F.size(removed) == 0) | F.col("text").rlike(_WORD))
+    kept = [F.length("text").cast("long").alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
     return deduped.select(*kept)
 
 
