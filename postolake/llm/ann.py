@@ -7,11 +7,16 @@ queries are scaled to norm M, which turns the largest inner product into the
 smallest distance. A shard projects its vectors on ``PROJECTIONS`` random lines
 and sorts each projection; every sorted array is cut into 256 base buckets of
 equal size. A query opens a window centred on its own projection in every array;
-as long as fewer than ``SPARE`` * k + 1 + ``VERIFIED`` * shard vectors collide with it in at
+as long as fewer than ``SPARE`` * k + 1 + a share of the shard's vectors collide with it in at
 least ``COLLISIONS`` of the arrays, the windows widen by ``WIDEN`` (virtual
 rehashing: neighbouring base buckets merge). All vectors above the threshold are
 then scored exactly in double precision, and the best k of all shards are kept.
-tests/llm/test_ann.py measures recall against brute force.
+
+How many arrays and which share a shard needs depends on its vectors: clustered
+ones give up their neighbours early, unclustered wide ones hardly differ in
+distance. So up to ``TRIALS`` of its queries are first answered exactly, and of
+``PLANS`` (cheapest first) a binary search takes the first that finds ``RECALL``
+of their neighbours; it serves all queries. tests/llm/test_ann.py measures recall against brute force.
 
 Vectors that are null, all zero, or hold a null, NaN or infinite component take
 no part, nor do rows without id. Rows with equal id are one vector (the largest
@@ -31,7 +36,10 @@ from .setjoin import group_offsets, group_runs
 
 PROJECTIONS = 96
 COLLISIONS = 0.75
-VERIFIED = 0.2
+#: (share of the lines, share of the vectors)
+PLANS = ((0.5, 0.02), (0.5, 0.05), (1.0, 0.05), (1.0, 0.1), (1.0, 0.2), (1.0, 0.4), (1.0, 0.7), (1.0, 0.9))
+RECALL = 0.96
+TRIALS = 24
 WIDEN = 1.1
 SHARD_ROWS = 8192
 QUERY_ROWS = 4096
@@ -69,22 +77,23 @@ class _Shard:
         spread = projected.std(axis=0).mean()
         self.base = 0.5 * spread if spread > 0 else 1.0
 
-    def colliding(self, queries: np.ndarray, wanted: int, threshold: int, widen: float) -> np.ndarray:
-        """Boolean (query, vector): at least ``threshold`` collisions at the query's final radius.
+    def colliding(self, queries: np.ndarray, lines: int, wanted: int, threshold: int, widen: float) -> np.ndarray:
+        """Boolean (query, vector): at least ``threshold`` collisions on the first ``lines`` at the query's final radius.
 
         A pilot on every 16th vector finds the radius at which the windows
         start on the whole shard.
         """
+        codes = self.codes[:lines]
         queries = queries / np.abs(queries).max(axis=1, keepdims=True)
         norms = np.sqrt((queries * queries).sum(axis=1, keepdims=True))
-        centre = (queries * (self.norm / norms)) @ self.lines[:-1]
+        centre = (queries * (self.norm / norms)) @ self.lines[:-1, :lines]
         radius = np.full(len(queries), self.base)
-        pilot = self.codes[:, ::_PILOT]
+        pilot = codes[:, ::_PILOT]
         if pilot.shape[1] >= 64:
-            share = int(wanted * pilot.shape[1] / self.codes.shape[1])
+            share = int(wanted * pilot.shape[1] / codes.shape[1])
             radius, _ = self._widened(np.ascontiguousarray(pilot), centre, radius, share, threshold, widen)
             radius /= widen**0.5
-        return self._widened(self.codes, centre, radius, wanted, threshold, widen**0.5)[1]
+        return self._widened(codes, centre, radius, wanted, threshold, widen**0.5)[1]
 
     def _widened(self, codes, centre, radius, wanted, threshold, widen):
         last = self.edges.shape[1] - 2
@@ -115,26 +124,53 @@ class _Shard:
         return radius, out
 
 
+def _best(ids: np.ndarray, at: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best rows of ``at`` and their scores, ties to the smaller id."""
+    if len(at) > k:
+        keep = score >= np.partition(score, len(at) - k)[len(at) - k]
+        at, score = at[keep], score[keep]
+    order = np.lexsort((ids[at], -score))[:k]
+    return at[order], score[order]
+
+
+def _plan(shard: _Shard, ids, vectors, query_ids, queries, k: int, p: dict) -> tuple[int, int, int]:
+    """(lines, wanted, threshold) of the first plan that finds enough neighbours of the trial queries."""
+    rows = np.unique(np.linspace(0, len(queries) - 1, min(TRIALS, len(queries))).astype(int))
+    exact = []
+    for q in rows:
+        others = np.flatnonzero(ids != query_ids[q])
+        exact.append(_best(ids, others, vectors[others] @ queries[q], k)[0])
+    total = sum(len(x) for x in exact)
+    low, high = 0, len(PLANS) - 1  # the last plan is taken untried
+    while low < high:
+        middle = (low + high) // 2
+        close = shard.colliding(queries[rows], *_sized(PLANS[middle], len(ids), k, p), p["widen"])
+        if sum(close[i][x].sum() for i, x in enumerate(exact)) >= p["recall"] * total:
+            high = middle
+        else:
+            low = middle + 1
+    return _sized(PLANS[low], len(ids), k, p)
+
+
+def _sized(plan: tuple[float, float], n: int, k: int, p: dict) -> tuple[int, int, int]:
+    lines = max(1, int(np.ceil(plan[0] * p["projections"])))
+    return lines, min(n, int(np.ceil(SPARE * k + 1 + plan[1] * n))), max(1, int(np.ceil(p["collisions"] * lines)))
+
+
 def _nearest_in(ids, vectors, query_ids, queries, k, p):
     """(query row, id, score) of the best k colliding vectors of a shard for each query."""
     shard = _Shard(vectors, p["projections"], p["seed"])
-    wanted = min(len(ids), int(np.ceil(SPARE * k + 1 + p["verified"] * len(ids))))
-    threshold = max(1, int(np.ceil(p["collisions"] * p["projections"])))
+    plan = _plan(shard, ids, vectors, query_ids, queries, k, p)
     rows, found, scores = [], [], []
     for s in range(0, len(queries), _AT_ONCE):
         block = queries[s : s + _AT_ONCE]
-        close = shard.colliding(block, wanted, threshold, p["widen"])
+        close = shard.colliding(block, *plan, p["widen"])
         for q in range(len(block)):
             at = np.flatnonzero(close[q] & (ids != query_ids[s + q]))
-            score = vectors[at] @ block[q]
-            if len(at) > k:
-                floor = np.partition(score, len(at) - k)[len(at) - k]
-                keep = score >= floor
-                at, score = at[keep], score[keep]
-            order = np.lexsort((ids[at], -score))[:k]
-            rows.append(np.full(len(order), s + q))
-            found.append(ids[at[order]])
-            scores.append(score[order])
+            at, score = _best(ids, at, vectors[at] @ block[q], k)
+            rows.append(np.full(len(at), s + q))
+            found.append(ids[at])
+            scores.append(score)
     return np.concatenate(rows), np.concatenate(found), np.concatenate(scores)
 
 
@@ -176,7 +212,7 @@ def nearest(
     vector_col: str = "embedding",
     projections: int = PROJECTIONS,
     collisions: float = COLLISIONS,
-    verified: float = VERIFIED,
+    recall: float = RECALL,
     widen: float = WIDEN,
     shard_rows: int = SHARD_ROWS,
     query_rows: int = QUERY_ROWS,
@@ -211,7 +247,7 @@ def nearest(
     data = data.withColumn("block", spread(blocks))
     asks = marked.where("is_query").withColumn("block", deal(blocks)).withColumn("shard", spread(shards))
     dealt = data.select(columns).unionByName(asks.select(columns))
-    options = {"projections": projections, "collisions": collisions, "verified": verified, "widen": widen, "seed": seed}
+    options = {"projections": projections, "collisions": collisions, "recall": recall, "widen": widen, "seed": seed}
     local = (
         dealt.repartition(4 * shards * blocks, "shard", "block")
         .sortWithinPartitions("shard", "block", "is_query", "id")

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from postolake.llm import ann
 from postolake.llm.ann import nearest
 
 VECTORS = "vec_id long, embedding array<float>, label int"
@@ -77,6 +79,33 @@ def test_recall_of_unclustered_vectors_of_many_norms(spark):
     _recall_on_a_full_shard(spark, data, 0.9)
 
 
+def _one_shard(data, k=20):
+    """(recall, share of the vectors scored) of every 20th row's search in one shard, without Spark."""
+    ids, asks = np.arange(len(data)), np.arange(0, len(data), 20)
+    p = {"projections": ann.PROJECTIONS, "collisions": ann.COLLISIONS, "widen": ann.WIDEN, "recall": ann.RECALL, "seed": ann.SEED}
+    row, found, _ = ann._nearest_in(ids, data, asks, data[asks], k, p)
+    hit = 0
+    for q in range(len(asks)):
+        score = data @ data[asks[q]]
+        score[asks[q]] = -np.inf
+        hit += len(set(found[row == q]) & set(np.argsort(-score)[:k]))
+    shard = ann._Shard(data, p["projections"], p["seed"])
+    plan = ann._plan(shard, ids, data, asks, data[asks], k, p)
+    return hit / (k * len(asks)), shard.colliding(data[asks[:64]], *plan, p["widen"]).mean()
+
+
+@pytest.mark.parametrize("width", [64, 384])
+def test_recall_of_wide_unclustered_vectors(width):
+    assert _one_shard(np.random.default_rng(3).standard_normal((8192, width)))[0] >= 0.9
+
+
+def test_few_clustered_vectors_are_scored():
+    rng = np.random.default_rng(4)
+    data = rng.standard_normal((50, 64))[rng.integers(0, 50, 8192)] + 0.7 * rng.standard_normal((8192, 64))
+    recall, share = _one_shard(data / np.linalg.norm(data, axis=1)[:, None])
+    assert recall >= 0.9 and share <= 0.05
+
+
 def test_norms_at_the_ends_of_double(spark):
     frame = spark.createDataFrame([(0, [1e300, 1e300]), (1, [-1e300, 1e-300]), (2, [1e-320, 0.0]), (3, [0.5, 0.0])], "vec_id long, embedding array<double>")
     got = nearest(frame, F.col("id") == 3).orderBy("rank").collect()
