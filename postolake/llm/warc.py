@@ -4,8 +4,9 @@
 metadata records and stores them with Spark's text writer, so files appear by
 Spark's commit protocol and a lost executor leaves no partial archive. The
 record separator of two CRLF is the writer's line separator. Archives are gzip
-files of at most ``RECORDS_PER_FILE`` records, which bounds what a reading task
-holds.
+files. Captures are written by classes of payload size, each class with so many
+records a file that its payloads stay within ``ARCHIVE_BYTES``; a larger payload
+has an archive of its own. That bounds what a reading task holds.
 
 ``read_records`` parses archives by Content-Length; ``transactions`` joins
 request and metadata records to their response or revisit through
@@ -34,7 +35,10 @@ from pyspark.sql import functions as F
 from ..session import shared_work_dir
 from .scratch import written
 
+ARCHIVE_BYTES = 64 << 20
 RECORDS_PER_FILE = 6000
+_RECORDS_A_CAPTURE = 3
+_CLASS = 8
 _CRLF = "\r\n"
 _END = b"\r\n\r\n"
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -149,15 +153,37 @@ def _records(classified: DataFrame, date: str) -> DataFrame:
 
 
 def write_archives(
-    captures: DataFrame, path: str, min_bytes: int = 0, date: str = "2020-01-01T00:00:00Z", records_per_file: int = RECORDS_PER_FILE
+    captures: DataFrame,
+    path: str,
+    min_bytes: int = 0,
+    date: str = "2020-01-01T00:00:00Z",
+    records_per_file: int = RECORDS_PER_FILE,
+    archive_bytes: int = ARCHIVE_BYTES,
 ) -> None:
-    """Write (capture_id, url, payload) as gzip WARC files under ``path``; payload is binary or string."""
+    """Write (capture_id, url, payload) as gzip WARC files under ``path``; payload is binary or string.
+
+    The first class holds payloads of which ``records_per_file`` records fit into
+    ``archive_bytes``, each further one payloads up to ``_CLASS`` times as long,
+    down to one capture a file. Only classes that occur are written.
+    """
     plain = captures.select(
         "capture_id", "url", F.coalesce(F.col("payload").cast("binary"), F.lit(b"")).alias("payload")
     )
-    _records(classify(plain, min_bytes), date).write.options(
-        lineSep=_CRLF * 2, compression="gzip", maxRecordsPerFile=records_per_file
-    ).text(path)
+    counts = [max(1, records_per_file // _RECORDS_A_CAPTURE)]
+    while counts[-1] > 1:
+        counts.append(max(1, counts[-1] // _CLASS))
+    size = F.octet_length("payload")
+    number = F.lit(len(counts) - 1)
+    for k in reversed(range(len(counts) - 1)):
+        number = F.when(size <= archive_bytes // counts[k], F.lit(k)).otherwise(number)
+    # one row a class; an empty table still gets a folder
+    occurring = sorted(r["k"] for r in plain.select(number.alias("k")).distinct().collect()) or [0]
+    records = classify(plain, min_bytes)
+    for k in occurring:
+        mode = "error" if k == occurring[0] else "append"
+        _records(records.where(number == k) if len(occurring) > 1 else records, date).write.mode(mode).options(
+            lineSep=_CRLF * 2, compression="gzip", maxRecordsPerFile=_RECORDS_A_CAPTURE * counts[k]
+        ).text(path)
 
 
 _RECORD = (
@@ -305,12 +331,12 @@ def page_round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     )
     page_id = F.when(F.col("page") != "", F.col("page")).cast("long")
     own = captures.withColumn("page_id", page_id).drop("page")
-    referred = own.where("record_type = 'response'").select(
-        F.col("record_id").alias("target"), F.col("page_id").alias("refers_to")
-    )
-    return own.join(referred.distinct(), "target", "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
-    )
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    responses = own.where("record_type = 'response'")
+    referred = responses.select(F.col("record_id").alias("target"), F.col("page_id").alias("refers_to")).distinct()
+    # responses refer to nothing: joined too, all would meet in the task of the null target
+    revisits = own.where("record_type = 'revisit'").join(referred, "target", "left")
+    return revisits.select(columns).unionByName(responses.withColumn("refers_to", F.lit(None).cast("long")).select(columns))
 
 
 ORACLE = """

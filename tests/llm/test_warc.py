@@ -5,6 +5,8 @@ import gzip
 import hashlib
 
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from postolake.llm import warc
 
@@ -47,6 +49,41 @@ def test_round_trip(spark):
     assert sorted(map(tuple, out.collect()), key=str) == _expected(rows)
 
 
+def test_archives_are_cut_by_bytes(spark, tmp_path):
+    """Short pages share an archive, those of 5 MB have one each, and all come back."""
+    rows = [(k, "u", "s" * (k % 50)) for k in range(200)] + [(1000 + k, "u", chr(97 + k) * 5_000_000) for k in range(3)]
+    rows += [(2000 + k, "u", f"{k:06d}" * 100) for k in range(60)]
+    pages = spark.createDataFrame(rows, PAGES).repartition(2)
+    captures = pages.selectExpr("page_id AS capture_id", "url", "html AS payload")
+    warc.write_archives(captures, f"{tmp_path}/w", archive_bytes=1 << 20)
+    sizes = {}
+    for file in (tmp_path / "w").glob("*.gz"):
+        records = list(warc.parse(file.read_bytes()))
+        names = [r["record_id"] for r in records if r["type"] in ("response", "revisit")]
+        sizes[file.name] = (sum(r["payload_bytes"] for r in records if r["type"] == "response"), len(names))
+        # a capture's records stay together
+        assert sorted(c for r in records for c in r["concurrent_to"]) == sorted(names * 2)
+    assert sum(n for _, n in sizes.values()) == len(rows)
+    assert sorted(s for s, _ in sizes.values())[-3:] == [5_000_000] * 3
+    assert all(s <= 1 << 20 or n == 1 for s, n in sizes.values())
+    assert sorted(map(tuple, warc.page_round_trip(pages).collect()), key=str) == _expected(rows)
+    with pytest.raises(AnalysisException):
+        warc.write_archives(captures, f"{tmp_path}/w")
+
+
+def test_responses_are_spread(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = warc.page_round_trip(spark.createDataFrame([(k, "u", f"page {k}") for k in range(2000)], PAGES))
+        parts = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(parts) == 2000 and max(parts) <= 2 * 2000 / len(parts)
+
+
 def test_min_bytes_and_empty_table(spark):
     rows = [(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcdef"), (4, "u", "abcdef")]
     kinds = {r["page_id"]: r["record_type"] for r in warc.page_round_trip(spark.createDataFrame(rows, PAGES), min_bytes=3).collect()}
