@@ -11,8 +11,12 @@ less than half of what is missing, it takes the overshooting one instead. So
 what is missing halves each round, and the rounds end when no open document
 fits. Last comes the smallest open document where it brings the total nearer.
 
-Only one row per pattern reaches the driver; more than ``MAX_PATTERNS``
-patterns raise an error. The cut of a round in the seeded order is found by two
+One row per pattern reaches the driver. Patterns without a common source do not
+compete, so the flow is solved part by part; a pattern that shares its only
+source with no other takes what its quota asks, without a flow. A connected part
+of more than ``MAX_PATTERNS`` overlapping patterns raises an error; the number of
+sources and parts has no limit. Plans of more than ``BROADCAST_PLAN`` rows are
+joined by shuffles. The cut of a round in the seeded order is found by two
 levels of 256 hash buckets and an exact ranking inside the last bucket, so no
 task holds a source.
 
@@ -34,6 +38,7 @@ from pyspark.sql import functions as F
 from .scratch import written
 
 MAX_PATTERNS = 5000
+BROADCAST_PLAN = 200_000
 MAX_COPIES = 3
 _BUCKETS = 256
 
@@ -122,6 +127,47 @@ def route(capacity: dict[str, int], members: dict[str, list], quotas: dict, copi
     return {key: cap[e ^ 1] for key, e in links.items()}
 
 
+def _code_points(source):
+    return source is None, source or ""
+
+
+def connected_parts(members: dict[str, list]) -> list[list[str]]:
+    """Patterns grouped by shared sources, directly or through others; in order of their first pattern."""
+    root: dict = {}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for pattern in sorted(members):
+        nodes = [("p", pattern), *(("s", s) for s in members[pattern])]
+        for x in nodes:
+            root.setdefault(x, x)
+        for x in nodes[1:]:
+            root[find(x)] = find(nodes[0])
+    parts: dict = {}
+    for pattern in sorted(members):
+        parts.setdefault(find(("p", pattern)), []).append(pattern)
+    return list(parts.values())
+
+
+def route_parts(capacity: dict[str, int], members: dict[str, list], quotas: dict, copies: int = MAX_COPIES) -> dict[tuple, int]:
+    """``route`` for each connected part; a part of one pattern with one source needs no search."""
+    flow: dict[tuple, int] = {}
+    for part in connected_parts(members):
+        if len(part) == 1 and len(members[part[0]]) == 1:
+            (p,), (s,) = part, members[part[0]]
+            flow[p, s] = min(int(quotas[s]), copies * capacity[p])
+            continue
+        if len(part) > MAX_PATTERNS:
+            raise ValueError(f"more than {MAX_PATTERNS} overlapping membership patterns")
+        own = {s: quotas[s] for s in sorted({s for p in part for s in members[p]}, key=_code_points)}
+        flow |= route({p: capacity[p] for p in part}, {p: members[p] for p in part}, own, copies)
+    return flow
+
+
 def _cut(parts: DataFrame, bucket: str, rest: str) -> DataFrame:
     """The bucket of each pattern in which ``rest`` is exceeded, and what is left on entering it."""
     upto = Window.partitionBy("pattern").orderBy(bucket)
@@ -136,7 +182,7 @@ def _cut(parts: DataFrame, bucket: str, rest: str) -> DataFrame:
 _PLACE = ("mark", "doc_id", "size", "row")
 
 
-def _round(fitting: DataFrame) -> DataFrame:
+def _round(fitting: DataFrame, few) -> DataFrame:
     """(pattern, gap, place, alone, missing) of one round over open rows that fit into their pattern's ``gap``.
 
     Taken are the rows before ``place`` (all, if null), or the row at ``place``
@@ -144,9 +190,9 @@ def _round(fitting: DataFrame) -> DataFrame:
     """
     totals = fitting.groupBy("pattern", "gap").agg(F.sum("size").alias("n"))
     one = _cut(fitting, "b1", "gap")
-    inside = fitting.join(F.broadcast(one), "pattern").where("b1 = cut_b1")
+    inside = fitting.join(few(one), "pattern").where("b1 = cut_b1")
     two = _cut(inside, "b2", "left_b1")
-    edge = inside.join(F.broadcast(two), "pattern").where("b2 = cut_b2")
+    edge = inside.join(few(two), "pattern").where("b2 = cut_b2")
     order = Window.partitionBy("pattern").orderBy(*_PLACE).rowsBetween(Window.unboundedPreceding, 0)
     over = edge.withColumn("left", F.col("left_b2") - F.sum("size").over(order)).where("left < 0")
     first = F.struct(*[F.col(c) for c in _PLACE])
@@ -162,7 +208,7 @@ def _round(fitting: DataFrame) -> DataFrame:
     )
 
 
-def _taken_in(rounds: DataFrame | None, rows: DataFrame) -> DataFrame:
+def _taken_in(rounds: DataFrame | None, rows: DataFrame, few) -> DataFrame:
     """``rows`` with ``extra``: whether one of the ``rounds`` takes the row."""
     if rounds is None:
         return rows.withColumn("extra", F.lit(False))
@@ -174,42 +220,43 @@ def _taken_in(rounds: DataFrame | None, rows: DataFrame) -> DataFrame:
         return (F.col("size") <= r["gap"]) & (before | (r["alone"] & (place == r["place"])))
 
     extra = (F.col("size") > 0) & F.exists("steps", takes)
-    joined = rows.join(F.broadcast(steps), "pattern", "left")
+    joined = rows.join(few(steps), "pattern", "left")
     return joined.withColumn("extra", F.coalesce(extra, F.lit(False))).drop("steps")
 
 
-def select_documents(sized: DataFrame, plan: DataFrame, seed: int = 0) -> DataFrame:
+def select_documents(sized: DataFrame, plan: DataFrame, seed: int = 0, small: bool = True) -> DataFrame:
     """Add ``taken`` to rows (doc_id, pattern, size, row, ...) given plan rows (pattern, copies, rest).
 
-    ``row`` tells repeated rows apart. ``plan`` has at most MAX_PATTERNS rows
-    and is broadcast, as are the rounds, which number log2(rest) + 1 at most.
+    ``row`` tells repeated rows apart. A ``small`` plan is broadcast, as are
+    the rounds, which number log2(rest) + 1 at most; another is joined by shuffles.
     """
+    few = F.broadcast if small else lambda frame: frame
     mark = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id")), 1)  # not negative, so in the order of its buckets
-    dealt = sized.join(F.broadcast(plan), "pattern").withColumn("mark", mark)
+    dealt = sized.join(few(plan), "pattern").withColumn("mark", mark)
     gaps, rounds = plan.where("rest > 0").select("pattern", F.col("rest").alias("gap")), None
     left = gaps.withColumn("missing", F.col("gap"))
     while not gaps.isEmpty():
-        fitting = _taken_in(rounds, dealt.join(F.broadcast(gaps), "pattern").where("size > 0 and size <= gap"))
+        fitting = _taken_in(rounds, dealt.join(few(gaps), "pattern").where("size > 0 and size <= gap"), few)
         fitting = fitting.where("not extra").withColumns(
             {"b1": F.shiftright("mark", 55), "b2": F.shiftright("mark", 47).bitwiseAND(_BUCKETS - 1)}
         )
         fitting = fitting.select("pattern", "gap", *_PLACE, "b1", "b2")
-        step = written(_round(fitting), "mix-round")
+        step = written(_round(fitting, few), "mix-round")
         rounds = step if rounds is None else rounds.unionByName(step)
         gaps = step.where("place is not null and missing > 0").select("pattern", F.col("missing").alias("gap"))
     if rounds is not None:
         last = rounds.groupBy("pattern").agg(F.min("missing").alias("after"))
         left = left.join(last, "pattern", "left").select("pattern", F.coalesce("after", "missing").alias("missing"))
-    chosen = _taken_in(rounds, dealt)
+    chosen = _taken_in(rounds, dealt, few)
     # the smallest open document is larger than what is missing; it is added where the total comes nearer
     nearer = (
-        chosen.join(F.broadcast(left.where("missing > 0")), "pattern")
+        chosen.join(few(left.where("missing > 0")), "pattern")
         .where("not extra and size > 0 and size < 2 * missing")
         .groupBy("pattern")
         .agg(F.min(F.struct("size", "mark", "doc_id", "row")).alias("s"))
         .select("pattern", F.col("s.row").alias("nearest"))
     )
-    chosen = chosen.join(F.broadcast(nearer), "pattern", "left")
+    chosen = chosen.join(few(nearer), "pattern", "left")
     extra = F.col("extra") | F.coalesce(F.col("row") == F.col("nearest"), F.lit(False))
     taken = F.col("copies") * F.col("size") + F.when(extra, F.col("size")).otherwise(0)
     return chosen.select(*sized.columns, taken.alias("taken")).drop("row")
@@ -244,21 +291,22 @@ def mix_sources(
         ),
         "mix-sizes",
     )
-    rows = sized.groupBy("pattern").agg(F.sum("size").alias("n")).limit(MAX_PATTERNS + 1).collect()
-    if len(rows) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
+    rows = sized.groupBy("pattern").agg(F.sum("size").alias("n")).collect()
     capacity = {r["pattern"]: r["n"] for r in rows}
     members = {p: json.loads(p) for p in capacity}
-    names = sorted({s for m in members.values() for s in m}, key=lambda s: (s is None, s or ""))
-    sizes = {s: sum(n for p, n in capacity.items() if s in members[p]) for s in names}
+    names = sorted({s for m in members.values() for s in m}, key=_code_points)
+    sizes = dict.fromkeys(names, 0)
+    for p, n in capacity.items():
+        for s in members[p]:
+            sizes[s] += n
     targets = capped_targets(sizes, dict(zip(names, weights(names))), sum(capacity.values()), copies)
-    flow = route(capacity, members, {s: round(targets[s]) for s in names}, copies)
+    flow = route_parts(capacity, members, {s: round(targets[s]) for s in names}, copies)
     used = {p: sum(flow[p, s] for s in members[p]) for p in capacity}
     plan = docs.sparkSession.createDataFrame(
         [(p, used[p] // n if n else 0, used[p] % n if n else 0) for p, n in sorted(capacity.items())],
         "pattern string, copies long, rest long",
     )
-    return select_documents(sized, plan, seed), {"sizes": sizes, "targets": targets, "flow": flow}
+    return select_documents(sized, plan, seed, small=len(capacity) <= BROADCAST_PLAN), {"sizes": sizes, "targets": targets, "flow": flow}
 
 
 def repeating_weights(names: list, cycle: tuple[int, ...] = (5, 2, 1)) -> list[int]:
@@ -272,5 +320,5 @@ def mix_single_source(docs: DataFrame, source_col: str = "source", seed: int = 0
         [(s, plan["sizes"][s], float(plan["targets"][s])) for s in plan["sizes"]],
         "source string, source_size long, target double",
     ).withColumn("pattern", F.to_json(F.array("source")))
-    # one row per source, at most MAX_PATTERNS
-    return mixed.join(F.broadcast(totals), "pattern").select("doc_id", "source", "size", "source_size", "target", "taken")
+    few = F.broadcast(totals) if len(plan["sizes"]) <= BROADCAST_PLAN else totals
+    return mixed.join(few, "pattern").select("doc_id", "source", "size", "source_size", "target", "taken")

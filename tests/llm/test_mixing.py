@@ -3,9 +3,19 @@ from __future__ import annotations
 import itertools
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from postolake.llm.mixing import capped_targets, mix_single_source, mix_sources, repeating_weights, route
+from postolake.llm import mixing
+from postolake.llm.mixing import (
+    capped_targets,
+    connected_parts,
+    mix_single_source,
+    mix_sources,
+    repeating_weights,
+    route,
+    route_parts,
+)
 
 from .helpers import prose
 
@@ -98,6 +108,39 @@ def test_overlapping_sources(spark):
     assert set(by) == {'["a"]', '["a","b"]', '["b"]'}
 
 
+def test_parts_flow_like_the_whole():
+    rng = random.Random(9)
+    for _ in range(30):
+        sources = ["a", "b", "c", "d", None]
+        members = {f"p{k}": rng.sample(sources, rng.randrange(1, 3)) for k in range(5)}
+        capacity = {p: rng.randrange(0, 9) for p in members}
+        quotas = {s: rng.randrange(0, 15) for s in sources}
+        whole, parts = route(capacity, members, quotas), route_parts(capacity, members, quotas)
+        used = lambda flow: {p: sum(flow[p, s] for s in members[p]) for p in members}
+        assert set(whole) == set(parts) and sum(whole.values()) == sum(parts.values())
+        assert _cost(used(whole), capacity, 3) == _cost(used(parts), capacity, 3)
+    assert connected_parts({"x": ["a"], "y": ["b", "c"], "z": ["c"], "w": [], "v": [None]}) == [["v"], ["w"], ["x"], ["y", "z"]]
+
+
+@pytest.mark.parametrize("limit", [200_000, 10])
+def test_twenty_thousand_sources(docs, monkeypatch, limit):
+    monkeypatch.setattr(mixing, "BROADCAST_PLAN", limit)
+    count = 20_000 if limit > 10 else 200
+    rows = [(k, "w " * (k % 7 + 1), "en", f"source {k % count:05d}") for k in range(2 * count)]
+    out = mix_single_source(docs(rows)).collect()
+    sizes = {}
+    for k, t, _, s in rows:
+        sizes[s] = sizes.get(s, 0) + k % 7 + 1
+    names = sorted(sizes)
+    targets = capped_targets(sizes, dict(zip(names, repeating_weights(names))), sum(sizes.values()))
+    assert len(out) == len(rows)
+    taken = dict.fromkeys(names, 0)
+    for r in out:
+        assert r["source_size"] == sizes[r["source"]] and r["target"] == float(targets[r["source"]]) and r["taken"] <= 3 * r["size"]
+        taken[r["source"]] += r["taken"]
+    assert all(abs(taken[s] - targets[s]) <= 7 for s in names)
+
+
 def test_empty_table(docs):
     assert mix_single_source(docs([])).collect() == []
     assert [r["taken"] for r in mix_single_source(docs([(1, None), (2, "")])).collect()] == [0, 0]
