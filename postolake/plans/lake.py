@@ -38,7 +38,7 @@ class Lake:
 
     def _stored(self, frame: DataFrame, name: str) -> DataFrame:
         path = shared_work_dir(self._spark, f"lake-{name}-{uuid.uuid4().hex}")
-        frame.write.option("maxRecordsPerFile", TASK_ROWS).parquet(path)
+        frame.write.option("maxRecordsPerFile", TASK_ROWS).option("compression", "zstd").parquet(path)
         return self._spark.read.schema(frame.schema).parquet(path)
 
     @cached_property
