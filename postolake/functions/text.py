@@ -47,7 +47,7 @@ def digits_only(c: Column | str) -> Column:
 
 def strip_nul(c: Column | str) -> Column:
     """Remove NUL characters, which downstream stores reject."""
-    return F.translate(_col(c), "\u0000", "")
+    return F.replace(_col(c), F.lit("\u0000"), F.lit(""))
 
 
 def blank_to_null(c: Column | str) -> Column:

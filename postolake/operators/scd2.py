@@ -49,7 +49,9 @@ def station_history(g: DataFrame) -> DataFrame:
         F.min("data_coleta").alias("data_inicio")
     )
     nxt = Window.partitionBy("cnpj_revenda").orderBy("version")
-    dated = versions.withColumn("data_fim", F.date_sub(F.lead("data_inicio").over(nxt), 1))
+    ensure_checkpoint_dir(g.sparkSession)
+    # the ranking reads its input twice: ranges, then rows
+    dated = versions.withColumn("data_fim", F.date_sub(F.lead("data_inicio").over(nxt), 1)).checkpoint()
     ided = rank_ids(
         dated,
         [F.col("cnpj_revenda").asc(), F.col("data_inicio").asc(), F.col("version").asc()],
@@ -66,7 +68,9 @@ def station_history(g: DataFrame) -> DataFrame:
     )
 
 
-def carry_versions(facts: DataFrame, history: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def carry_versions(
+    facts: DataFrame, history: DataFrame, slice_rows: int = SLICE_ROWS, stations: DataFrame | None = None
+) -> DataFrame:
     """As-of join by one sorted scan: each fact gets the ``posto_id`` valid on its ``data_coleta``.
 
     Facts and versions are put together, sorted by station and day, and the last
@@ -75,8 +79,10 @@ def carry_versions(facts: DataFrame, history: DataFrame, slice_rows: int = SLICE
     facts is cut into slices by a hash of the fact, each of which gets the
     station's versions; that also cuts a station whose facts lie on one day. Facts
     before a station's first version, or of a station without any, are left out.
+    ``stations`` gives the station of each fact where that is read more cheaply
+    than from ``facts``, for the count that finds the stations to cut.
     """
-    counts = facts.groupBy("cnpj_revenda").agg(F.count(F.lit(1)).alias("n"))
+    counts = (facts if stations is None else stations).groupBy("cnpj_revenda").agg(F.count(F.lit(1)).alias("n"))
     cut = F.ceil(F.col("n") / slice_rows).cast("int")
     ensure_checkpoint_dir(facts.sparkSession)
     # one row for each slice_rows facts at most
@@ -121,7 +127,11 @@ def build_fact_asof(
         .join(checked_broadcast(dim_produto), ["produto", "unidade_medida"])
         .join(checked_broadcast(dim_localidade), ["regiao_sigla", "estado_sigla", "municipio"])
     )
-    joined = carry_versions(joined, history)
-    return joined.select(
+    narrow = joined.select(
+        "cnpj_revenda", "data_coleta", "fato_id", "data_id", "produto_id", "localidade_id", "valor_venda", "valor_compra"
+    )
+    # the dimensions hold every key, so a station has as many facts as rows before the joins
+    carried = carry_versions(narrow, history, stations=matched.select("cnpj_revenda"))
+    return carried.select(
         "fato_id", "data_id", "produto_id", "localidade_id", "posto_id", "valor_venda", "valor_compra"
     )

@@ -52,11 +52,15 @@ class Lake:
         with partitions_for(self._spark, self.bronze.count(), TASK_ROWS):  # counted from the footers
             return self._stored(build_silver(self.bronze), "silver")
 
+    @cached_property
+    def star(self) -> Gold:
+        """Gold whose fact is not stored, for what reads dimensions only."""
+        return build_gold(self.silver)
+
     @cached_property
     def gold(self) -> Gold:
-        gold = build_gold(self.silver)
         # fact ids depend on the partitions they are computed in, so the fact is stored before anything is built on it
-        return dataclasses.replace(gold, fact=self._stored(gold.fact, "fact"))
+        return dataclasses.replace(self.star, fact=self._stored(self.star.fact, "fact"))
 
 
 _LAKES: dict[tuple[str, int, str], Lake] = {}

@@ -78,27 +78,27 @@ def _silver_dedup_counts(spark, sf_dir):
 
 @register("dim_data", O.with_lake("SELECT * FROM dim_data"))
 def _dim_data(spark, sf_dir):
-    return _gold(spark, sf_dir).dim_data
+    return demo_lake(spark, sf_dir).star.dim_data
 
 
 @register("dim_produto", O.with_lake("SELECT * FROM dim_produto"))
 def _dim_produto(spark, sf_dir):
-    return _gold(spark, sf_dir).dim_produto
+    return demo_lake(spark, sf_dir).star.dim_produto
 
 
 @register("dim_localidade", O.with_lake("SELECT * FROM dim_localidade"))
 def _dim_localidade(spark, sf_dir):
-    return _gold(spark, sf_dir).dim_localidade
+    return demo_lake(spark, sf_dir).star.dim_localidade
 
 
 @register("dim_posto", O.with_lake("SELECT * FROM dim_posto"))
 def _dim_posto(spark, sf_dir):
-    return _gold(spark, sf_dir).dim_posto
+    return demo_lake(spark, sf_dir).star.dim_posto
 
 
 @register("posto_lookup", O.with_lake("SELECT * FROM posto_lookup"))
 def _posto_lookup(spark, sf_dir):
-    return _gold(spark, sf_dir).posto_lookup
+    return demo_lake(spark, sf_dir).star.posto_lookup
 
 
 _FACT_COLS = ["data_id", "produto_id", "localidade_id", "posto_id", "valor_venda", "valor_compra"]
@@ -1098,7 +1098,7 @@ def _scd2_ranges(spark, sf_dir):
     ),
 )
 def _asof(spark, sf_dir):
-    gd = demo_lake(spark, sf_dir).gold
+    gd = demo_lake(spark, sf_dir).star
     g = _history_input(spark, sf_dir)
     fact = H.build_fact_asof(g, gd.dim_data, gd.dim_produto, gd.dim_localidade, H.station_history(g))
     return fact.select(*_FACT_COLS)

@@ -6,6 +6,7 @@ import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from postolake.operators.keymap import KeyConflictError, KeyMap
 from postolake.operators.scd2 import carry_versions
@@ -77,3 +78,13 @@ def test_carried_versions_equal_the_range_join_with_hot_stations_cut(spark):
     for slice_rows in (10**6, 50):
         got = carry_versions(f, h, slice_rows).select("fato_id", "posto_id", "valor").collect()
         assert sorted(map(tuple, got)) == sorted(expected)
+
+
+def test_stations_to_cut_are_counted_without_the_facts(spark):
+    h = spark.createDataFrame([("c", date(2020, 1, 1), 7)], "cnpj_revenda string, data_inicio date, posto_id int")
+    f = spark.range(40).selectExpr("id AS fato_id", "'c' AS cnpj_revenda", "date'2020-02-01' AS data_coleta")
+    got = carry_versions(f, h, 10, stations=f.select("cnpj_revenda"))
+    assert sorted(r["fato_id"] for r in got.where("posto_id = 7").collect()) == list(range(40))
+    # read by the scan alone, a fact that cannot be computed fails there and not in the count
+    broken = f.withColumn("cnpj_revenda", F.raise_error(F.lit("read")).cast("string"))
+    assert carry_versions(broken, h, 10, stations=f.select("cnpj_revenda")).columns[0] == "cnpj_revenda"

@@ -97,3 +97,14 @@ def test_batch_leaves_no_scratch(spark, tmp_dir):
     assert append_new_silver(some, f"{tmp_dir}/silver").possible == 2
     root = _local(shared_work_dir(spark, ""))
     assert not [n for n in os.listdir(root) if n.startswith("batch-")]
+
+
+def test_dimensions_and_the_as_of_fact_store_no_other_fact(spark, tables):
+    from postolake.plans.registry import QUERIES
+
+    demo = lake.demo_lake(spark, tables)
+    rows = QUERIES["fact_asof_posto"](spark, tables).count()
+    assert QUERIES["dim_posto"](spark, tables).count() > 0
+    assert "gold" not in vars(demo)
+    # all rows of March are seen a second time under another brand
+    assert rows == 2 * demo.gold.fact.count() > 0
