@@ -1,6 +1,6 @@
 """Archive expansion: zip files -> text lines, distributed by archive.
 
-``binaryFile`` gives one row per archive and ``mapInPandas`` opens it in its
+``binaryFile`` gives one row per archive and ``mapInArrow`` opens it in its
 task. Every member is read through once first, which checks its CRC and whether
 it is valid UTF-8; only when all members are sound are lines emitted, decoded as
 UTF-8 or else latin-1, in bounded batches. A damaged, encrypted or unsupported
@@ -18,8 +18,9 @@ import io
 import zipfile
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,37 +52,45 @@ def _charset(zf: zipfile.ZipFile, name: str) -> str:
     return "utf-8-sig" if valid else "latin-1"
 
 
-def _archive_rows(path: str, content: bytes) -> Iterator[tuple]:
+def _rows(path: str, member: str | None, first: int | None, lines: list, error: str | None = None) -> pa.RecordBatch:
+    """Lines of one member that follow each other from number ``first``."""
+    n = len(lines)
+    columns = [
+        pa.array([path] * n, pa.string()),
+        pa.array([member] * n, pa.string()),
+        pa.nulls(n, pa.int64()) if first is None else pa.array(range(first, first + n), pa.int64()),
+        pa.array(lines, pa.string()),
+        pa.array([error] * n, pa.string()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=_COLUMNS)
+
+
+def _archive_rows(path: str, content: bytes) -> Iterator[pa.RecordBatch]:
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as zf:
             members = {m: _charset(zf, m) for m in zf.namelist() if not m.endswith("/")}
     except _DAMAGE as problem:
-        yield path, None, None, None, f"{type(problem).__name__}: {problem}"
+        yield _rows(path, None, None, [None], f"{type(problem).__name__}: {problem}")
         return
     with zipfile.ZipFile(io.BytesIO(content)) as zf:
         for name, charset in members.items():
             with zf.open(name) as fh, io.TextIOWrapper(fh, encoding=charset, newline=None) as text:
-                for i, line in enumerate(text):
-                    yield path, name, i, line.rstrip("\n"), None
+                first = 0
+                while lines := [line.rstrip("\n") for line in islice(text, _BATCH)]:
+                    yield _rows(path, name, first, lines)
+                    first += len(lines)
 
 
-def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            buf = []
-            for row in _archive_rows(path, content):
-                buf.append(row)
-                if len(buf) >= _BATCH:
-                    yield pd.DataFrame(buf, columns=_COLUMNS)
-                    buf = []
-            if buf:
-                yield pd.DataFrame(buf, columns=_COLUMNS)
+def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"]):
+            yield from _archive_rows(path.as_py(), content.as_py())
 
 
 def expand_content(zips: DataFrame) -> DataFrame:
     """(path, content) of archives -> (archive, member, line_no, line, error)."""
     ship_package(zips.sparkSession)
-    return zips.select("path", "content").mapInPandas(_expand, LINES_SCHEMA)
+    return zips.select("path", "content").mapInArrow(_expand, LINES_SCHEMA)
 
 
 def expand_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:

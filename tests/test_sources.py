@@ -231,3 +231,19 @@ def test_zip_frame_bounds_its_archives_and_damages_a_set(spark):
     assert max(lines.values()) <= ARCHIVE_ROWS and len(lines) == 6
     assert [r["s"] for r in rejected_archives(expanded).select(zip_set("archive").alias("s")).distinct().collect()] == ["z3.zip"]
     assert archive_members_to_bronze(expanded).count() == n - damaged and damaged > n // 5
+
+
+def test_archive_lines_come_in_arrow_batches_numbered_through():
+    import pyarrow as pa
+
+    from postolake.sources import archives
+
+    n = archives._BATCH + 7
+    data = _zip_bytes({"a.csv": "h\r\n" + "é\n" * (n - 2) + "last", "none.csv": ""})
+    zips = pa.RecordBatch.from_pydict({"path": ["x.zip", "bad.zip"], "content": [data, data[:-30]]})
+    got = list(archives._expand(iter([zips])))
+    assert [len(b) for b in got] == [archives._BATCH, 7, 1]
+    rows = pa.Table.from_batches(got).to_pylist()
+    assert [r["line_no"] for r in rows[:n]] == list(range(n)) and rows[0]["line"] == "h" and rows[n - 1]["line"] == "last"
+    assert {(r["archive"], r["member"], r["error"]) for r in rows[:n]} == {("x.zip", "a.csv", None)}
+    assert rows[n]["archive"] == "bad.zip" and rows[n]["line"] is rows[n]["line_no"] is None and "BadZipFile" in rows[n]["error"]
